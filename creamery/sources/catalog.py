@@ -1,0 +1,11 @@
+"""Layer hand-off through the catalog: one layer reads the tables the previous wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from creamery.config import LakeConfig
+
+
+def read_table(spark: SparkSession, cfg: LakeConfig, layer: str, name: str) -> DataFrame:
+    return spark.read.table(cfg.table(layer, name))
