@@ -45,6 +45,23 @@ class LakeConfig:
     stream_path: str | None = None
     # Where streaming checkpoints go; defaults to <spark.checkpoint.dir>/streams.
     checkpoint_root: str | None = None
+    # Optional storage root for the three databases (CREATE DATABASE ... LOCATION).
+    db_root: str | None = None
+    # Extra CSV reader options per bronze input. Quotes are escaped by doubling
+    # (RFC 4180, as spreadsheet and pandas writers do); free-text notes may
+    # span lines, which makes those files unsplittable, so it is per table.
+    csv_options: dict = field(
+        default_factory=lambda: {
+            "*": {"escape": '"'},
+            "historical_quality_audit_logs": {"escape": '"', "multiLine": "true"},
+        }
+    )
+
+    def database(self, layer: str) -> str:
+        return {"bronze": self.bronze_db, "silver": self.silver_db, "gold": self.gold_db}[layer]
+
+    def csv_reader_options(self, name: str) -> dict:
+        return dict(self.csv_options.get(name, self.csv_options.get("*", {})))
 
     def table(self, layer: str, name: str) -> str:
         db = {"bronze": self.bronze_db, "silver": self.silver_db, "gold": self.gold_db}[layer]

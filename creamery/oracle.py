@@ -238,6 +238,50 @@ GOLD_SENSOR = f"""
     JOIN s_lines l ON a.line_id = l.line_id"""
 
 
+def _rules_sql(notes: str) -> tuple[str, str, str]:
+    """sentiment, root_cause, llm_analysis CASE expressions for the default rules."""
+    from creamery.functions.sentiment import DEFAULT_RULES, NEUTRAL
+
+    def case(pick) -> str:
+        whens = " ".join(
+            f"WHEN regexp_matches({notes}, '{r.pattern}', 'i') THEN {pick(r)}" for r in DEFAULT_RULES
+        )
+        return f"CASE WHEN {notes} IS NULL THEN NULL {whens} ELSE {pick(None)} END"
+
+    def q(v):
+        return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
+    sentiment = case(lambda r: q(r.sentiment if r else NEUTRAL))
+    cause = case(lambda r: q(r.root_cause if r else None))
+    analysis = case(
+        lambda r: q((r.sentiment + (": " + r.root_cause if r.root_cause else "")) if r else NEUTRAL)
+    )
+    return sentiment, cause, analysis
+
+
+def _scored(source: str) -> str:
+    sentiment, cause, analysis = _rules_sql("audit_notes")
+    return (
+        f"SELECT audit_id, batch_id, audit_outcome, audit_notes, {analysis} AS llm_analysis, "
+        f"{sentiment} AS sentiment, {cause} AS root_cause FROM {source}"
+    )
+
+
+PENDING = """(SELECT audit_id, batch_id, audit_outcome, audit_notes FROM s_audits a
+              WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE CAST(l.doc_id AS VARCHAR) IS NOT DISTINCT FROM a.audit_id))"""
+
+
+def _report(table: str, source: str, rules) -> str:
+    parts = []
+    for r in rules:
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{r.name}' AS rule_name, '{r.action}' AS action, "
+            f"count(*) AS total_records, count(*) FILTER (WHERE NOT coalesce({r.predicate}, false)) AS failed_records, "
+            f"count(*) - count(*) FILTER (WHERE NOT coalesce({r.predicate}, false)) AS passed_records FROM {source}"
+        )
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["silver_dim_plants"] = with_ctes(["s_plants"], "SELECT * FROM s_plants")
@@ -252,4 +296,118 @@ def oracle_sql() -> dict[str, str]:
     q["d_retailer_360"] = with_ctes(["s_shipments", "s_customers"], GOLD_RETAILER)
     q["d_quality_audit_summary"] = with_ctes(["s_audits", "s_batches", "s_plants"], GOLD_AUDIT)
     q["d_sensor_health_summary"] = with_ctes(["s_sensors", "s_lines"], GOLD_SENSOR)
+
+    from creamery.operators.quality import BRONZE_RULES
+
+    snapshot = f"SELECT {SENSOR_FIELDS} FROM b_events WHERE event_timestamp < {SNAPSHOT_CUTOFF_SQL}"
+    valid_stream = f"SELECT {SENSOR_FIELDS} FROM b_events WHERE temperature_c BETWEEN -20 AND 150"
+    q["audit_pending_anti_join"] = with_ctes(["s_audits"], f"SELECT * FROM {PENDING}")
+    q["d_audit_sentiment"] = with_ctes(["s_audits"], _scored(PENDING))
+    q["sentiment_incremental_run"] = with_ctes(["s_audits"], _scored("s_audits"))
+    q["expectations_report"] = with_ctes(
+        ["b_plants", "b_batches", "b_events"],
+        " UNION ALL ".join([
+            _report("dim_plants", "b_plants", BRONZE_RULES["dim_plants"]),
+            _report("historical_production_batches", "b_batches", BRONZE_RULES["historical_production_batches"]),
+            _report("sensor_readings_stream", "b_events", BRONZE_RULES["sensor_readings_stream"]),
+        ]),
+    )
+    q["stream_parse"] = with_ctes(["b_events"], f"SELECT {SENSOR_FIELDS} FROM b_events")
+    q["stream_bronze_valid"] = with_ctes(["b_events"], valid_stream)
+    q["stream_bronze_run"] = with_ctes(["b_events"], valid_stream)
+    q["sensor_union_by_name"] = with_ctes(
+        ["b_events"],
+        f"SELECT *, 'batch_file' AS data_source FROM ({snapshot}) "
+        f"UNION ALL SELECT *, 'eventhub_stream' AS data_source FROM ({valid_stream})",
+    )
+    q["yield_pct"] = with_ctes(
+        ["b_batches"],
+        f"""SELECT batch_id, actual_qty_units, defect_units,
+                   CASE WHEN actual_qty_units = 0 THEN NULL
+                        ELSE {sround('(actual_qty_units - defect_units) / actual_qty_units * 100')} END AS yield_pct
+            FROM (SELECT batch_id, {to_int('actual_qty_units')} AS actual_qty_units,
+                         {to_int('defect_units')} AS defect_units FROM b_batches)""",
+    )
+    q["conditional_counts"] = with_ctes(
+        ["s_batches"],
+        """SELECT line_id,
+                  count(*) FILTER (WHERE batch_status = 'Completed') AS completed_batches,
+                  count(*) FILTER (WHERE batch_status = 'Reworked') AS reworked_batches,
+                  count(*) FILTER (WHERE batch_status = 'Scrapped') AS scrapped_batches
+           FROM s_batches GROUP BY line_id""",
+    )
+    q["csv_roundtrip_scan"] = with_ctes(["b_shipments"], "SELECT * FROM b_shipments")
+    q["json_snapshot_scan"] = with_ctes(
+        ["b_events"],
+        f"""SELECT reading_id, line_id, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS event_timestamp,
+                   temperature_c, pressure_bar, fill_volume_ml, vibration_mm_s, machine_status,
+                   CAST(anomaly_flag AS BIGINT) AS anomaly_flag
+            FROM b_events WHERE event_timestamp < {SNAPSHOT_CUTOFF_SQL}""",
+    )
+    q["pipeline_files_to_gold"] = q["d_sensor_health_summary"]
+
+    q["cq_plant_ranking"] = with_ctes(
+        ["s_batches", "s_plants"],
+        f"""SELECT a.plant_id, a.total_batches, a.avg_yield_pct, p.plant_name, p.country,
+                   rank() OVER (ORDER BY a.avg_yield_pct DESC NULLS LAST) AS yield_rank
+            FROM (SELECT plant_id, count(batch_id) AS total_batches, {exact_avg('yield_pct')} AS avg_yield_pct
+                  FROM s_batches GROUP BY plant_id) a
+            JOIN s_plants p ON a.plant_id = p.plant_id""",
+    )
+    sentiment, _, _ = _rules_sql("audit_notes")
+    q["cq_exec_kpis"] = with_ctes(
+        ["s_batches", "s_shipments", "s_audits"],
+        f"""SELECT 'production' AS area, k.kpi_name, k.kpi_value FROM (
+                SELECT count(batch_id) AS total_batches, {exact_avg('yield_pct')} AS avg_yield_pct,
+                       {safe_pct('sum(defect_units)', 'sum(actual_qty_units)')} AS defect_rate_pct,
+                       {safe_pct("count(*) FILTER (WHERE batch_status = 'Scrapped')", 'count(batch_id)')} AS scrap_rate_pct
+                FROM s_batches) w,
+              LATERAL (VALUES ('total_batches', CAST(w.total_batches AS DOUBLE)),
+                              ('avg_yield_pct', CAST(w.avg_yield_pct AS DOUBLE)),
+                              ('defect_rate_pct', CAST(w.defect_rate_pct AS DOUBLE)),
+                              ('scrap_rate_pct', CAST(w.scrap_rate_pct AS DOUBLE))) k(kpi_name, kpi_value)
+            UNION ALL
+            SELECT 'delivery', k.kpi_name, k.kpi_value FROM (
+                SELECT count(shipment_id) AS total_shipments,
+                       {safe_pct("count(*) FILTER (WHERE shipment_status = 'Delivered')", 'count(shipment_id)')} AS on_time_rate_pct
+                FROM s_shipments) w,
+              LATERAL (VALUES ('total_shipments', CAST(w.total_shipments AS DOUBLE)),
+                              ('on_time_rate_pct', CAST(w.on_time_rate_pct AS DOUBLE))) k(kpi_name, kpi_value)
+            UNION ALL
+            SELECT 'quality', k.kpi_name, k.kpi_value FROM (
+                SELECT count(sentiment) AS scored_audits,
+                       {safe_pct("count(*) FILTER (WHERE sentiment = 'Negative')", 'count(sentiment)')} AS negative_note_pct
+                FROM (SELECT {sentiment} AS sentiment FROM s_audits)) w,
+              LATERAL (VALUES ('scored_audits', CAST(w.scored_audits AS DOUBLE)),
+                              ('negative_note_pct', CAST(w.negative_note_pct AS DOUBLE))) k(kpi_name, kpi_value)""",
+    )
+    q["cq_worst_lines"] = with_ctes(
+        ["s_batches", "s_plants", "s_lines"],
+        f"""SELECT line_id, plant_id, plant_name, line_name, defect_rate_pct, scrapped_batches, total_batches
+            FROM ({GOLD_PRODUCTION})
+            ORDER BY defect_rate_pct DESC NULLS LAST, scrapped_batches DESC NULLS LAST, line_id, plant_id
+            LIMIT 10""",
+    )
+    q["cq_late_customers"] = with_ctes(
+        ["s_shipments", "s_customers"],
+        f"""SELECT customer_id, customer_name, total_shipments, delayed_count, returned_count, on_time_rate_pct
+            FROM ({GOLD_RETAILER}) WHERE delayed_count + returned_count > 0""",
+    )
+    q["cq_health_by_source"] = with_ctes(
+        ["s_sensors"],
+        f"""SELECT line_id,
+                   count(reading_id) FILTER (WHERE data_source = 'batch_file') AS batch_file_readings,
+                   CASE WHEN count(*) FILTER (WHERE data_source = 'batch_file') = 0 THEN NULL ELSE
+                     CAST(sum(anomaly_flag) FILTER (WHERE data_source = 'batch_file') AS BIGINT) END AS batch_file_anomalies,
+                   {exact_avg("CASE WHEN data_source = 'batch_file' THEN temperature_c END")} AS batch_file_avg_temperature_c,
+                   count(reading_id) FILTER (WHERE data_source = 'eventhub_stream') AS eventhub_stream_readings,
+                   CASE WHEN count(*) FILTER (WHERE data_source = 'eventhub_stream') = 0 THEN NULL ELSE
+                     CAST(sum(anomaly_flag) FILTER (WHERE data_source = 'eventhub_stream') AS BIGINT) END AS eventhub_stream_anomalies,
+                   {exact_avg("CASE WHEN data_source = 'eventhub_stream' THEN temperature_c END")} AS eventhub_stream_avg_temperature_c
+            FROM s_sensors GROUP BY line_id""",
+    )
+    q["cq_outcome_by_sentiment"] = with_ctes(
+        ["s_audits"],
+        f"SELECT audit_outcome, sentiment, count(*) AS audit_count FROM ({_scored('s_audits')}) GROUP BY audit_outcome, sentiment",
+    )
     return q

@@ -10,11 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
-from creamery.plans import gold, silver
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from creamery.config import SOURCE_BATCH, SOURCE_STREAM, LakeConfig
+from creamery.functions.casts import to_int
+from creamery.functions.measures import count_when, yield_pct
+from creamery.operators.harmonise import harmonise_sensor, union_sources
+from creamery.operators.quality import BRONZE_RULES, expectations_report
+from creamery.plans import consumer, gold, silver
+from creamery.plans.pipeline import run_all
+from creamery.plans.sentiment import pending_audits, run_sentiment, score_audits
+from creamery.session import scratch_dir
+from creamery.sources import files
 from creamery.sources.driver_tables import DriverTables
-from creamery.streaming.sensor import bronze_sensor_stream
+from creamery.sources.landing import write_csv_input, write_landing, write_payload_files
+from creamery.streaming.sensor import bronze_sensor_stream, parse_sensor_payload, run_sensor_stream
 
 
 def _t(spark: SparkSession, sf_dir: str) -> DriverTables:
@@ -93,6 +106,173 @@ def q_d_sensor_health_summary(spark, sf_dir):
     return gold.d_sensor_health_summary(_sensor_fact(t), silver.silver_dim_lines(t.dim_lines()))
 
 
+# ---- operators on their own ---------------------------------------------------
+
+def q_yield_pct(spark, sf_dir):
+    """FN-10 per bronze batch row (before dedup)."""
+    b = _t(spark, sf_dir).historical_production_batches()
+    typed = b.select("batch_id", to_int("actual_qty_units").alias("actual_qty_units"),
+                     to_int("defect_units").alias("defect_units"))
+    return typed.withColumn("yield_pct", yield_pct("actual_qty_units", "defect_units"))
+
+
+def q_conditional_counts(spark, sf_dir):
+    """AGG-09: batches per status and line."""
+    b = silver.fact_production_batches(_t(spark, sf_dir).historical_production_batches())
+    return b.groupBy("line_id").agg(
+        count_when(F.col("batch_status") == "Completed").alias("completed_batches"),
+        count_when(F.col("batch_status") == "Reworked").alias("reworked_batches"),
+        count_when(F.col("batch_status") == "Scrapped").alias("scrapped_batches"),
+    )
+
+
+def q_sensor_union_by_name(spark, sf_dir):
+    """SET-01: stored and live readings, harmonised, before dedup."""
+    t = _t(spark, sf_dir)
+    return union_sources(
+        harmonise_sensor(t.sensor_readings(), SOURCE_BATCH),
+        harmonise_sensor(bronze_sensor_stream(t.sensor_payloads()), SOURCE_STREAM),
+    )
+
+
+def q_stream_bronze_valid(spark, sf_dir):
+    """STR-01 logic in batch: parse every message, drop implausible temperatures."""
+    return bronze_sensor_stream(_t(spark, sf_dir).sensor_payloads())
+
+
+def q_stream_parse(spark, sf_dir):
+    """FN-01/02/03, PRJ-01/02: every message parsed, nothing dropped."""
+    return parse_sensor_payload(_t(spark, sf_dir).sensor_payloads())
+
+
+def q_expectations_report(spark, sf_dir):
+    """DQ-05: passed / failed per rule for the three bronze tables that carry rules."""
+    t = _t(spark, sf_dir)
+    parts = [
+        expectations_report(t.dim_plants(), "dim_plants", BRONZE_RULES["dim_plants"]),
+        expectations_report(
+            t.historical_production_batches(), "historical_production_batches",
+            BRONZE_RULES["historical_production_batches"],
+        ),
+        expectations_report(
+            parse_sensor_payload(t.sensor_payloads()), "sensor_readings_stream",
+            BRONZE_RULES["sensor_readings_stream"],
+        ),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_audit_pending_anti_join(spark, sf_dir):
+    """JN-07: audits not yet scored (already scored = the labelled ones)."""
+    t = _t(spark, sf_dir)
+    audits = silver.fact_quality_audits(t.historical_quality_audit_logs())
+    return pending_audits(audits, t.scored_audit_ids())
+
+
+def q_d_audit_sentiment(spark, sf_dir):
+    """GLD-05 rows one incremental run appends: pending audits, scored."""
+    t = _t(spark, sf_dir)
+    audits = silver.fact_quality_audits(t.historical_quality_audit_logs())
+    return score_audits(pending_audits(audits, t.scored_audit_ids()))
+
+
+def q_sentiment_incremental_run(spark, sf_dir):
+    """UDF-02 / SNK-03 / SNK-04 for real: create, append twice, re-run; every audit scored once."""
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "sentiment")
+    target = f"default.audit_sentiment_{uuid.uuid4().hex[:10]}"
+    cfg = LakeConfig()
+    audits = silver.fact_quality_audits(t.historical_quality_audit_logs())
+    labelled = audits.join(t.scored_audit_ids(), "audit_id", "left_semi")
+    run_sentiment(spark, cfg, audits=labelled, target=target, location=root)  # first run: labelled audits
+    run_sentiment(spark, cfg, audits=audits, target=target, location=root)    # second run: only the rest
+    run_sentiment(spark, cfg, audits=audits, target=target, location=root)    # third run: nothing new
+    return spark.read.parquet(root)
+
+
+def q_csv_roundtrip_scan(spark, sf_dir):
+    """SRC-06: a header CSV landing file read back by name, all columns string."""
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "landing")
+    write_csv_input(t, "historical_shipments", root)
+    return files.historical_shipments(spark, LakeConfig(base_path=root))
+
+
+def q_json_snapshot_scan(spark, sf_dir):
+    """SRC-08: the JSON-lines sensor snapshot read back with inferred types."""
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "landing")
+    t.sensor_readings().write.json(f"{root}/streaming/")
+    return files.sensor_readings(spark, LakeConfig(base_path=root))
+
+
+def q_stream_bronze_run(spark, sf_dir):
+    """STR-01/02, SNK-02: message files -> availableNow stream -> append-only sink."""
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "stream")
+    write_payload_files(t, f"{root}/in")
+    cfg = LakeConfig(stream_format="text", stream_path=f"{root}/in", checkpoint_root=f"{root}/ckpt")
+    run_sensor_stream(spark, cfg, f"{root}/out", to_path=True)
+    run_sensor_stream(spark, cfg, f"{root}/out", to_path=True)  # re-run: nothing new to append
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_pipeline_files_to_gold(spark, sf_dir):
+    """SNK-01, SRC-01..10, STR-03: landing files -> bronze -> live stream -> silver -> gold tables."""
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "lake")
+    write_landing(t, f"{root}/raw")
+    write_payload_files(t, f"{root}/messages")
+    tag = uuid.uuid4().hex[:8]
+    cfg = LakeConfig(
+        base_path=f"{root}/raw",
+        bronze_db=f"bronze_{tag}", silver_db=f"silver_{tag}", gold_db=f"gold_{tag}",
+        db_root=f"{root}/db", stream_format="text", stream_path=f"{root}/messages",
+        checkpoint_root=f"{root}/ckpt",
+    )
+    run_all(spark, cfg, with_stream=True)
+    return spark.table(cfg.table("gold", "d_sensor_health_summary"))
+
+
+# ---- consumer queries -----------------------------------------------------------
+
+def q_cq_plant_ranking(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return consumer.plant_ranking(
+        silver.fact_production_batches(t.historical_production_batches()),
+        silver.silver_dim_plants(t.dim_plants()),
+    )
+
+
+def q_cq_exec_kpis(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return consumer.exec_kpis(
+        silver.fact_production_batches(t.historical_production_batches()),
+        silver.fact_shipments(t.historical_shipments()),
+        score_audits(silver.fact_quality_audits(t.historical_quality_audit_logs())),
+    )
+
+
+def q_cq_worst_lines(spark, sf_dir):
+    return consumer.worst_lines(q_d_production_summary(spark, sf_dir), k=10)
+
+
+def q_cq_late_customers(spark, sf_dir):
+    return consumer.late_customers(q_d_retailer_360(spark, sf_dir))
+
+
+def q_cq_health_by_source(spark, sf_dir):
+    return consumer.health_by_source(_sensor_fact(_t(spark, sf_dir)))
+
+
+def q_cq_outcome_by_sentiment(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return consumer.outcome_by_sentiment(score_audits(silver.fact_quality_audits(t.historical_quality_audit_logs())))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_dim_plants": q_silver_dim_plants,
     "silver_dim_lines": q_silver_dim_lines,
@@ -106,4 +286,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d_retailer_360": q_d_retailer_360,
     "d_quality_audit_summary": q_d_quality_audit_summary,
     "d_sensor_health_summary": q_d_sensor_health_summary,
+    "audit_pending_anti_join": q_audit_pending_anti_join,
+    "d_audit_sentiment": q_d_audit_sentiment,
+    "sentiment_incremental_run": q_sentiment_incremental_run,
+    "expectations_report": q_expectations_report,
+    "stream_parse": q_stream_parse,
+    "stream_bronze_valid": q_stream_bronze_valid,
+    "stream_bronze_run": q_stream_bronze_run,
+    "sensor_union_by_name": q_sensor_union_by_name,
+    "yield_pct": q_yield_pct,
+    "conditional_counts": q_conditional_counts,
+    "csv_roundtrip_scan": q_csv_roundtrip_scan,
+    "json_snapshot_scan": q_json_snapshot_scan,
+    "pipeline_files_to_gold": q_pipeline_files_to_gold,
+    "cq_plant_ranking": q_cq_plant_ranking,
+    "cq_exec_kpis": q_cq_exec_kpis,
+    "cq_worst_lines": q_cq_worst_lines,
+    "cq_late_customers": q_cq_late_customers,
+    "cq_health_by_source": q_cq_health_by_source,
+    "cq_outcome_by_sentiment": q_cq_outcome_by_sentiment,
 }

@@ -49,7 +49,9 @@ def read_json_table(
 
 def _csv(name: str):
     def scan(spark: SparkSession, cfg: LakeConfig, options: dict | None = None) -> DataFrame:
-        return read_csv_table(spark, raw_path(cfg, RAW_PATHS[name]), name, options)
+        opts = cfg.csv_reader_options(name)
+        opts.update(options or {})
+        return read_csv_table(spark, raw_path(cfg, RAW_PATHS[name]), name, opts)
 
     scan.__name__ = name
     scan.__doc__ = f"CSV scan of ``{RAW_PATHS[name]}`` (all columns string)."
