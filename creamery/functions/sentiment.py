@@ -90,10 +90,8 @@ def model_scorer(
 
 def llm_analysis(result: Column) -> Column:
     """The free-text answer column: ``"<sentiment>"`` or ``"<sentiment>: <cause>"``."""
-    return F.when(
-        result.isNotNull(),
-        F.concat_ws(": ", result.getField("sentiment"), result.getField("root_cause")),
-    )
+    sentiment = result.getField("sentiment")
+    return F.when(sentiment.isNotNull(), F.concat_ws(": ", sentiment, result.getField("root_cause")))
 
 
 def with_sentiment(df, text_col: str, scorer: Callable[[Column], Column] | None = None):

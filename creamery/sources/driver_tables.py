@@ -45,7 +45,20 @@ class DriverTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """Scan one table; spread it over the cores if the file is a single split.
+
+        The test files hold one parquet row group each, so the scan is a
+        single task and everything up to the first shuffle would run on one
+        core. When the scan has fewer partitions than the default parallelism
+        the rows are spread round-robin first; a large input (many files /
+        row groups) already has enough splits and is left alone, so this
+        never adds a shuffle at scale.
+        """
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        parallelism = self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < parallelism:
+            df = df.repartition(parallelism, df.columns[0])
+        return df
 
     # ---- dimensions -------------------------------------------------------
 
