@@ -22,12 +22,26 @@ def save_table(
     fmt: str = "parquet",
     path: str | None = None,
     partition_by: list[str] | None = None,
+    bucket_by: list[str] | None = None,
+    buckets: int | None = None,
 ) -> None:
-    """Full refresh: replace the table's content with ``df`` (materialized view)."""
-    ensure_database(df.sparkSession, name)
+    """Full refresh: replace the table's content with ``df`` (materialized view).
+
+    ``bucket_by`` stores the table hash-bucketed on a key, so later joins and
+    aggregations on that key read it without a shuffle. The bucket count
+    defaults to ``spark.sql.shuffle.partitions`` (the cluster's size): a plan
+    that already shuffled on the key with that many partitions writes one file
+    per bucket and task. Only bucket on keys without heavy skew, since a
+    bucket is read by one task.
+    """
+    spark = df.sparkSession
+    ensure_database(spark, name)
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = writer.bucketBy(n, *bucket_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
