@@ -52,9 +52,10 @@ BRONZE_RULES = {
 }
 
 
-def _metric_columns(expectations: Sequence[Expectation]) -> list[Column]:
+def _metric_columns(expectations: Sequence[Expectation], extra: dict | None = None) -> list[Column]:
     cols = [F.count(F.lit(1)).alias("records")]
     cols += [F.count_if(e.violated()).alias(e.name) for e in expectations]
+    cols += [expr.alias(name) for name, expr in (extra or {}).items()]
     return cols
 
 
@@ -62,18 +63,20 @@ def apply_expectations(
     df: DataFrame,
     expectations: Sequence[Expectation],
     observation: Observation | str | None = None,
+    extra_metrics: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Count violations of every rule, then remove rows failing ``drop`` rules.
 
     ``observation`` is an :class:`Observation` (batch: read ``.get`` after the
     write) or a name (streaming: read ``query.lastProgress``). The counts are
     taken *before* any row is dropped, so they describe the input.
+    ``extra_metrics`` are further named aggregate columns observed alongside.
     """
     if not expectations:
         return df
     out = df
     if observation is not None:
-        out = out.observe(observation, *_metric_columns(expectations))
+        out = out.observe(observation, *_metric_columns(expectations, extra_metrics))
     keep = None
     for e in expectations:
         if e.action == DROP:

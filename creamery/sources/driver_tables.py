@@ -49,15 +49,16 @@ class DriverTables:
 
         The test files hold one parquet row group each, so the scan is a
         single task and everything up to the first shuffle would run on one
-        core. When the scan has fewer partitions than the default parallelism
-        the rows are spread round-robin first; a large input (many files /
-        row groups) already has enough splits and is left alone, so this
-        never adds a shuffle at scale.
+        core. When the input has fewer files than the default parallelism the
+        rows are spread round-robin first (a file listing decides, so no
+        extra planning); a large input of many files already has enough
+        splits and is left alone, so this never adds a shuffle at scale.
         """
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         parallelism = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < parallelism:
-            df = df.repartition(parallelism, df.columns[0])
+        # Round-robin, not hash on a column: a hot value cannot pile up in one task.
+        if len(df.inputFiles()) < parallelism:
+            df = df.repartition(parallelism)
         return df
 
     # ---- dimensions -------------------------------------------------------

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from creamery.config import LakeConfig
 from creamery.functions.casts import to_timestamp
 from creamery.operators.quality import BRONZE_RULES, apply_expectations
-from creamery.schemas import SENSOR_SCHEMA
+from creamery.schemas import SENSOR_FIELDS, SENSOR_SCHEMA
 from creamery.session import shared_root
 
 
@@ -34,9 +34,39 @@ def parse_sensor_payload(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.withColumn("event_timestamp", to_timestamp("event_timestamp"))
 
 
+def payload_metrics() -> dict:
+    """Observed per micro-batch besides the rules.
+
+    ``malformed_payload``: messages where no field could be read (not JSON, or
+    none of the expected keys). ``null_<field>``: rows where the field is
+    NULL; a field that is NULL in every row of a batch usually means the
+    producer renamed it, which a fixed schema would otherwise hide.
+    """
+    nulls = {f"null_{name}": F.count_if(F.col(name).isNull()) for name in SENSOR_FIELDS}
+    all_null = None
+    for name in SENSOR_FIELDS:
+        all_null = F.col(name).isNull() if all_null is None else all_null & F.col(name).isNull()
+    return {"malformed_payload": F.count_if(all_null), **nulls}
+
+
+def fields_missing_everywhere(metrics) -> list[str]:
+    """Fields that were NULL in every record of the observed batch (> 0 records).
+
+    ``metrics``: ``Observation.get`` (a dict) or a ``Row`` from
+    ``StreamingQueryProgress.observedMetrics``.
+    """
+    if hasattr(metrics, "asDict"):
+        metrics = metrics.asDict()
+    n = metrics.get("records", 0)
+    return [f for f in SENSOR_FIELDS if n > 0 and metrics.get(f"null_{f}") == n]
+
+
 def bronze_sensor_stream(raw: DataFrame, observation=None) -> DataFrame:
-    """Parse, count ``valid_reading_id`` / ``plausible_temperature``, drop implausible rows."""
-    return apply_expectations(parse_sensor_payload(raw), BRONZE_RULES["sensor_readings_stream"], observation)
+    """Parse, count ``valid_reading_id`` / ``plausible_temperature`` and payload
+    health, drop implausible rows."""
+    return apply_expectations(
+        parse_sensor_payload(raw), BRONZE_RULES["sensor_readings_stream"], observation, payload_metrics()
+    )
 
 
 def dedup_within_watermark(df: DataFrame, delay: str = "10 minutes") -> DataFrame:

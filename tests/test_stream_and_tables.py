@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from creamery.config import LakeConfig
 from creamery.plans.sentiment import run_sentiment
 from creamery.streaming import run_sensor_stream
+from creamery.streaming.sensor import fields_missing_everywhere
 
 
 def _messages(spark, path, ids, temps):
@@ -21,6 +22,8 @@ def test_available_now_stream_is_incremental(spark, tmp_dir):
     assert spark.read.parquet(out).count() == 2
     metrics = q.lastProgress["observedMetrics"]["sensor_readings_stream_dq"]
     assert metrics["records"] == 3 and metrics["plausible_temperature"] == 1
+    assert metrics["malformed_payload"] == 0
+    assert set(fields_missing_everywhere(metrics)) == {"pressure_bar", "fill_volume_ml", "vibration_mm_s", "machine_status"}
     run_sensor_stream(spark, cfg, out, to_path=True)
     assert spark.read.parquet(out).count() == 2  # re-run: nothing appended
     _messages(spark, inp, ["R4"], [40.0])
@@ -47,3 +50,15 @@ def test_incremental_scoring_scores_each_audit_once(spark, tmp_dir):
     assert rows["A1"].llm_analysis == "Positive"
     spark.sql(f"DROP TABLE {target}")
     assert os.path.isdir(tmp_dir)
+
+
+def test_malformed_messages_are_counted_and_dropped(spark):
+    from pyspark.sql import Observation
+
+    from creamery.streaming import bronze_sensor_stream
+
+    msgs = [('{"reading_id":"R1","temperature_c":25.0}',), ("{not json",), ('{"other":1}',)]
+    obs = Observation("m")
+    rows = bronze_sensor_stream(spark.createDataFrame(msgs, "value string"), obs).collect()
+    assert [r.reading_id for r in rows] == ["R1"]
+    assert obs.get["malformed_payload"] == 2 and obs.get["valid_reading_id"] == 2
