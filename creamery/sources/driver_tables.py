@@ -37,6 +37,11 @@ TABLES = (
 )
 
 
+# Scans already planned, per (session, folder, table): the test tables are
+# read-only, and listing + footer reads cost driver time on every query.
+_SCANS: dict = {}
+
+
 class DriverTables:
     """Lazy readers over ``<sf_dir>/<table>.parquet``."""
 
@@ -54,12 +59,15 @@ class DriverTables:
         extra planning); a large input of many files already has enough
         splits and is left alone, so this never adds a shuffle at scale.
         """
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        parallelism = self.spark.sparkContext.defaultParallelism
-        # Round-robin, not hash on a column: a hot value cannot pile up in one task.
-        if len(df.inputFiles()) < parallelism:
-            df = df.repartition(parallelism)
-        return df
+        key = (self.spark, self.sf_dir, name)
+        if key not in _SCANS:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            parallelism = self.spark.sparkContext.defaultParallelism
+            # Round-robin, not hash on a column: a hot value cannot pile up in one task.
+            if len(df.inputFiles()) < parallelism:
+                df = df.repartition(parallelism)
+            _SCANS[key] = df
+        return _SCANS[key]
 
     # ---- dimensions -------------------------------------------------------
 
