@@ -37,6 +37,18 @@ DEFAULT_RULES: tuple[Rule, ...] = (
 )
 NEUTRAL = "Neutral"
 
+# The instruction put in front of every note for a language model.
+PROMPT_TEXT = (
+    "Classify the sentiment of this quality audit note as Positive, "
+    "Neutral, or Negative, and give a one-word root cause category "
+    "if negative. Note: "
+)
+
+
+def with_prompt(text: Column, prompt: str = PROMPT_TEXT) -> Column:
+    """``concat(prompt, note)``; a NULL note gives a NULL prompt (nothing to ask)."""
+    return F.concat(F.lit(prompt), text)
+
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -63,12 +75,15 @@ def rules_scorer(rules: Sequence[Rule] = DEFAULT_RULES) -> Callable[[Column], Co
 
 def model_scorer(
     predict: Callable[[list[str]], Iterable[tuple[str | None, str | None]]],
+    prompt: str | None = None,
 ) -> Callable[[Column], Column]:
     """Wrap a batch predictor ``list[str] -> [(sentiment, root_cause), ...]``.
 
     The predictor sees one Arrow batch at a time (``spark.sql.execution.arrow.
     maxRecordsPerBatch`` rows), so a model is loaded once per task and called
-    on whole batches, never per row. NULL notes are not passed to it.
+    on whole batches, never per row. NULL notes are not passed to it. With
+    ``prompt`` (e.g. :data:`PROMPT_TEXT`) each note is prefixed in the JVM
+    before it is shipped to Python.
     """
 
     @F.pandas_udf(SENTIMENT_STRUCT)
@@ -83,7 +98,7 @@ def model_scorer(
             yield out
 
     def score(text: Column) -> Column:
-        return _score(text)
+        return _score(with_prompt(text, prompt) if prompt is not None else text)
 
     return score
 

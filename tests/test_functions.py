@@ -101,3 +101,14 @@ def test_model_scorer_batches(spark):
     assert got["too low"] == ("Negative", "Volume", "Negative: Volume")
     assert got["fine"] == ("Positive", None, "Positive")
     assert got[None] == (None, None, None)
+
+
+def test_model_scorer_with_prompt(spark):
+    from creamery.functions.sentiment import PROMPT_TEXT
+
+    def predict(texts):
+        return [("Neutral", "prompted" if t == PROMPT_TEXT + "note one" else "raw") for t in texts]
+
+    df = spark.createDataFrame([("note one",), (None,)], "n string").coalesce(1)
+    rows = with_sentiment(df, "n", model_scorer(predict, prompt=PROMPT_TEXT)).collect()
+    assert [(r.sentiment, r.root_cause) for r in rows] == [("Neutral", "prompted"), (None, None)]
