@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from creamery.config import LakeConfig
 from creamery.operators.quality import BRONZE_RULES, apply_expectations
-from creamery.plans import gold, silver
+from creamery.plans import consumer, gold, silver
 from creamery.plans.sentiment import run_sentiment
 from creamery.schemas import SENSOR_SCHEMA
 from creamery.sinks.tables import create_table_if_missing, save_table
@@ -44,6 +44,21 @@ GOLD_PLAN: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "d_sensor_health_summary": (gold.d_sensor_health_summary, ["fact_sensor_readings", "silver_dim_lines"]),
 }
 
+# Consumer results stored in gold; inputs are (layer, table).
+CONSUMER_PLAN: dict[str, tuple[Callable[..., DataFrame], list[tuple[str, str]]]] = {
+    "cq_plant_ranking": (
+        consumer.plant_ranking, [("silver", "fact_production_batches"), ("silver", "silver_dim_plants")]
+    ),
+    "cq_exec_kpis": (
+        consumer.exec_kpis,
+        [("silver", "fact_production_batches"), ("silver", "fact_shipments"), ("gold", "d_audit_sentiment")],
+    ),
+    "cq_worst_lines": (consumer.worst_lines, [("gold", "d_production_summary")]),
+    "cq_late_customers": (consumer.late_customers, [("gold", "d_retailer_360")]),
+    "cq_health_by_source": (consumer.health_by_source, [("silver", "fact_sensor_readings")]),
+    "cq_outcome_by_sentiment": (consumer.outcome_by_sentiment, [("gold", "d_audit_sentiment")]),
+}
+
 # Tables stored bucketed on a key that is unique after silver dedup (so no
 # bucket can be skewed): the audit summary joins audits to batches on batch_id
 # and reads the batch fact without shuffling it.
@@ -102,6 +117,13 @@ def run_gold(spark: SparkSession, cfg: LakeConfig) -> None:
     _run_layer(spark, cfg, GOLD_PLAN, "silver", "gold")
 
 
+def run_consumer(spark: SparkSession, cfg: LakeConfig) -> None:
+    """Dashboard tables in gold, computed from the stored silver and gold tables."""
+    for name, (fn, inputs) in CONSUMER_PLAN.items():
+        frames = [spark.table(cfg.table(layer, t)) for layer, t in inputs]
+        save_table(fn(*frames), cfg.table("gold", name), cfg.table_format)
+
+
 def run_all(spark: SparkSession, cfg: LakeConfig, bronze_inputs: dict[str, DataFrame] | None = None,
             with_stream: bool = False, scorer=None) -> dict[str, Observation]:
     from creamery.streaming.sensor import run_sensor_stream
@@ -112,4 +134,5 @@ def run_all(spark: SparkSession, cfg: LakeConfig, bronze_inputs: dict[str, DataF
     run_silver(spark, cfg)
     run_gold(spark, cfg)
     run_sentiment(spark, cfg, scorer=scorer)
+    run_consumer(spark, cfg)
     return observations

@@ -10,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+# File formats whose tables Spark can store bucketed (table formats such as
+# Delta or Iceberg use their own clustering instead).
+BUCKETABLE_FORMATS = ("parquet", "orc", "json", "csv")
+
+
 def ensure_database(spark: SparkSession, qualified_name: str) -> None:
     if "." in qualified_name:
         db = qualified_name.rsplit(".", 1)[0]
@@ -39,7 +44,7 @@ def save_table(
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if bucket_by:
+    if bucket_by and fmt in BUCKETABLE_FORMATS:
         n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         writer = writer.bucketBy(n, *bucket_by)
     if path:

@@ -38,6 +38,12 @@ def test_full_pipeline_over_files(spark, tmp_dir):
         direct = sorted(map(str, QUERIES[name](spark, SF_SMALL).select(*spark.table(cfg.table("gold", name)).columns).collect()))
         assert stored == direct, name
     assert spark.table(cfg.table("gold", "d_audit_sentiment")).count() == spark.table(cfg.table("silver", "fact_quality_audits")).count()
+    for name in ("cq_health_by_source", "cq_late_customers", "cq_worst_lines", "cq_plant_ranking"):
+        stored = sorted(map(str, spark.table(cfg.table("gold", name)).collect()))
+        direct = sorted(map(str, QUERIES[name](spark, SF_SMALL).select(*spark.table(cfg.table("gold", name)).columns).collect()))
+        assert stored == direct, name
+    bucket_spec = spark.sql(f"DESCRIBE TABLE EXTENDED {cfg.table('silver', 'fact_production_batches')}").collect()
+    assert any(r.col_name == "Bucket Columns" and "batch_id" in r.data_type for r in bucket_spec)
 
 
 def _canon(cols, rows):
