@@ -63,3 +63,15 @@ def test_query_matches_oracle_small(spark, name):
     o_cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(o_cols)
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(o_cols, res.fetchall())
+
+
+def test_cli_runs_layers(spark, tmp_dir):
+    from creamery import cli
+
+    t = DriverTables(spark, SF_SMALL)
+    write_landing(t, f"{tmp_dir}/raw")
+    cli.main(["--base-path", f"{tmp_dir}/raw", "--layers", "bronze,silver,gold",
+              "--bronze-db", "cli_b", "--silver-db", "cli_s", "--gold-db", "cli_g"])
+    assert spark.table("cli_g.d_production_summary").count() == QUERIES["d_production_summary"](spark, SF_SMALL).count()
+    with pytest.raises(SystemExit):
+        cli.main(["--base-path", "x", "--layers", "bronze,nope"])

@@ -92,3 +92,18 @@ def test_production_and_retailer_marts(spark):
                                       "customer_id string, customer_name string, country string, account_tier string, contract_start string")
     c = gold.d_retailer_360(ships, customers).first()
     assert (c.total_shipments, c.total_units_shipped, c.delivered_count, c.delayed_count, c.returned_count, c.on_time_rate_pct) == (4, 21, 1, 1, 1, 25.0)
+
+
+def test_hot_batch_audit_counts_are_exact(spark):
+    """One batch holds a third of all audits: the pre-aggregated join still counts every audit."""
+    n = 3000
+    rows = [(f"A{i}", "HOT" if i % 3 == 0 else f"B{i % 50}", "Pass" if i % 2 else "Fail") for i in range(n)]
+    audits = spark.createDataFrame(rows, "audit_id string, batch_id string, audit_outcome string").repartition(8)
+    batches = spark.createDataFrame([("HOT", "P1")] + [(f"B{i}", "P2") for i in range(50)], "batch_id string, plant_id string")
+    plants = spark.createDataFrame([("P1", "Hot plant"), ("P2", "Other")], "plant_id string, plant_name string")
+    got = {(r.plant_id, r.audit_outcome): r.audit_count for r in gold.d_quality_audit_summary(audits, batches, plants).collect()}
+    expected = {}
+    for _, b, o in rows:
+        p = "P1" if b == "HOT" else "P2"
+        expected[(p, o)] = expected.get((p, o), 0) + 1
+    assert got == expected
