@@ -47,6 +47,9 @@ class LakeConfig:
     checkpoint_root: str | None = None
     # Optional storage root for the three databases (CREATE DATABASE ... LOCATION).
     db_root: str | None = None
+    # Independent tables of one layer are written by this many concurrent Spark
+    # jobs, so small tables (dimensions) do not leave the cluster idle.
+    concurrent_writes: int = 4
     # Extra CSV reader options per bronze input. Quotes are escaped by doubling
     # (RFC 4180, as spreadsheet and pandas writers do); free-text notes may
     # span lines, which makes those files unsplittable, so it is per table.

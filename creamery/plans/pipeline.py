@@ -8,7 +8,8 @@ failed run can be resumed from the last stored layer.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -71,6 +72,18 @@ STREAM_DDL = ", ".join(
 )
 
 
+def run_concurrently(tasks: Iterable[Callable[[], None]], workers: int) -> None:
+    """Run independent table writes as concurrent Spark jobs; re-raise the first failure."""
+    tasks = list(tasks)
+    if workers <= 1 or len(tasks) <= 1:
+        for task in tasks:
+            task()
+        return
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for future in [pool.submit(task) for task in tasks]:
+            future.result()
+
+
 def create_databases(spark: SparkSession, cfg: LakeConfig) -> None:
     for layer in ("bronze", "silver", "gold"):
         db = cfg.database(layer)
@@ -91,12 +104,15 @@ def run_bronze(
         inputs = {name: scan(spark, cfg) for name, scan in CSV_SCANS.items()}
         inputs["sensor_readings"] = sensor_readings(spark, cfg)
     observations: dict[str, Observation] = {}
+    tasks = []
     for name, df in inputs.items():
         rules = BRONZE_RULES.get(name, ())
         obs = Observation(f"{name}_dq") if rules else None
-        save_table(apply_expectations(df, rules, obs), cfg.table("bronze", name), cfg.table_format)
+        out = apply_expectations(df, rules, obs)
+        tasks.append(lambda out=out, name=name: save_table(out, cfg.table("bronze", name), cfg.table_format))
         if obs is not None:
             observations[name] = obs
+    run_concurrently(tasks, cfg.concurrent_writes)
     # The live table exists even before the first stream run, so silver can read it.
     create_table_if_missing(spark, cfg.table("bronze", STREAM_TABLE), STREAM_DDL, cfg.table_format)
     return observations
@@ -104,10 +120,16 @@ def run_bronze(
 
 def _run_layer(spark: SparkSession, cfg: LakeConfig, plan: dict, src_layer: str, dst_layer: str) -> None:
     create_databases(spark, cfg)
-    for name, (fn, inputs) in plan.items():
+
+    def write(name, fn, inputs):
         frames = [spark.table(cfg.table(src_layer, i)) for i in inputs]
         save_table(fn(*frames), cfg.table(dst_layer, name), cfg.table_format, bucket_by=BUCKETING.get(name))
 
+    run_concurrently(
+        [lambda n=name, f=fn, i=inputs: write(n, f, i) for name, (fn, inputs) in plan.items()],
+        cfg.concurrent_writes,
+    )
+
 
 def run_silver(spark: SparkSession, cfg: LakeConfig) -> None:
     _run_layer(spark, cfg, SILVER_PLAN, "bronze", "silver")
@@ -119,10 +141,16 @@ def run_gold(spark: SparkSession, cfg: LakeConfig) -> None:
 
 def run_consumer(spark: SparkSession, cfg: LakeConfig) -> None:
     """Dashboard tables in gold, computed from the stored silver and gold tables."""
-    for name, (fn, inputs) in CONSUMER_PLAN.items():
+
+    def write(name, fn, inputs):
         frames = [spark.table(cfg.table(layer, t)) for layer, t in inputs]
         save_table(fn(*frames), cfg.table("gold", name), cfg.table_format)
 
+    run_concurrently(
+        [lambda n=name, f=fn, i=inputs: write(n, f, i) for name, (fn, inputs) in CONSUMER_PLAN.items()],
+        cfg.concurrent_writes,
+    )
+
 
 def run_all(spark: SparkSession, cfg: LakeConfig, bronze_inputs: dict[str, DataFrame] | None = None,
             with_stream: bool = False, scorer=None) -> dict[str, Observation]:

@@ -22,11 +22,15 @@ def write_csv_input(t: DriverTables, name: str, root: str) -> str:
     return path
 
 
-def write_landing(t: DriverTables, root: str) -> None:
-    """Every raw input of the bronze layer below ``root``."""
-    for name in CSV_SCANS:
-        write_csv_input(t, name, root)
-    t.sensor_readings().write.mode("overwrite").json(f"{root.rstrip('/')}/{RAW_PATHS['sensor_readings']}")
+def write_landing(t: DriverTables, root: str, concurrent_writes: int = 4) -> None:
+    """Every raw input of the bronze layer below ``root`` (independent writes run concurrently)."""
+    from creamery.plans.pipeline import run_concurrently
+
+    tasks = [lambda n=name: write_csv_input(t, n, root) for name in CSV_SCANS]
+    tasks.append(
+        lambda: t.sensor_readings().write.mode("overwrite").json(f"{root.rstrip('/')}/{RAW_PATHS['sensor_readings']}")
+    )
+    run_concurrently(tasks, concurrent_writes)
 
 
 def write_payload_files(t: DriverTables, path: str) -> None:
