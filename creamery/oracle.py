@@ -349,7 +349,7 @@ def oracle_sql() -> dict[str, str]:
     q["cq_plant_ranking"] = with_ctes(
         ["s_batches", "s_plants"],
         f"""SELECT a.plant_id, a.total_batches, a.avg_yield_pct, p.plant_name, p.country,
-                   rank() OVER (ORDER BY a.avg_yield_pct DESC NULLS LAST) AS yield_rank
+                   CAST(rank() OVER (ORDER BY a.avg_yield_pct DESC NULLS LAST) AS INTEGER) AS yield_rank
             FROM (SELECT plant_id, count(batch_id) AS total_batches, {exact_avg('yield_pct')} AS avg_yield_pct
                   FROM s_batches GROUP BY plant_id) a
             JOIN s_plants p ON a.plant_id = p.plant_id""",
