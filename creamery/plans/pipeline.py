@@ -18,7 +18,7 @@ from creamery.operators.quality import BRONZE_RULES, apply_expectations
 from creamery.plans import consumer, gold, silver
 from creamery.plans.sentiment import run_sentiment
 from creamery.schemas import SENSOR_SCHEMA
-from creamery.sinks.tables import create_table_if_missing, save_table
+from creamery.sinks.tables import append_rows, create_table_if_missing, save_table
 from creamery.sources.files import CSV_SCANS, sensor_readings
 
 SILVER_PLAN: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
@@ -91,6 +91,36 @@ def create_databases(spark: SparkSession, cfg: LakeConfig) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
 
 
+EXPECTATIONS_LOG = "expectations_log"
+EXPECTATIONS_LOG_DDL = (
+    "run_ts TIMESTAMP, table_name STRING, rule_name STRING, action STRING, "
+    "total_records BIGINT, failed_records BIGINT, passed_records BIGINT"
+)
+
+
+def log_expectations(spark: SparkSession, cfg: LakeConfig, observations: dict[str, Observation]) -> None:
+    """Append this run's rule counts to ``bronze.expectations_log`` (the pipeline's DQ history).
+
+    One row per rule per run: the counts were already computed by the
+    writing jobs (``observe``), so this only writes a handful of rows.
+    """
+    import datetime as dt
+
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = []
+    for table, obs in observations.items():
+        metrics = obs.get
+        for rule in BRONZE_RULES.get(table, ()):
+            failed = int(metrics[rule.name])
+            rows.append((now, table, rule.name, rule.action, int(metrics["records"]), failed,
+                         int(metrics["records"]) - failed))
+    if not rows:
+        return
+    target = cfg.table("bronze", EXPECTATIONS_LOG)
+    create_table_if_missing(spark, target, EXPECTATIONS_LOG_DDL, cfg.table_format)
+    append_rows(spark.createDataFrame(rows, EXPECTATIONS_LOG_DDL), target)
+
+
 def run_bronze(
     spark: SparkSession, cfg: LakeConfig, inputs: dict[str, DataFrame] | None = None
 ) -> dict[str, Observation]:
@@ -113,6 +143,7 @@ def run_bronze(
         if obs is not None:
             observations[name] = obs
     run_concurrently(tasks, cfg.concurrent_writes)
+    log_expectations(spark, cfg, observations)
     # The live table exists even before the first stream run, so silver can read it.
     create_table_if_missing(spark, cfg.table("bronze", STREAM_TABLE), STREAM_DDL, cfg.table_format)
     return observations

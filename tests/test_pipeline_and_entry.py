@@ -33,6 +33,8 @@ def test_full_pipeline_over_files(spark, tmp_dir):
     )
     obs = run_all(spark, cfg, with_stream=True)
     assert obs["historical_production_batches"].get["valid_batch_id"] == 0
+    log = {(r.table_name, r.rule_name): (r.total_records, r.failed_records) for r in spark.table("tb.expectations_log").collect()}
+    assert log[("dim_plants", "valid_plant_id")] == (25, 0)
     for name in ("d_production_summary", "d_retailer_360", "d_quality_audit_summary", "d_sensor_health_summary"):
         stored = sorted(map(str, spark.table(cfg.table("gold", name)).collect()))
         direct = sorted(map(str, QUERIES[name](spark, SF_SMALL).select(*spark.table(cfg.table("gold", name)).columns).collect()))

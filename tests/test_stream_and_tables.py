@@ -62,3 +62,11 @@ def test_malformed_messages_are_counted_and_dropped(spark):
     rows = bronze_sensor_stream(spark.createDataFrame(msgs, "value string"), obs).collect()
     assert [r.reading_id for r in rows] == ["R1"]
     assert obs.get["malformed_payload"] == 2 and obs.get["valid_reading_id"] == 2
+
+
+def test_kafka_options_take_credentials_as_arguments():
+    from creamery.streaming.sensor import kafka_sasl_options
+
+    opts = kafka_sasl_options("ns.example:9093", "sensors", "$ConnectionString", "secret")
+    assert opts["subscribe"] == "sensors" and opts["kafka.security.protocol"] == "SASL_SSL"
+    assert 'password="secret"' in opts["kafka.sasl.jaas.config"]
