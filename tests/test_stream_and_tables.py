@@ -70,3 +70,16 @@ def test_kafka_options_take_credentials_as_arguments():
     opts = kafka_sasl_options("ns.example:9093", "sensors", "$ConnectionString", "secret")
     assert opts["subscribe"] == "sensors" and opts["kafka.security.protocol"] == "SASL_SSL"
     assert 'password="secret"' in opts["kafka.sasl.jaas.config"]
+
+
+def test_optional_watermark_dedup_in_stream(spark, tmp_dir):
+    from creamery.streaming import bronze_sensor_stream, dedup_within_watermark
+
+    inp = f"{tmp_dir}/in"
+    _messages(spark, inp, ["R1", "R1", "R2"], [25.0, 25.0, 30.0])
+    raw = spark.readStream.format("text").load(inp)
+    rows = dedup_within_watermark(bronze_sensor_stream(raw), "1 hour")
+    q = (rows.writeStream.format("memory").queryName("wm_dedup").outputMode("append")
+         .option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.reading_id for r in spark.table("wm_dedup").collect()) == ["R1", "R2"]
