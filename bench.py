@@ -25,7 +25,7 @@ sys.path.insert(0, ROOT)
 from creamery.queries import QUERIES  # noqa: E402
 from creamery.session import local_session  # noqa: E402
 
-# The marts and facts a deployment runs every day, the live path, and the full pipeline.
+# The marts and facts a deployment runs every day, the live path, and the full file-to-gold run.
 HEADLINE = [
     "fact_production_batches",
     "fact_shipments",
@@ -41,7 +41,7 @@ HEADLINE = [
     "cq_plant_ranking",
     "cq_exec_kpis",
     "cq_health_by_source",
-    "pipeline_files_to_gold",
+    "medallion_files_to_gold",
 ]
 
 

@@ -15,7 +15,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from creamery.config import LakeConfig
-from creamery.plans import pipeline
+from creamery.plans import layers
 from creamery.plans.sentiment import run_sentiment
 from creamery.streaming.sensor import run_sensor_stream
 
@@ -38,8 +38,8 @@ def parse_args(argv=None):
 
 def main(argv=None) -> None:
     args = parse_args(argv)
-    layers = [x for x in args.layers.split(",") if x]
-    unknown = set(layers) - set(LAYERS)
+    wanted = [x for x in args.layers.split(",") if x]
+    unknown = set(wanted) - set(LAYERS)
     if unknown:
         raise SystemExit(f"unknown layers: {sorted(unknown)}")
     cfg = LakeConfig(
@@ -48,17 +48,17 @@ def main(argv=None) -> None:
         stream_options=dict(o.split("=", 1) for o in args.stream_option),
     )
     spark = SparkSession.builder.appName("creamery").getOrCreate()
-    if "bronze" in layers:
-        for name, obs in pipeline.run_bronze(spark, cfg).items():
+    if "bronze" in wanted:
+        for name, obs in layers.run_bronze(spark, cfg).items():
             print(f"expectations {name}: {obs.get}")
-    if "stream" in layers:
-        q = run_sensor_stream(spark, cfg, cfg.table("bronze", pipeline.STREAM_TABLE))
+    if "stream" in wanted:
+        q = run_sensor_stream(spark, cfg, cfg.table("bronze", layers.STREAM_TABLE))
         print(f"stream progress: {q.lastProgress}")
-    if "silver" in layers:
-        pipeline.run_silver(spark, cfg)
-    if "gold" in layers:
-        pipeline.run_gold(spark, cfg)
-    if "sentiment" in layers:
+    if "silver" in wanted:
+        layers.run_silver(spark, cfg)
+    if "gold" in wanted:
+        layers.run_gold(spark, cfg)
+    if "sentiment" in wanted:
         run_sentiment(spark, cfg)
 
 

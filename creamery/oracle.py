@@ -344,7 +344,7 @@ def oracle_sql() -> dict[str, str]:
                    CAST(anomaly_flag AS BIGINT) AS anomaly_flag
             FROM b_events WHERE event_timestamp < {SNAPSHOT_CUTOFF_SQL}""",
     )
-    q["pipeline_files_to_gold"] = q["d_sensor_health_summary"]
+    q["medallion_files_to_gold"] = q["d_sensor_health_summary"]
 
     q["cq_plant_ranking"] = with_ctes(
         ["s_batches", "s_plants"],

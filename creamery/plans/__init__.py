@@ -1 +1 @@
-"""Table-level plans: silver and gold tables, sentiment scoring, consumer queries, pipeline runs."""
+"""Table-level plans: silver and gold tables, sentiment scoring, consumer queries, layer runs."""

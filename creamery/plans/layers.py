@@ -99,7 +99,7 @@ EXPECTATIONS_LOG_DDL = (
 
 
 def log_expectations(spark: SparkSession, cfg: LakeConfig, observations: dict[str, Observation]) -> None:
-    """Append this run's rule counts to ``bronze.expectations_log`` (the pipeline's DQ history).
+    """Append this run's rule counts to ``bronze.expectations_log`` (the DQ history of the runs).
 
     One row per rule per run: the counts were already computed by the
     writing jobs (``observe``), so this only writes a handful of rows.

@@ -1,7 +1,7 @@
 """Silver layer: typed, derived, deduplicated tables.
 
 Each function takes bronze DataFrames and returns a DataFrame; reading and
-writing tables is done by :mod:`creamery.plans.pipeline`.
+writing tables is done by :mod:`creamery.plans.layers`.
 """
 
 from __future__ import annotations

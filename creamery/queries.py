@@ -21,7 +21,7 @@ from creamery.functions.measures import count_when, yield_pct
 from creamery.operators.harmonise import harmonise_sensor, union_sources
 from creamery.operators.quality import BRONZE_RULES, expectations_report
 from creamery.plans import consumer, gold, silver
-from creamery.plans.pipeline import run_all
+from creamery.plans.layers import run_all
 from creamery.plans.sentiment import pending_audits, run_sentiment, score_audits
 from creamery.session import scratch_dir
 from creamery.sources import files
@@ -220,7 +220,7 @@ def q_stream_bronze_run(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
-def q_pipeline_files_to_gold(spark, sf_dir):
+def q_medallion_files_to_gold(spark, sf_dir):
     """SNK-01, SRC-01..10, STR-03: landing files -> bronze -> live stream -> silver -> gold tables."""
     t = _t(spark, sf_dir)
     root = scratch_dir(spark, "lake")
@@ -298,7 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conditional_counts": q_conditional_counts,
     "csv_roundtrip_scan": q_csv_roundtrip_scan,
     "json_snapshot_scan": q_json_snapshot_scan,
-    "pipeline_files_to_gold": q_pipeline_files_to_gold,
+    "medallion_files_to_gold": q_medallion_files_to_gold,
     "cq_plant_ranking": q_cq_plant_ranking,
     "cq_exec_kpis": q_cq_exec_kpis,
     "cq_worst_lines": q_cq_worst_lines,

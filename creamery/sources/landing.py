@@ -1,6 +1,6 @@
 """Raw landing files written from the shared test tables.
 
-Used to exercise the file scans, the stream source and the full pipeline on
+Used to exercise the file scans, the stream source and the full layer run on
 real files: CSV with a header for the seven tabular inputs, JSON lines for the
 sensor snapshot, and text files of JSON messages for the live stream. All
 writes are distributed Spark writes into a folder below the shared root.
@@ -24,7 +24,7 @@ def write_csv_input(t: DriverTables, name: str, root: str) -> str:
 
 def write_landing(t: DriverTables, root: str, concurrent_writes: int = 4) -> None:
     """Every raw input of the bronze layer below ``root`` (independent writes run concurrently)."""
-    from creamery.plans.pipeline import run_concurrently
+    from creamery.plans.layers import run_concurrently
 
     tasks = [lambda n=name: write_csv_input(t, n, root) for name in CSV_SCANS]
     tasks.append(

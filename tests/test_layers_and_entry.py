@@ -6,7 +6,7 @@ import pytest
 
 from conftest import ROOT, SF_SMALL
 from creamery.config import LakeConfig
-from creamery.plans.pipeline import run_all
+from creamery.plans.layers import run_all
 from creamery.queries import QUERIES
 from creamery.sources.driver_tables import DriverTables
 from creamery.sources.landing import write_landing, write_payload_files
@@ -23,7 +23,7 @@ def test_entry_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_full_pipeline_over_files(spark, tmp_dir):
+def test_full_layer_run_over_files(spark, tmp_dir):
     t = DriverTables(spark, SF_SMALL)
     write_landing(t, f"{tmp_dir}/raw")
     write_payload_files(t, f"{tmp_dir}/messages")

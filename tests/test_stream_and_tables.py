@@ -83,3 +83,11 @@ def test_optional_watermark_dedup_in_stream(spark, tmp_dir):
          .option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.reading_id for r in spark.table("wm_dedup").collect()) == ["R1", "R2"]
+
+
+def test_scoring_run_fails_loudly_without_source(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        run_sentiment(spark, LakeConfig(silver_db="no_such_db"), target="default.never_created", location=tmp_dir)
