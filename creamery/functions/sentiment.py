@@ -112,11 +112,12 @@ def llm_analysis(result: Column) -> Column:
 def with_sentiment(df, text_col: str, scorer: Callable[[Column], Column] | None = None):
     """Add ``llm_analysis``, ``sentiment`` and ``root_cause`` for ``text_col``."""
     scorer = scorer or rules_scorer()
-    scored = df.withColumn("_sentiment", scorer(_c(text_col)))
+    tmp = "__creamery_sentiment"
+    scored = df.withColumn(tmp, scorer(_c(text_col)))
     return scored.withColumns(
         {
-            "llm_analysis": llm_analysis(F.col("_sentiment")),
-            "sentiment": F.col("_sentiment.sentiment"),
-            "root_cause": F.col("_sentiment.root_cause"),
+            "llm_analysis": llm_analysis(F.col(tmp)),
+            "sentiment": F.col(f"{tmp}.sentiment"),
+            "root_cause": F.col(f"{tmp}.root_cause"),
         }
-    ).drop("_sentiment")
+    ).drop(tmp)

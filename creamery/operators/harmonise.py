@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creamery.functions.casts import to_double, to_timestamp
+from creamery.functions.casts import to_double, to_int, to_timestamp
 from creamery.schemas import SENSOR_COLS
 
 
@@ -22,7 +22,7 @@ def harmonise_sensor(df: DataFrame, source_tag: str) -> DataFrame:
             "pressure_bar": to_double("pressure_bar"),
             "fill_volume_ml": to_double("fill_volume_ml"),
             "vibration_mm_s": to_double("vibration_mm_s"),
-            "anomaly_flag": F.col("anomaly_flag").try_cast("int"),
+            "anomaly_flag": to_int("anomaly_flag"),
             "data_source": F.lit(source_tag),
         }
     ).select(*SENSOR_COLS)
