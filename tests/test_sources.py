@@ -85,3 +85,13 @@ def test_payload_parse_is_permissive(spark):
     assert rows[0].reading_id == "R1" and rows[0].anomaly_flag == 1 and rows[0].event_timestamp is not None
     assert rows[1].reading_id is None and rows[1].temperature_c is None
     assert rows[2].reading_id == "R3" and rows[2].temperature_c is None and rows[2].event_timestamp is None
+
+
+def test_json_snapshot_renamed_field_fails_loudly(spark, tmp_dir):
+    _write(
+        f"{tmp_dir}/streaming/part-0.json",
+        '{"reading_id":"R1","line_id":"L001","event_ts":"2026-07-30T10:00:00","temperature_c":72.1,'
+        '"pressure_bar":3.2,"fill_volume_ml":500.0,"vibration_mm_s":1.2,"machine_status":"Running","anomaly_flag":0}\n',
+    )
+    with pytest.raises(AnalysisException):
+        files.sensor_readings(spark, LakeConfig(base_path=tmp_dir)).collect()
