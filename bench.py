@@ -60,11 +60,17 @@ def main() -> None:
 
     cold: dict[str, float] = {}
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
-        for runs in (cold, timings):
-            t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs[name] = round(time.perf_counter() - t0, 3)
+        try:
+            for runs in (cold, timings):
+                t0 = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # keep measuring the others; report the failure
+            errors[name] = f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
+            cold.pop(name, None)
+            timings.pop(name, None)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
@@ -78,6 +84,7 @@ def main() -> None:
                 "cold_queries": cold,
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
+                "errors": errors,
             }
         )
     )
