@@ -50,6 +50,9 @@ class LakeConfig:
     # Independent tables of one layer are written by this many concurrent Spark
     # jobs, so small tables (dimensions) do not leave the cluster idle.
     concurrent_writes: int = 4
+    # Buckets of the bucketed silver batch fact; None = spark.sql.shuffle.partitions.
+    # Size it to the fact (e.g. fact bytes / 256 MB), not to the whole input.
+    bucket_count: int | None = None
     # Extra CSV reader options per bronze input. Quotes are escaped by doubling
     # (RFC 4180, as spreadsheet and pandas writers do); free-text notes may
     # span lines, which makes those files unsplittable, so it is per table.

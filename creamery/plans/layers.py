@@ -154,7 +154,10 @@ def _run_layer(spark: SparkSession, cfg: LakeConfig, plan: dict, src_layer: str,
 
     def write(name, fn, inputs):
         frames = [spark.table(cfg.table(src_layer, i)) for i in inputs]
-        save_table(fn(*frames), cfg.table(dst_layer, name), cfg.table_format, bucket_by=BUCKETING.get(name))
+        save_table(
+            fn(*frames), cfg.table(dst_layer, name), cfg.table_format,
+            bucket_by=BUCKETING.get(name), buckets=cfg.bucket_count,
+        )
 
     run_concurrently(
         [lambda n=name, f=fn, i=inputs: write(n, f, i) for name, (fn, inputs) in plan.items()],

@@ -8,6 +8,7 @@ is absent (local runs, tests) is a local temp folder created and registered.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -69,3 +70,27 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique sub-folder of the shared root for one run."""
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Spark settings sized for reading ``input_bytes`` of data (pass to ``spark-submit --conf``).
+
+    One scan split and one initial shuffle partition per ``partition_bytes``
+    (AQE then coalesces small shuffles towards the same size), skew splitting
+    for partitions four times larger than that, and the broadcast limit that
+    ``join_dim`` measures dimensions against. For 100 TB this gives ~373k
+    initial partitions of 256 MB, i.e. tasks that fit comfortably in executor
+    memory.
+    """
+    parts = max(200, math.ceil(input_bytes / partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }

@@ -112,3 +112,12 @@ def test_model_scorer_with_prompt(spark):
     df = spark.createDataFrame([("note one",), (None,)], "n string").coalesce(1)
     rows = with_sentiment(df, "n", model_scorer(predict, prompt=PROMPT_TEXT)).collect()
     assert [(r.sentiment, r.root_cause) for r in rows] == [("Neutral", "prompted"), (None, None)]
+
+
+def test_scale_conf_sizes_partitions():
+    from creamery.session import scale_conf
+
+    conf = scale_conf(100 * 10**12)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 372530
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert scale_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
