@@ -38,15 +38,17 @@ def local_session(
         .config("spark.driver.memory", driver_memory)
     )
     extra = dict(extra or {})
-    if "spark.checkpoint.dir" not in extra:
-        # Local runs only: a cluster names its shared folder itself.
-        scratch = tempfile.mkdtemp(prefix="creamery-ckpt-")
-        builder = builder.config("spark.checkpoint.dir", scratch)
+    scratch = tempfile.mkdtemp(prefix="creamery-local-")
+    if "spark.sql.warehouse.dir" not in extra:
         builder = builder.config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
     for key, value in extra.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # Keep a checkpoint folder named by the environment (spark-defaults, --conf);
+    # only a bare local session gets its own.
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
     return spark
 
 
