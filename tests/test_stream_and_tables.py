@@ -91,3 +91,13 @@ def test_scoring_run_fails_loudly_without_source(spark, tmp_dir):
 
     with pytest.raises(AnalysisException):
         run_sentiment(spark, LakeConfig(silver_db="no_such_db"), target="default.never_created", location=tmp_dir)
+
+
+def test_kafka_source_without_connector_fails_clearly(spark):
+    import pytest
+
+    from creamery.streaming.sensor import kafka_sasl_options, read_sensor_source
+
+    cfg = LakeConfig(stream_format="kafka", stream_options=kafka_sasl_options("h:9093", "sensors", "u", "p"))
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_sensor_source(spark, cfg)
