@@ -50,7 +50,7 @@ def train(docs: DataFrame, max_docs: int = 1500, max_bytes: int = 20_000, max_sy
         full = np.zeros((a, a, a))
         np.add.at(full, (code[g >> 16], code[g >> 8 & 255], code[g & 255]), part["n"].to_numpy(dtype=float))
         cost[..., k] = -np.log(_blend(full))
-    return {"langs": langs, "code": code.astype(np.int32), "cost": cost.reshape(-1, len(langs))}
+    return {"langs": langs, "code": code.astype(np.int32), "cost": cost.reshape(a**3, len(langs))}
 
 
 def _blend(full: np.ndarray) -> np.ndarray:

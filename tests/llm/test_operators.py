@@ -1,0 +1,291 @@
+"""The ten operators against brute force, on sf0.001 and on awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from creamery.llm import bpe, hyperplanes, line_frequency, line_windows, mixing, phrases, ppm, simhash, token_files, toxicity
+from creamery.llm.common import table
+from creamery.llm.components import connected_components
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
+COPY = " ".join(f"c{i}" for i in range(60))
+ROWS = [
+    (1, None, None, None), (2, "", "en", "a"), (3, "   \n\t ", None, "a"), (4, LONG, "en", "b"),
+    (5, COPY, "en", "b"), (6, "x y " + COPY + " z", "en", None), (7, COPY, "de", "b"), (8, COPY + " " + COPY, "de", "c"),
+    (9, "a a a a a a a a a a a a", "fr", "c"), (10, "one line here\ntwo lines here\nthree\nfour\none line here\ntwo lines here\nthree", "en", "c"),
+    (11, "zero\none line here\n\ntwo lines here\nthree\nfour", "en", "c"), (12, "<|endoftext|> Don't ÉCOLE  stop   12,345!? \U0001f600 \x00", "en", "a"),
+    (None, COPY, "en", "a"), (13, "same", "en", "a"), (13, "same", "en", "a"), (14, "###$$$ | <> %", None, "z"),
+]
+
+
+@pytest.fixture(scope="module", params=["awkward", "empty", "sf"])
+def docs(request, spark):
+    if request.param == "sf":
+        return table(spark, SF, "documents")
+    rows = ROWS if request.param == "awkward" else []
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    return d.withColumns({"n_chars": F.length("text").cast("long"), "key": F.lit(1), "h": F.lit("x"), "fp": F.lit(0.5), "label": F.lit(None).cast("string")})
+
+
+def rows(df, *cols):
+    return sorted((tuple(r[c] for c in cols) for r in df.select(*cols).collect()), key=repr)
+
+
+def given(docs):
+    return [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+
+
+def test_phrases(docs):
+    first, texts = {}, {}
+    for d, t, _ in given(docs):
+        texts.setdefault(-1 if d is None else d, []).append(WORD.findall(t or ""))
+    for d in sorted(texts):
+        for ws in texts[d]:
+            for i in range(len(ws) - 19):
+                key = tuple(ws[i : i + 20])
+                first[key] = min(first.get(key, (d, i)), (d, i))
+    want = []
+    for d, t, _ in given(docs):
+        ws = WORD.findall(t or "")
+        k = -1 if d is None else d
+        gone = set()
+        for i in range(len(ws) - 19):
+            if first[tuple(ws[i : i + 20])] < (k, i):
+                gone |= set(range(i, i + 20))
+        want.append((d, len(ws), len(gone), " ".join(w for i, w in enumerate(ws) if i not in gone)))
+    assert rows(phrases.dedup_phrases(docs), "doc_id", "n_words", "n_removed", "kept") == sorted(want, key=repr)
+
+
+def test_phrases_in_small_shards(spark):
+    d = table(spark, SF, "documents")
+    cols = ("doc_id", "n_removed", "kept")
+    assert rows(phrases.dedup_phrases(d, shard_words=300), *cols) == rows(phrases.dedup_phrases(d), *cols)
+
+
+def test_base_metrics(docs):
+    want = []
+    for d, t, _ in given(docs):
+        t = t or ""
+        ws, seen, dup = WORD.findall(t), set(), 0
+        for line in t.split("\n"):
+            if WORD.search(line):
+                dup += line in seen
+                seen.add(line)
+        grams = Counter(tuple(ws[i : i + 8]) for i in range(len(ws) - 7))
+        cov = {j for i in range(len(ws) - 7) if grams[tuple(ws[i : i + 8])] > 1 for j in range(i, i + 8)}
+        want.append((d, len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(cov), len(ws) < 20 or 100 * len(cov) > 30 * len(ws)))
+    got = rows(line_frequency.base_metrics(docs.select("doc_id", "source", "text")), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert got == sorted(want, key=repr)
+
+
+def test_line_frequency(docs):
+    data = [(d, t, s, {" ".join(WORD.findall(x)).lower() for x in (t or "").split("\n")} - {""}) for d, t, s in given(docs)]
+    n = Counter((s, line) for _, _, s, ls in data for line in ls)
+    want = set()
+    for d, t, s, ls in data:
+        lost = sum(len(x.split(" ")) for x in ls if n[s, x] > 1)
+        if ls and lost / sum(len(x.split(" ")) for x in ls) > 0.5:
+            want.add((d, s, t))
+    bad = line_frequency.line_frequency(docs.select("doc_id", "source", "text"), max_docs=1)
+    got = docs.withColumn("doc_key", line_frequency.doc_key()).join(bad, "doc_key").select("doc_id", "source", "text").collect()
+    assert {tuple(r) for r in got} == want
+
+
+def test_simhash(docs):
+    fps = []
+    for d, t, _ in given(docs):
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        ws = WORD.findall(low)
+        hs = [xxhash.xxh64_intdigest(" ".join(ws[i : i + 3]), seed=42) for i in range(max(1, len(ws) - 2))] if ws else []
+        fps.append((d, sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))))
+    comp = {fp: fp for _, fp in fps}
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+    for a in list(comp):
+        for b in list(comp):
+            if (a ^ b).bit_count() <= 2:
+                comp[find(a)] = find(b)
+    low = {}
+    for d, fp in fps:
+        if d is not None:
+            low[find(fp)] = min(d, low.get(find(fp), d))
+    want = sorted(((d, fp, low.get(find(fp))) for d, fp in fps), key=repr)
+    got = [(r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in simhash.near_duplicates(docs).collect()]
+    assert sorted(got, key=repr) == want
+
+
+def test_simhash_links(spark):
+    rng = np.random.default_rng(3)
+    base = [int(x) for x in rng.integers(0, 1 << 63, 20)] + [0, (1 << 64) - 1]
+    fps = set(base)
+    for b in base:
+        for _ in range(12):
+            x = b
+            for bit in rng.integers(0, 64, rng.integers(1, 4)):
+                x ^= 1 << int(bit)
+            fps.add(x)
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    want = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) % (1 << 64)).bit_count() <= 2}
+    got = simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long")).collect()
+    assert len(want) > 100 and sorted((r["a"], r["b"]) for r in got) == sorted(want)
+
+
+def test_components(spark):
+    rng = np.random.default_rng(5)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(int(a), int(b)) for a, b in rng.integers(0, 90, (60, 2))]
+    root = {x: x for e in edges for x in e}
+    for _ in range(200):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {x: r for x, r in root.items() if any(x in e and e[0] != e[1] for e in edges)}
+
+
+def test_bpe_and_token_files(docs, spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(bpe.word_bpe_path())
+    data = given(docs)
+    enc = [tok.encode(t or "", add_special_tokens=False).ids for _, t, _ in data]
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = [(d, len(e), sha(" ".join(map(str, e))), sha(tok.decode(e, skip_special_tokens=False))) for (d, _, _), e in zip(data, enc)]
+    got = rows(bpe.encode_digests(docs, bpe.word_bpe_path()), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert got == sorted(want, key=repr)
+
+    token_files.write_blocks(docs, bpe.word_bpe_path(), str(tmp_path / "t"), block_ids=700)
+    back = token_files.read_blocks(spark, str(tmp_path / "t")).toPandas()
+    back = back.sort_values("start", kind="stable")
+    at = 0
+    order = sorted(range(len(data)), key=lambda i: (data[i][0] is not None, data[i][0] or 0))
+    assert [None if pd.isna(x) else x for x in back["doc_id"]] == [data[i][0] for i in order]
+    for s, n, raw in zip(back["start"], back["n_tokens"], back["ids"]):
+        assert s == at and n == len(raw) // 4
+        at += n
+    unique = Counter(d for d, _, _ in data)
+    ids = {d: np.array([*e, 1], "<u4").tobytes() for (d, _, _), e in zip(data, enc)}
+    assert all(raw == ids[d] for d, raw in zip(back["doc_id"], back["ids"]) if not pd.isna(d) and unique[d] == 1)
+
+
+@pytest.mark.parametrize("values", [[0], [0, 0, 0], [0, 5, 5, 1000, 1_000_000], list(range(0, 90_000, 7)), [0] * 900 + [1 << 33]])
+def test_elias_fano(values):
+    ef = token_files.EliasFano.encode(np.array(values))
+    back = token_files.EliasFano(ef.low_bits, ef.low.tobytes(), ef.high.tobytes(), ef.marks.tobytes(), ef.n)
+    assert back.values().tolist() == values
+    assert [back.select(i) for i in range(0, len(values), 13)] == values[::13]
+
+
+def test_line_windows(docs):
+    by = {}
+    for d, t, _ in given(docs):
+        by[d, t] = (t or "").split("\n")
+    wins = {}
+    for (d, t), ls in by.items():
+        solid = [i for i, x in enumerate(ls) if WORD.search(x)]
+        for k in range(len(solid) - 2):
+            w = solid[k : k + 3]
+            wins.setdefault(tuple(ls[i] for i in w), []).append(((d is not None, d or 0), w[0], (d, t), w))
+    gone = {}
+    for places in wins.values():
+        for *_, key, w in sorted(places)[1:]:
+            gone.setdefault(key, set()).update(w)
+    want = []
+    for d, t, _ in given(docs):
+        cut = gone.get((d, t), set())
+        want.append((d, len(by[d, t]), len(cut), "\n".join(x for i, x in enumerate(by[d, t]) if i not in cut) if t is not None else None))
+    assert rows(line_windows.dedup_lines(docs), "doc_id", "_n_lines", "_n_removed", "_kept") == sorted(want, key=repr)
+
+
+def test_language(spark, docs):
+    model = ppm.train(table(spark, SF, "documents"))
+    full = ppm.predict(docs, model).collect()
+    assert len(full) == docs.count()
+    for r in full:
+        none = r["text"] is None or not any(c.isalpha() for c in r["text"])
+        assert (r["lang_pred"] == "und") == none and 0 <= r["lang_score"] <= 1
+    empty = ppm.train(docs.limit(0))
+    assert {r["lang_pred"] for r in ppm.predict(docs, empty).collect()} <= {"und"}
+
+
+def test_language_held_out_accuracy(spark):
+    got = ppm.op2_ppm(spark, "/root/testdata/sf0.01").join(table(spark, "/root/testdata/sf0.01", "documents"), "doc_id").where("held_out AND lang_pred <> 'und'")
+    assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97
+
+
+def test_code_lengths_are_probabilities():
+    counts = np.random.default_rng(1).integers(0, 4, (5, 5, 5)).astype(float)
+    p = ppm._blend(counts)
+    assert p.min() > 0 and p.sum(axis=-1).max() <= 1 + 1e-9
+
+
+def test_vectors(spark):
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((12, 16))
+    data = []
+    for i in range(240):
+        v = base[i % 12] + rng.standard_normal(16) * 0.08 * (i % 5)
+        data.append((i, [float(np.float32(x)) for x in v], i % 3))
+    data += [(300, None, 1), (301, [0.0] * 16, 1), (302, [float("nan")] * 16, 1), (303, [None] * 16, 1), (304, data[0][1], None), (305, data[0][1], 0), (306, data[0][1], 0), (307, [], 0), (308, [1.0, 2.0], 0), (309, [1.0, 2.0], 0)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int").withColumn("key", F.lit(1)).withColumn("rep", F.lit("x"))
+    ok = [(i, np.array(v, float), lab) for i, v, lab in data if lab is not None and v and None not in v and np.isfinite(v).all() and any(v)]
+    root, n = {d[0]: d[0] for d in data}, Counter()
+    pairs = [(a[0], b[0]) for k, a in enumerate(ok) for b in ok[k + 1 :] if a[2] == b[2] and len(a[1]) == len(b[1]) and a[1] @ b[1] / np.sqrt((a[1] @ a[1]) * (b[1] @ b[1])) >= 0.93]
+    for a, b in pairs:
+        n[a] += 1
+        n[b] += 1
+    for _ in range(50):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    want = sorted(((d[0], n[d[0]], root[d[0]], root[d[0]] == d[0]) for d in data), key=repr)
+    assert rows(hyperplanes.near_duplicate_vectors(df), "vec_id", "n_links", "component_id", "kept") == want
+    assert hyperplanes.near_duplicate_vectors(df.limit(0)).count() == 0
+
+
+def test_mixing(docs):
+    out = mixing.mix(docs, F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))).collect()
+    again = mixing.mix(docs.repartition(3), F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))).collect()
+    key = lambda rs: sorted(((r["doc_id"], r["source"], r["_epochs"]) for r in rs), key=repr)
+    assert len(out) == docs.count() and key(out) == key(again)
+    took, target, largest = Counter(), {}, Counter()
+    for r in out:
+        s = r["source"]
+        took[s] += r["_epochs"] * r["_size"]
+        target[s], largest[s] = r["_target"], max(largest[s], r["_size"])
+        assert 0 <= r["_epochs"] <= 2 and r["_target"] <= 2 * r["_source_size"] + 1e-6
+    assert all(abs(took[s] - target[s]) <= 2 * largest[s] for s in target)
+    assert abs(sum(target.values()) - 1.5 * sum(r["_size"] for r in out)) < 1e-3
+
+
+def test_water_fill():
+    assert mixing.water_fill([100, 10, 10], [1, 1, 1], 60, 2) == [20, 20, 20]
+    assert mixing.water_fill([100, 1, 10], [1, 8, 1], 22, 2) == [10, 2, 10]
+    assert mixing.water_fill([], [], 0, 2) == [] and mixing.water_fill([0, 4], [3, 1], 6, 2) == [0, 6]
+
+
+def test_toxicity(spark, docs):
+    model = toxicity.train(table(spark, SF, "documents"), table(spark, SF, "labels"))
+    got = toxicity.score(docs, model).collect()
+    assert len(got) == docs.count() and all(0 <= r["toxic_score"] <= 1 for r in got)
+    none = toxicity.train(docs.limit(0), table(spark, SF, "labels").limit(0))
+    assert all(r["toxic_score"] < 0.5 for r in toxicity.score(docs, none).collect())
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    got = toxicity.op10_toxicity(spark, sf).where("held_out").join(table(spark, sf, "labels"), "doc_id").toPandas()
+    pos, neg = got.loc[got.toxic == 1, "score"], got.loc[got.toxic == 0, "score"]
+    auc = (pos.to_numpy()[:, None] > neg.to_numpy()).mean()
+    assert auc > 0.75 and (neg >= 0.5).mean() < 0.05 and (pos >= 0.5).mean() > 0.4
