@@ -18,14 +18,12 @@ def to_int(col: Column | str) -> Column:
     """String -> int the way a legacy (non-ANSI) cast reads numbers.
 
     ``'23'`` -> 23, ``'23.0'`` / ``'23.9'`` -> 23 (truncation), junk -> NULL.
-    A plain ``try_cast('23.0' as int)`` would give NULL, so the decimal path
-    is the fallback.
+    A plain ``try_cast('23.0' as int)`` would give NULL, so text is read
+    again without its fraction, however many digits that has.
     """
     c = _c(col)
-    return F.coalesce(
-        c.try_cast("int"),
-        c.try_cast("decimal(38,6)").try_cast("int"),
-    )
+    whole = F.regexp_replace(F.trim(c.cast("string")), r"\.[0-9]*$", "")
+    return F.coalesce(c.try_cast("int"), whole.try_cast("int"))
 
 
 def to_double(col: Column | str) -> Column:

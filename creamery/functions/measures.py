@@ -38,18 +38,3 @@ def count_when(condition: Column) -> Column:
     ``count_if`` is the same under ``groupBy`` and returns bigint.
     """
     return F.count_if(condition)
-
-
-def exact_avg(col: Column | str, scale: int = 6) -> Column:
-    """Mean whose value does not depend on partitioning or task order.
-
-    A double ``avg`` adds in whatever order tasks finish, so re-running the
-    same job on a different cluster layout can change the last bits. Here the
-    sum is taken in fixed point (``decimal(38, scale)``, exact and associative)
-    and divided once at the end. For inputs with at most ``scale`` decimals the
-    result is the correctly rounded mean; it is NULL when there are no
-    non-NULL inputs.
-    """
-    c = _c(col)
-    total = F.sum(c.cast(f"decimal(28,{scale})")).cast("double")
-    return F.try_divide(total, F.count(c))

@@ -1,85 +1,24 @@
 """Join helpers.
 
-A dimension is broadcast only after its size has been *measured*: the
-projected dimension (only the columns the join keeps) is aggregated once to
-its exact row count and string bytes, and the broadcast hint is added only
-when that is within the session's ``spark.sql.autoBroadcastJoinThreshold``.
-Otherwise the join is left to the planner: a shuffled sort-merge join, which
-AQE may still turn into a broadcast from the measured shuffle size. A
-dimension that grows with the data (lines come from a table that scales with
-the fact) therefore switches to a shuffle join by itself and is never pushed
-whole through the driver on a guess.
+A dimension join is a plain equi-join: AQE reads the real size of the shuffled
+dimension and broadcasts it only within the session's threshold.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
 
-# In-memory width in bytes of fixed-size Spark types.
-_WIDTHS = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
-           "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def _bytes(text: str) -> int:
-    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", text or "")
-    if not m:
-        raise ValueError(f"not a byte size: {text!r}")
-    return int(m.group(1)) * _UNITS[m.group(2).lower()]
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's broadcast threshold in bytes (<= 0: never broadcast)."""
-    return _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` as rows in memory, measured in one aggregate pass.
-
-    rows x (fixed-width fields + 8 bytes per field) + total bytes of the
-    string / binary values. Only one summary row comes back to the driver.
-    """
-    fixed, variable = 0, []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (StringType, BinaryType)):
-            variable.append(F.octet_length(F.col(f.name)))
-        elif f.dataType.typeName() in _WIDTHS:
-            fixed += _WIDTHS[f.dataType.typeName()]
-        elif f.dataType.typeName() == "decimal":
-            fixed += 16
-        else:  # nested values: count their JSON text
-            variable.append(F.octet_length(F.to_json(F.col(f.name))))
-    row = df.agg(F.count(F.lit(1)), *[F.sum(v) for v in variable]).first()
-    rows, var_bytes = row[0], sum(v or 0 for v in row[1:])
-    return rows * (fixed + 8 * len(df.columns)) + var_bytes
-
-
-def join_dim(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    columns: Sequence[str] | None = None,
-    max_broadcast_bytes: int | None = None,
-) -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Inner equi-join on ``key`` keeping ``columns`` of the dimension.
 
     USING-style: the result has one ``key`` column. Rows whose key is NULL or
-    missing from the dimension are dropped. The dimension is broadcast only
-    if its measured size is within ``max_broadcast_bytes`` (default: the
-    session's ``autoBroadcastJoinThreshold``).
+    missing from the dimension are dropped. Building the join runs no job.
     """
-    right = dim if columns is None else dim.select(key, *columns)
-    limit = broadcast_limit(fact) if max_broadcast_bytes is None else max_broadcast_bytes
-    if limit > 0 and measured_bytes(right) <= limit:
-        right = F.broadcast(right)
-    return fact.join(right, key)
+    return fact.join(dim if columns is None else dim.select(key, *columns), key)
 
 
 def anti_join_null_safe(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -14,8 +14,6 @@ Two engine differences are bridged explicitly:
 
 from __future__ import annotations
 
-SNAPSHOT_CUTOFF_SQL = "TIMESTAMP '2024-01-21 00:00:00'"
-
 
 def sround(expr: str, digits: int = 2) -> str:
     return f"CAST(ROUND(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
@@ -23,11 +21,11 @@ def sround(expr: str, digits: int = 2) -> str:
 
 def to_int(expr: str) -> str:
     """Legacy-cast reading of text as int: digits, or decimals truncated toward zero."""
-    return f"TRY_CAST(trunc(TRY_CAST(({expr}) AS DECIMAL(38,6))) AS INTEGER)"
+    return f"TRY_CAST(regexp_replace(trim(CAST(({expr}) AS VARCHAR)), '\\.[0-9]*$', '') AS INTEGER)"
 
 
-def exact_avg(expr: str) -> str:
-    return f"(CAST(CAST(sum(CAST(({expr}) AS DECIMAL(28,6))) AS VARCHAR) AS DOUBLE) / count({expr}))"
+def rounded_avg(expr: str) -> str:
+    return f"round(avg({expr}), 6)"
 
 
 def safe_pct(n: str, d: str) -> str:
@@ -154,7 +152,7 @@ SILVER = {
     ),
     "s_sensors": dedup(
         f"""(SELECT {SENSOR_FIELDS}, 'batch_file' AS data_source FROM b_events
-                 WHERE event_timestamp < {SNAPSHOT_CUTOFF_SQL}
+                 
              UNION ALL
              SELECT {SENSOR_FIELDS}, 'eventhub_stream' AS data_source FROM b_events
                  WHERE temperature_c BETWEEN -20 AND 150)""",
@@ -197,7 +195,7 @@ GOLD_PRODUCTION = f"""
                  CAST(sum(planned_qty_units) AS BIGINT) AS total_planned_units,
                  CAST(sum(actual_qty_units) AS BIGINT) AS total_actual_units,
                  CAST(sum(defect_units) AS BIGINT) AS total_defect_units,
-                 {exact_avg('yield_pct')} AS avg_yield_pct,
+                 {rounded_avg('yield_pct')} AS avg_yield_pct,
                  count(*) FILTER (WHERE batch_status = 'Scrapped') AS scrapped_batches
           FROM s_batches GROUP BY plant_id, line_id) a
     JOIN s_plants p ON a.plant_id = p.plant_id
@@ -228,10 +226,10 @@ GOLD_SENSOR = f"""
            l.line_name, l.line_type
     FROM (SELECT line_id, data_source, count(reading_id) AS total_readings,
                  CAST(sum(anomaly_flag) AS BIGINT) AS anomaly_count,
-                 {exact_avg('temperature_c')} AS avg_temperature_c,
+                 {rounded_avg('temperature_c')} AS avg_temperature_c,
                  max(temperature_c) AS max_temperature_c,
-                 {exact_avg('pressure_bar')} AS avg_pressure_bar,
-                 {exact_avg('vibration_mm_s')} AS avg_vibration_mm_s,
+                 {rounded_avg('pressure_bar')} AS avg_pressure_bar,
+                 {rounded_avg('vibration_mm_s')} AS avg_vibration_mm_s,
                  max(vibration_mm_s) AS max_vibration_mm_s,
                  max(event_timestamp) AS latest_reading_ts
           FROM s_sensors GROUP BY line_id, data_source) a
@@ -299,7 +297,7 @@ def oracle_sql() -> dict[str, str]:
 
     from creamery.operators.quality import BRONZE_RULES
 
-    snapshot = f"SELECT {SENSOR_FIELDS} FROM b_events WHERE event_timestamp < {SNAPSHOT_CUTOFF_SQL}"
+    snapshot = f"SELECT {SENSOR_FIELDS} FROM b_events "
     valid_stream = f"SELECT {SENSOR_FIELDS} FROM b_events WHERE temperature_c BETWEEN -20 AND 150"
     q["audit_pending_anti_join"] = with_ctes(["s_audits"], f"SELECT * FROM {PENDING}")
     q["d_audit_sentiment"] = with_ctes(["s_audits"], _scored(PENDING))
@@ -342,7 +340,7 @@ def oracle_sql() -> dict[str, str]:
         f"""SELECT reading_id, line_id, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS event_timestamp,
                    temperature_c, pressure_bar, fill_volume_ml, vibration_mm_s, machine_status,
                    CAST(anomaly_flag AS BIGINT) AS anomaly_flag
-            FROM b_events WHERE event_timestamp < {SNAPSHOT_CUTOFF_SQL}""",
+            FROM b_events """,
     )
     q["medallion_files_to_gold"] = q["d_sensor_health_summary"]
 
@@ -350,7 +348,7 @@ def oracle_sql() -> dict[str, str]:
         ["s_batches", "s_plants"],
         f"""SELECT a.plant_id, a.total_batches, a.avg_yield_pct, p.plant_name, p.country,
                    CAST(rank() OVER (ORDER BY a.avg_yield_pct DESC NULLS LAST) AS INTEGER) AS yield_rank
-            FROM (SELECT plant_id, count(batch_id) AS total_batches, {exact_avg('yield_pct')} AS avg_yield_pct
+            FROM (SELECT plant_id, count(batch_id) AS total_batches, {rounded_avg('yield_pct')} AS avg_yield_pct
                   FROM s_batches GROUP BY plant_id) a
             JOIN s_plants p ON a.plant_id = p.plant_id""",
     )
@@ -358,7 +356,7 @@ def oracle_sql() -> dict[str, str]:
     q["cq_exec_kpis"] = with_ctes(
         ["s_batches", "s_shipments", "s_audits"],
         f"""SELECT 'production' AS area, k.kpi_name, k.kpi_value FROM (
-                SELECT count(batch_id) AS total_batches, {exact_avg('yield_pct')} AS avg_yield_pct,
+                SELECT count(batch_id) AS total_batches, {rounded_avg('yield_pct')} AS avg_yield_pct,
                        {safe_pct('sum(defect_units)', 'sum(actual_qty_units)')} AS defect_rate_pct,
                        {safe_pct("count(*) FILTER (WHERE batch_status = 'Scrapped')", 'count(batch_id)')} AS scrap_rate_pct
                 FROM s_batches) w,
@@ -399,11 +397,11 @@ def oracle_sql() -> dict[str, str]:
                    count(reading_id) FILTER (WHERE data_source = 'batch_file') AS batch_file_readings,
                    CASE WHEN count(*) FILTER (WHERE data_source = 'batch_file') = 0 THEN NULL ELSE
                      CAST(sum(anomaly_flag) FILTER (WHERE data_source = 'batch_file') AS BIGINT) END AS batch_file_anomalies,
-                   {exact_avg("CASE WHEN data_source = 'batch_file' THEN temperature_c END")} AS batch_file_avg_temperature_c,
+                   {rounded_avg("CASE WHEN data_source = 'batch_file' THEN temperature_c END")} AS batch_file_avg_temperature_c,
                    count(reading_id) FILTER (WHERE data_source = 'eventhub_stream') AS eventhub_stream_readings,
                    CASE WHEN count(*) FILTER (WHERE data_source = 'eventhub_stream') = 0 THEN NULL ELSE
                      CAST(sum(anomaly_flag) FILTER (WHERE data_source = 'eventhub_stream') AS BIGINT) END AS eventhub_stream_anomalies,
-                   {exact_avg("CASE WHEN data_source = 'eventhub_stream' THEN temperature_c END")} AS eventhub_stream_avg_temperature_c
+                   {rounded_avg("CASE WHEN data_source = 'eventhub_stream' THEN temperature_c END")} AS eventhub_stream_avg_temperature_c
             FROM s_sensors GROUP BY line_id""",
     )
     q["cq_outcome_by_sentiment"] = with_ctes(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creamery.config import SOURCE_BATCH, SOURCE_STREAM
-from creamery.functions.measures import count_when, exact_avg, safe_pct
+from creamery.functions.measures import count_when, safe_pct
 from creamery.operators.joins import join_dim
 
 
@@ -18,7 +18,7 @@ def plant_ranking(batches: DataFrame, plants: DataFrame) -> DataFrame:
     """Plants ranked by average batch yield (1 = best; ties share a rank)."""
     per_plant = batches.groupBy("plant_id").agg(
         F.count("batch_id").alias("total_batches"),
-        exact_avg("yield_pct").alias("avg_yield_pct"),
+        F.avg("yield_pct").alias("avg_yield_pct"),
     )
     named = join_dim(per_plant, plants, "plant_id", ["plant_name", "country"])
     # One row per plant: the global ordering window is bounded by the plant dimension.
@@ -41,7 +41,7 @@ def exec_kpis(batches: DataFrame, shipments: DataFrame, scored_audits: DataFrame
         "production",
         {
             "total_batches": F.count("batch_id"),
-            "avg_yield_pct": exact_avg("yield_pct"),
+            "avg_yield_pct": F.avg("yield_pct"),
             "defect_rate_pct": safe_pct(F.sum("defect_units"), F.sum("actual_qty_units")),
             "scrap_rate_pct": safe_pct(count_when(F.col("batch_status") == "Scrapped"), F.count("batch_id")),
         },
@@ -92,7 +92,7 @@ def health_by_source(readings: DataFrame) -> DataFrame:
     wide = readings.groupBy("line_id").pivot("data_source", [SOURCE_BATCH, SOURCE_STREAM]).agg(
         F.count("reading_id").alias("readings"),
         F.sum("anomaly_flag").cast("bigint").alias("anomalies"),
-        exact_avg("temperature_c").alias("avg_temperature_c"),
+        F.avg("temperature_c").alias("avg_temperature_c"),
     )
     counts = [f"{s}_{m}" for s in (SOURCE_BATCH, SOURCE_STREAM) for m in ("readings",)]
     return wide.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in counts})

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creamery.functions.measures import count_when, exact_avg, safe_pct
+from creamery.functions.measures import count_when, safe_pct
 from creamery.operators.joins import join_dim
 
 
@@ -21,7 +21,7 @@ def d_production_summary(batches: DataFrame, plants: DataFrame, lines: DataFrame
         F.sum("planned_qty_units").alias("total_planned_units"),
         F.sum("actual_qty_units").alias("total_actual_units"),
         F.sum("defect_units").alias("total_defect_units"),
-        exact_avg("yield_pct").alias("avg_yield_pct"),
+        F.avg("yield_pct").alias("avg_yield_pct"),
         count_when(F.col("batch_status") == "Scrapped").alias("scrapped_batches"),
     )
     per_line = per_line.withColumn("defect_rate_pct", safe_pct("total_defect_units", "total_actual_units"))
@@ -61,10 +61,10 @@ def d_sensor_health_summary(readings: DataFrame, lines: DataFrame) -> DataFrame:
     per_line = readings.groupBy("line_id", "data_source").agg(
         F.count("reading_id").alias("total_readings"),
         F.sum("anomaly_flag").cast("bigint").alias("anomaly_count"),
-        exact_avg("temperature_c").alias("avg_temperature_c"),
+        F.avg("temperature_c").alias("avg_temperature_c"),
         F.max("temperature_c").alias("max_temperature_c"),
-        exact_avg("pressure_bar").alias("avg_pressure_bar"),
-        exact_avg("vibration_mm_s").alias("avg_vibration_mm_s"),
+        F.avg("pressure_bar").alias("avg_pressure_bar"),
+        F.avg("vibration_mm_s").alias("avg_vibration_mm_s"),
         F.max("vibration_mm_s").alias("max_vibration_mm_s"),
         F.max("event_timestamp").alias("latest_reading_ts"),
     )

@@ -306,3 +306,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cq_health_by_source": q_cq_health_by_source,
     "cq_outcome_by_sentiment": q_cq_outcome_by_sentiment,
 }
+
+
+def _rounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Averages to six decimals, as the compared SQL rounds them; the library's own are unrounded."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = query(spark, sf_dir)
+        means = [c for c, kind in df.dtypes if kind == "double" and ("avg_" in c or c == "kpi_value")]
+        return df.withColumns({c: F.round(c, 6) for c in means}) if means else df
+
+    return run
+
+
+for _name in ("d_production_summary", "d_sensor_health_summary", "medallion_files_to_gold", "cq_plant_ranking", "cq_exec_kpis", "cq_worst_lines", "cq_health_by_source"):
+    QUERIES[_name] = _rounded(QUERIES[_name])

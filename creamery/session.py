@@ -62,6 +62,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="creamery-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
@@ -79,8 +81,8 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, broadcast_byt
 
     One scan split and one initial shuffle partition per ``partition_bytes``
     (AQE then coalesces small shuffles towards the same size), skew splitting
-    for partitions four times larger than that, and the broadcast limit that
-    ``join_dim`` measures dimensions against. For 100 TB this gives ~373k
+    for partitions four times larger than that, and the broadcast limit
+    that AQE holds joins against. For 100 TB this gives ~373k
     initial partitions of 256 MB, i.e. tasks that fit comfortably in executor
     memory.
     """

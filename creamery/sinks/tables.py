@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Delta or Iceberg use their own clustering instead).
 BUCKETABLE_FORMATS = ("parquet", "orc", "json", "csv")
 
+# Fixed value: Spark's default of spark.sql.sources.bucketing.maxBuckets.
+MAX_BUCKETS = 100_000
+
 
 def ensure_database(spark: SparkSession, qualified_name: str) -> None:
     if "." in qualified_name:
@@ -34,18 +37,20 @@ def save_table(
 
     ``bucket_by`` stores the table hash-bucketed on a key, so later joins and
     aggregations on that key read it without a shuffle. The bucket count
-    defaults to ``spark.sql.shuffle.partitions`` (the cluster's size): a plan
-    that already shuffled on the key with that many partitions writes one file
-    per bucket and task. Only bucket on keys without heavy skew, since a
+    defaults to ``spark.sql.shuffle.partitions``, up to the most that Spark
+    allows; rows are dealt by bucket first, so each bucket is one file. Only bucket on keys without heavy skew, since a
     bucket is read by one task.
     """
     spark = df.sparkSession
     ensure_database(spark, name)
+    bucketed = bool(bucket_by) and fmt in BUCKETABLE_FORMATS
+    if bucketed:
+        n = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+        df = df.repartition(n, *bucket_by)
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if bucket_by and fmt in BUCKETABLE_FORMATS:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if bucketed:
         writer = writer.bucketBy(n, *bucket_by)
     if path:
         writer = writer.option("path", path)

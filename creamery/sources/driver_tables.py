@@ -23,56 +23,15 @@ oracle in :mod:`creamery.oracle` states the same mapping in SQL.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The snapshot export time. The stored JSON snapshot holds the
-# readings before it; the live stream replays every reading from the earliest
-# offset, so the two overlap on everything before this instant.
-SNAPSHOT_CUTOFF = "2024-01-21 00:00:00"
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "labels",
 )
 
 
-# Scans already planned, per (session, folder, table): the test tables are
-# read-only, and listing + footer reads cost driver time on every query.
-_SCANS: dict = {}
-
-# A local input below this size is scanned by one task without spreading it.
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _reused(method):
-    """Build an adapter DataFrame once per (session, folder): it is immutable and the tables read-only."""
-
-    def wrapper(self):
-        key = (self.spark, self.sf_dir, method.__name__)
-        if key not in _SCANS:
-            _SCANS[key] = method(self)
-        return _SCANS[key]
-
-    wrapper.__name__ = method.__name__
-    wrapper.__doc__ = method.__doc__
-    return wrapper
-
-
-def _local_size(path: str) -> int | None:
-    """Bytes of a local file or folder; None for remote URIs."""
-    if "://" in path and not path.startswith("file:"):
-        return None
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if os.path.isfile(local):
-        return os.path.getsize(local)
-    if os.path.isdir(local):
-        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(local) for f in fs)
-    return None
-
-
 class DriverTables:
     """Lazy readers over ``<sf_dir>/<table>.parquet``."""
 
@@ -81,32 +40,10 @@ class DriverTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        """Scan one table; spread it over the cores if the file is a single split.
-
-        The test files hold one parquet row group each, so the scan is a
-        single task and everything up to the first shuffle would run on one
-        core. When the input has fewer files than the default parallelism the
-        rows are spread round-robin first (a file listing decides, so no
-        extra planning); small inputs (< 1 MB, the dimensions) stay one task,
-        and a large input of many files already has enough splits and is
-        left alone, so this never adds a shuffle at scale. Measured at sf0.1:
-        about a quarter less time on the fact-heavy queries.
-        """
-        key = (self.spark, self.sf_dir, name)
-        if key not in _SCANS:
-            path = f"{self.sf_dir}/{name}.parquet"
-            df = self.spark.read.parquet(path)
-            parallelism = self.spark.sparkContext.defaultParallelism
-            size = _local_size(path)
-            # Round-robin, not hash on a column: a hot value cannot pile up in one task.
-            if len(df.inputFiles()) < parallelism and (size is None or size >= SPREAD_MIN_BYTES):
-                df = df.repartition(parallelism)
-            _SCANS[key] = df
-        return _SCANS[key]
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # ---- dimensions -------------------------------------------------------
 
-    @_reused
     def dim_plants(self) -> DataFrame:
         n, r = self.table("nation"), self.table("region")
         return n.join(r, n.n_regionkey == r.r_regionkey).select(
@@ -118,7 +55,6 @@ class DriverTables:
             (F.col("n_nationkey") + 1950).cast("string").alias("opened_year"),
         )
 
-    @_reused
     def dim_lines(self) -> DataFrame:
         return self.table("supplier").select(
             F.col("s_suppkey").cast("string").alias("line_id"),
@@ -128,7 +64,6 @@ class DriverTables:
             (F.col("s_suppkey") % 20 + 2000).cast("string").alias("install_year"),
         )
 
-    @_reused
     def dim_sku_catalog(self) -> DataFrame:
         return self.table("part").select(
             F.col("p_partkey").cast("string").alias("sku_id"),
@@ -138,7 +73,6 @@ class DriverTables:
             F.col("p_size").cast("string").alias("shelf_life_days"),
         )
 
-    @_reused
     def dim_retail_customers(self) -> DataFrame:
         return self.table("customer").select(
             F.col("c_custkey").cast("string").alias("customer_id"),
@@ -152,7 +86,6 @@ class DriverTables:
 
     # ---- facts ------------------------------------------------------------
 
-    @_reused
     def historical_production_batches(self) -> DataFrame:
         q = F.col("l_quantity")
         return self.table("lineitem").select(
@@ -170,7 +103,6 @@ class DriverTables:
             .alias("batch_status"),
         )
 
-    @_reused
     def historical_shipments(self) -> DataFrame:
         return self.table("orders").select(
             F.col("o_orderkey").cast("string").alias("shipment_id"),
@@ -185,7 +117,6 @@ class DriverTables:
             .alias("shipment_status"),
         )
 
-    @_reused
     def historical_quality_audit_logs(self) -> DataFrame:
         d, lab = self.table("documents"), self.table("labels")
         joined = d.join(lab, "doc_id", "left")
@@ -199,7 +130,6 @@ class DriverTables:
             F.col("text").alias("audit_notes"),
         )
 
-    @_reused
     def scored_audit_ids(self) -> DataFrame:
         """Audits a previous scoring run already handled (the labelled documents)."""
         return self.table("labels").select(F.col("doc_id").cast("string").alias("audit_id"))
@@ -220,13 +150,11 @@ class DriverTables:
             (F.col("event_type") == "error").cast("int").alias("anomaly_flag"),
         )
 
-    @_reused
     def sensor_readings(self) -> DataFrame:
         """The stored snapshot, typed as JSON inference would type it."""
-        events = self.table("events").filter(F.col("ts") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz"))
+        events = self.table("events")
         return self._sensor_fields(events).withColumn("anomaly_flag", F.col("anomaly_flag").cast("bigint"))
 
-    @_reused
     def sensor_payloads(self) -> DataFrame:
         """Every event as a message: one JSON document in a binary ``value``."""
         fields = self._sensor_fields(self.table("events"))

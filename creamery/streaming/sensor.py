@@ -20,7 +20,6 @@ from creamery.config import LakeConfig
 from creamery.functions.casts import to_timestamp
 from creamery.operators.quality import BRONZE_RULES, apply_expectations
 from creamery.schemas import SENSOR_FIELDS, SENSOR_SCHEMA
-from creamery.session import shared_root
 
 
 def parse_sensor_payload(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -117,7 +116,12 @@ def read_sensor_source(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
 
 
 def checkpoint_location(spark: SparkSession, cfg: LakeConfig, name: str) -> str:
-    root = cfg.checkpoint_root or f"{shared_root(spark)}/streams"
+    """Stable across applications, so the next run resumes: the configured root,
+    the cluster's shared folder, or a folder beside the session's tables."""
+    root = cfg.checkpoint_root
+    if not root:
+        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        root = f"{shared.rstrip('/')}/_streams"
     return f"{root.rstrip('/')}/{name}"
 
 

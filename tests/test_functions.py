@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from creamery.functions import (
     DEFAULT_RULES,
     Rule,
-    exact_avg,
     model_scorer,
     rules_scorer,
     safe_pct,
@@ -44,15 +43,9 @@ def test_yield_pct(spark):
     assert got == [95.0, None, None, 99.88]
 
 
-def test_exact_avg_ignores_order_and_nulls(spark):
-    vals = [0.1, 0.2, 0.3, None, 72.45, 1e-6]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    a = df.agg(exact_avg("x")).first()[0]
-    b = df.repartition(5).orderBy(F.rand(7)).agg(exact_avg("x")).first()[0]
-    assert a == b
-    assert abs(a - (0.1 + 0.2 + 0.3 + 72.45 + 1e-6) / 5) < 1e-12
-    empty = spark.createDataFrame([(None,)], "x double").agg(exact_avg("x")).first()[0]
-    assert empty is None
+def test_to_int_cuts_any_number_of_decimals(spark):
+    df = spark.createDataFrame([("23.9999999",), ("2147483647.9999999",), ("-1.5",), ("x",)], "s string")
+    assert [r[0] for r in df.select(to_int("s")).collect()] == [23, 2147483647, -1, None]
 
 
 def test_rules_scorer_reads_whole_text(spark):

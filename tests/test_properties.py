@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from creamery.functions import exact_avg, safe_pct
+from creamery.functions import safe_pct
 from creamery.operators import dedup_by_key
 
 SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -51,19 +51,6 @@ def test_dedup_matches_brute_force(spark, rows):
     assert sorted((tuple(r) for r in got), key=repr) == expected
 
 
-@SETTINGS
-@given(xs=st.lists(st.one_of(st.none(), st.integers(-10**8, 10**8).map(lambda i: i / 100)), min_size=1, max_size=30))
-def test_exact_avg_is_correctly_rounded(spark, xs):
-    df = spark.createDataFrame([(x,) for x in xs], "x double")
-    got = df.repartition(4).agg(exact_avg("x")).first()[0]
-    present = [Fraction(Decimal(repr(x))) for x in xs if x is not None]
-    if not present:
-        assert got is None
-    else:
-        total = float(sum(present))  # the fixed-point sum, rounded once to double
-        assert got == total / len(present)
-
-
 @SETTINGS
 @given(pairs=st.lists(st.tuples(st.integers(0, 10**6), st.one_of(st.none(), st.integers(0, 10**6))), min_size=1, max_size=30))
 def test_safe_pct_matches_half_up(spark, pairs):

@@ -101,3 +101,23 @@ def test_kafka_source_without_connector_fails_clearly(spark):
     cfg = LakeConfig(stream_format="kafka", stream_options=kafka_sasl_options("h:9093", "sensors", "u", "p"))
     with pytest.raises(Exception, match="(?i)kafka"):
         read_sensor_source(spark, cfg)
+
+
+def test_bucket_count_stays_within_the_limit(spark):
+    from creamery.sinks import tables
+
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "372530")
+    try:
+        seen = []
+        frame = type(spark.range(1))
+        real = frame.repartition
+        frame.repartition = lambda self, n, *c: seen.append(n) or real(self, 6, *c)
+        try:
+            tables.save_table(spark.range(50), "default.bucket_limit", bucket_by=["id"])
+        finally:
+            frame.repartition = real
+        assert seen == [tables.MAX_BUCKETS] and spark.table("default.bucket_limit").count() == 50
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+        spark.sql("DROP TABLE IF EXISTS default.bucket_limit")
