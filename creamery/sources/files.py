@@ -35,7 +35,7 @@ def read_json_table(
     """JSON lines; inferred types unless ``schema`` is given.
 
     Inference costs one extra pass over the files; at scale pass
-    ``options={"samplingRatio": "0.01"}`` or an explicit schema. With an
+    an explicit schema. With an
     explicit schema a renamed field turns into NULLs silently, which is why
     inference (a rename then fails the select) is the default.
     """
