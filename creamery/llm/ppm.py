@@ -14,11 +14,11 @@ from creamery.llm.common import held_out, table
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def train(docs: DataFrame, max_docs: int = 1500, max_bytes: int = 20_000, max_symbols: int = 127) -> dict:
+def train(docs: DataFrame, max_docs: int = 1500, max_symbols: int = 127) -> dict:
     """Frozen statistics of ``docs`` (doc_id, text, lang): a bounded sample per language.
 
     Up to ``max_docs`` documents of each language, in a hash order, give their
-    first ``max_bytes`` bytes each. The ``max_symbols`` commonest byte values
+    whole texts. The ``max_symbols`` commonest byte values
     are symbols of their own; all others share one. Holds, for each language,
     the exact code length in nats of every (two-byte context, byte).
     """
@@ -29,7 +29,7 @@ def train(docs: DataFrame, max_docs: int = 1500, max_bytes: int = 20_000, max_sy
         for b in batches:
             grams: dict = {}
             for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
-                x = np.frombuffer(b"\n\n" + text.lower().encode()[:max_bytes], dtype=np.uint8).astype(np.int64)
+                x = np.frombuffer(b"\n\n" + text.lower().encode(), dtype=np.uint8).astype(np.int64)
                 grams.setdefault(lang, []).append(x[:-2] << 16 | x[1:-1] << 8 | x[2:])
             for lang, parts in grams.items():
                 g, n = np.unique(np.concatenate(parts), return_counts=True)
