@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from creamery.llm.common import table
 
 
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
+
+
 def word_bpe_path() -> str:
     import public_tokenizers
 
@@ -30,13 +33,13 @@ class Encoder:
     """Encodes as a word-BPE file of the tokenizers library says.
 
     Two neighbouring symbols that no vocabulary token holds side by side can
-    never be merged over, so each pre-token is cut there, the fragments are
-    merged on their own and their ids joined. ``remember`` words keep their
+    never be merged over, so each pre-token is cut there, the library's merge
+    step runs on each fragment alone and the ids are joined. ``remember`` words keep their
     ids; the store is emptied when full, so memory stays bounded.
     """
 
     def __init__(self, path: str, remember: int = 200_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -46,11 +49,17 @@ class Encoder:
         self.names = {i: t for t, i in self.vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names.update({i: t for t, i in self.special.items()})
-        self.rank = {tuple(m): r for r, m in enumerate(model["merges"])}
+        merges = [tuple(m) for m in model["merges"]]
+        # a fragment before a cut ends inside its word; only the final one takes the suffix
+        self.inner = models.BPE(self.vocab, merges)
+        self.final = models.BPE(self.vocab, merges, end_of_word_suffix=self.end) if self.end else self.inner
         self.normal = Tokenizer.from_file(path).normalizer
-        self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        split = spec["pre_tokenizer"]["pretokenizers"][0]
+        self.split = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+        # letters beyond Latin: the two regex engines know different Unicode versions
+        self.any_split = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), split["behavior"].lower(), split["invert"])
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.bytes = byte_symbols()
+        self.bytes = dict(enumerate(byte_symbols()))
         self.inside = {p for t in self.vocab for p in zip(self.symbols(t), self.symbols(t)[1:])}
         self.remember, self.known = remember, {}
 
@@ -60,31 +69,17 @@ class Encoder:
             return [*body[:-1], body[-1] + self.end]
         return list(token)
 
-    def merge(self, s: list[str]) -> list[int]:
-        while len(s) > 1:
-            best = min((self.rank.get(p, 1 << 60), p) for p in zip(s, s[1:]))
-            if best[0] == 1 << 60:
-                break
-            a, b = best[1]
-            out, i = [], 0
-            while i < len(s):
-                if i + 1 < len(s) and s[i] == a and s[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(s[i])
-                    i += 1
-            s = out
-        return [self.vocab[x] for x in s]
-
     def word(self, w: str) -> tuple[tuple[int, ...], str, str]:
         """Ids of one pre-token, with their decimal and decoded forms."""
-        s = self.symbols("".join(self.bytes[b] for b in w.encode()) + self.end)
+        s = w.encode().decode("latin-1").translate(self.bytes)
+        pairs = [*zip(s, s[1:-1]), (s[-2], s[-1] + self.end)] if len(s) > 1 else []
         ids, start = [], 0
-        for i in range(1, len(s) + 1):
-            if i == len(s) or (s[i - 1], s[i]) not in self.inside:
-                ids += self.merge(s[start:i])
-                start = i
+        if not self.inside.issuperset(pairs):
+            for i, pair in enumerate(pairs, 1):
+                if pair not in self.inside:
+                    ids += [t.id for t in self.inner.tokenize(s[start:i])]
+                    start = i
+        ids += [t.id for t in self.final.tokenize(s[start:])]
         if len(self.known) >= self.remember:
             self.known.clear()
         out = (tuple(ids), " ".join(map(str, ids)), " ".join(self.names[i] for i in ids))
@@ -99,7 +94,10 @@ class Encoder:
                 i = self.special[piece]
                 out.append(((i,), str(i), piece))
             elif piece:
-                out += [known.get(w) or self.word(w) for w in self.split.findall(self.normal.normalize_str(piece))]
+                # the normalizer composes, lower-cases and joins white space, which the split passes over
+                plain = piece.lower() if piece.isascii() else self.normal.normalize_str(piece)
+                found = [w for w, _ in self.any_split.pre_tokenize_str(plain)] if _BEYOND_LATIN.search(plain) else self.split.findall(plain)
+                out += [known.get(w) or self.word(w) for w in found]
         return out
 
     def ids(self, text: str | None) -> list[int]:
