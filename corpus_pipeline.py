@@ -31,11 +31,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group (one of equal rows)."""
-    out = simhash.near_duplicates(docs)
-    keep = out.where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.select(COLUMNS).join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of each near-duplicate group: the first by doc_id (null last), then by text hash."""
+    return simhash.one_per_component(docs.select(COLUMNS)).select(COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

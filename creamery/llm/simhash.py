@@ -29,14 +29,15 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the signed 64-bit fingerprint of each whole text."""
+    """fp, the signed 64-bit fingerprint of each whole text, beside the other columns of ``docs``."""
+    others = [c for c in docs.columns if c != "text"]
 
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), shingle) for t in b["text"]], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in others), pa.array(fp)], [*others, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.mapInArrow(run, docs.select(*others, F.lit(0).cast("long").alias("fp")).schema)
 
 
 def _field(lo: int, width: int) -> Column:
@@ -69,6 +70,12 @@ def links(fps: DataFrame) -> DataFrame:
     return pairs.select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")).distinct()
 
 
+def _rooted(reps: DataFrame) -> DataFrame:
+    """``reps`` (one row per fp) plus root, the same for all fingerprints of a component."""
+    roots = connected_components(links(reps.select("fp"))).withColumnRenamed("id", "fp")
+    return reps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs`` (doc_id, text).
 
@@ -77,14 +84,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     Null and wordless texts share fingerprint 0; a null doc_id never names a
     component unless no other id is in it.
     """
-    fps = stored(fingerprints(docs, shingle), "simhash")
-    reps = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    roots = connected_components(links(reps.select("fp")))
-    grouped = reps.join(roots.withColumnRenamed("id", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    fps = stored(fingerprints(docs.select("doc_id", "text"), shingle), "simhash")
+    grouped = _rooted(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     best = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
     return fps.join(grouped.join(best, "root").select("fp", "component_id"), "fp")
 
 
+def one_per_component(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """One row of ``docs`` (doc_id, text, others) per near-duplicate component.
+
+    The first row by doc_id (null last), text hash and hash of all columns
+    stays, so neither a missing nor a repeated id decides which texts are
+    copies. Rows equal in every column are one row; equality is decided by
+    doc_id and two 64-bit hashes.
+    """
+    names = docs.columns
+    whole = F.xxhash64(*[x for c in names for x in (F.col(c), F.col(c).isNull())])  # the hash skips nulls
+    d = docs.withColumns({"_text": F.xxhash64("text"), "_all": whole})
+    fps = stored(fingerprints(d.select("doc_id", "text", "_text", "_all"), shingle), "simhash")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "_all")
+    best = _rooted(fps.groupBy("fp").agg(F.min(place).alias("first"))).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    kept = d.alias("d").join(best.alias("b"), F.expr("d.doc_id <=> b.doc_id AND d._text = b._text AND d._all = b._all"), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_text", "_all"]).select(names)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

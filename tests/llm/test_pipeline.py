@@ -21,3 +21,14 @@ def test_stages_take_awkward_rows(spark, rows):
 def test_run(spark):
     got = cp.run(spark, SF).toPandas()
     assert 0 < len(got) <= 2 * table(spark, SF, "documents").count() and got["n_tokens"].min() > 0
+
+
+def test_simhash_dedup_keeps_one_row_per_component_not_per_id(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdefg"]
+    a, b, c, d, e, f, g = texts
+    rows = [(None, a), (None, b), (None, c), (1, d), (7, d), (7, e), (None, d), (9, f), (9, g), (9, g), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", None, len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").select(cp.COLUMNS)
+    want = sorted([(None, a), (None, b), (None, c), (1, d), (7, e), (9, f), (9, g)], key=repr)
+    for n in (1, 5):
+        got = cp.near_duplicates(spark, docs.repartition(n), SF)
+        assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == want
