@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creamery.llm.common import SPACE, let, table, words
+from creamery.llm.common import SPACE, let, stored, table, words
 
 
 def _repeat_words(ws: Column, width: int) -> Column:
@@ -49,16 +49,45 @@ def base_metrics(docs: DataFrame) -> DataFrame:
     )
 
 
+def _normal(line: Column) -> Column:
+    """Lower-cased, white space collapsed: what makes two lines the same."""
+    return F.trim(F.regexp_replace(F.lower(line), SPACE, " "))
+
+
+def strip_lines(docs: DataFrame, max_docs: int = 50) -> DataFrame:
+    """``docs`` (doc_id, source, text, others) with doc_key, and ``text`` without the lines above the limit.
+
+    A line (lower-cased, white space collapsed) that more than ``max_docs``
+    distinct documents of one host (``source``, null is a host) carry goes
+    wherever it stands in them. Rows of equal id, host and text are one
+    document and count once. Lines without a word stay; a null text stays null.
+    """
+    d = docs.withColumn("doc_key", doc_key())
+    norm = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), _normal)
+    hashes = F.transform(F.array_distinct(F.filter(norm, lambda x: x != "")), lambda x: F.xxhash64(x))
+    lines = d.select("doc_key", "source", F.explode(hashes).alias("h"))
+    # rows bound documents from above: only lines in enough rows are counted by document
+    rows = lines.groupBy("source", "h").agg(F.count("*").alias("c")).where(F.col("c") > max_docs)
+    same = F.expr("l.source <=> o.source AND l.h = o.h")
+    hit = stored(lines.alias("l").join(rows.alias("o"), same, "left_semi").distinct(), "lines")
+    often = hit.groupBy("source", "h").agg(F.count("*").alias("c")).where(F.col("c") > max_docs)
+    gone = hit.alias("l").join(often.alias("o"), same, "left_semi").groupBy("doc_key").agg(F.collect_set("h").alias("_gone"))
+    left = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_gone", F.xxhash64(_normal(x))))
+    text = F.when(F.col("_gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    return d.join(gone, "doc_key", "left").withColumn("text", text).drop("_gone")
+
+
 def line_frequency(docs: DataFrame, max_docs: int = 50, min_left: float = 0.5) -> DataFrame:
-    """Verdict of the line rule per document (doc_id, source, text).
+    """Verdict of the line rule per document (doc_id, source, text), by rows.
 
-    Lines are lower-cased with white space collapsed. A line that more than
+    Unlike ``strip_lines``, which the query uses, repeated rows of a document
+    count as often as they stand here and no text is returned. Lines are lower-cased with white space collapsed. A line that more than
     ``max_docs`` documents of one host (``source``, null is a host) carry is
     removed; a document left with less than ``min_left`` of its words is
     rejected. Rows of the same id, host and text get the same verdict. Returns
     (doc_key, lost_share), one row per document with a removed line.
     """
-    norm = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(F.regexp_replace(F.lower(x), SPACE, " ")))
+    norm = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), _normal)
     # equal lines of one document become one entry (hash, words); repeats weigh once
     per_doc = F.transform(
         F.array_distinct(F.filter(norm, lambda x: x != "")),
@@ -77,10 +106,10 @@ def doc_key() -> Column:
 
 
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of each whole text, the text without the lines above the limit, and whether enough of it is left."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    bad = line_frequency(docs)
-    out = base_metrics(docs).withColumn("doc_key", doc_key()).drop("text")
-    return out.join(bad, "doc_key", "left").select(
+    out = strip_lines(base_metrics(docs))
+    return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.col("lost_share").isNull()).alias("kept"),
+        (~F.col("base_failed") & (2 * F.size(words(F.col("text"))) >= F.col("n_words"))).alias("kept"), "text",
     )

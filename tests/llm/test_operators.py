@@ -103,6 +103,29 @@ def test_line_frequency(docs):
     assert {tuple(r) for r in got} == want
 
 
+def test_strip_lines(docs):
+    data = sorted({(d, t, s) for d, t, s in given(docs)}, key=repr)
+    norm = lambda x: " ".join(WORD.findall(x)).lower()
+    n = Counter(p for d, t, s in data for p in {(s, norm(x)) for x in (t or "").split("\n")})
+    cut = lambda t, s: t and "\n".join(x for x in t.split("\n") if not norm(x) or n[s, norm(x)] <= 1)
+    want = sorted(((d, s, cut(t, s)) for d, t, s in given(docs)), key=repr)
+    assert rows(line_frequency.strip_lines(docs, max_docs=1), "doc_id", "source", "text") == want
+
+
+def test_line_frequency_query_returns_cleaned_text(spark, tmp_path):
+    own = lambda i, n: " ".join(f"own{i}x{k}" for k in range(n))
+    menu = "Home  About " + " ".join(f"menu{k}" for k in range(28))
+    many = [(i, own(i, 40) + "\n" + menu.upper() + "\n\n" + own(-i, 5), "hot") for i in range(51)]
+    poor = [(100, own(100, 29) + "\n" + menu, "hot"), (101, own(101, 25) + "\n" + menu, "cold")]
+    again = [(102, own(102, 30) + "\n" + own(103, 30), "hot")] * 51
+    spark.createDataFrame(many + poor + again, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = line_frequency.op3_line_frequency(spark, str(tmp_path)).collect()
+    by = {r["doc_id"]: (r["text"], r["kept"]) for r in got}
+    assert len(got) == 104
+    assert all(by[i] == (own(i, 40) + "\n\n" + own(-i, 5), True) for i in range(51))
+    assert by[100] == (own(100, 29), False) and by[101] == (poor[1][1], True) and by[102] == (again[0][1], True)
+
+
 def test_simhash(docs):
     fps = []
     for d, t, _ in given(docs):
