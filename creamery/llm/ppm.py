@@ -14,47 +14,96 @@ from creamery.llm.common import held_out, table
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def train(docs: DataFrame, max_docs: int = 1500, max_symbols: int = 127) -> dict:
+#: Longest context in bytes, and what stands before a text.
+ORDER = 4
+LEAD = b"\n" * ORDER
+#: Bytes coded at once.
+_SLICE = 1 << 20
+
+
+def _grams(pieces: list[bytes]) -> np.ndarray:
+    """Each byte of the pieces but their ``ORDER`` first ones, with its ``ORDER`` predecessors, as one number."""
+    x = np.frombuffer(b"".join(pieces), dtype=np.uint8).astype(np.int64)
+    g = np.zeros(len(x) - ORDER, dtype=np.int64)
+    for k in range(ORDER + 1):
+        g = g << 8 | x[k : k + len(g)]
+    here = np.ones(len(g), dtype=bool)
+    ends = np.cumsum([len(p) for p in pieces])[:-1]
+    here[(ends[:, None] - np.arange(1, ORDER + 1)).ravel()] = False  # these would cross into the next piece
+    return g[here]
+
+
+def train(docs: DataFrame, max_docs: int = 1500) -> dict:
     """Frozen statistics of ``docs`` (doc_id, text, lang): a bounded sample per language.
 
     Up to ``max_docs`` documents of each language, in a hash order, give their
-    whole texts. The ``max_symbols`` commonest byte values
-    are symbols of their own; all others share one. Holds, for each language,
-    the exact code length in nats of every (two-byte context, byte).
+    whole texts. Holds, for each language and each context length from 0 to
+    ``ORDER``, the seen contexts and the seen (context, byte) pairs as sorted
+    arrays with their code lengths in nats. All 256 byte values are symbols;
+    the size is bounded by the bytes of the sample.
     """
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     some = docs.where("text IS NOT NULL AND lang IS NOT NULL").withColumn("r", rank).where(F.col("r") <= max_docs)
 
     def count(batches):
         for b in batches:
-            grams: dict = {}
+            texts: dict = {}
             for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
-                x = np.frombuffer(b"\n\n" + text.lower().encode(), dtype=np.uint8).astype(np.int64)
-                grams.setdefault(lang, []).append(x[:-2] << 16 | x[1:-1] << 8 | x[2:])
-            for lang, parts in grams.items():
-                g, n = np.unique(np.concatenate(parts), return_counts=True)
+                texts.setdefault(lang, []).append(LEAD + text.lower().encode())
+            for lang, parts in texts.items():
+                g, n = np.unique(_grams(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g), pa.array(n)], ["lang", "g", "n"])
 
-    rows = some.select("lang", "text").mapInArrow(count, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(rows["lang"].unique())
-    seen = np.zeros(256)
-    np.add.at(seen, rows["g"].to_numpy(dtype=np.int64) & 255, rows["n"].to_numpy(dtype=float))
-    common = [b for b in np.argsort(-seen, kind="stable") if seen[b] > 0][:max_symbols]
-    code = np.zeros(256, dtype=np.int64)
-    code[common] = np.arange(1, len(common) + 1)
-    a = len(common) + 1
-    cost = np.zeros((a, a, a, len(langs)), dtype=np.float32)
-    for k, lang in enumerate(langs):
-        part = rows[rows["lang"] == lang]
-        g = part["g"].to_numpy(dtype=np.int64)
-        full = np.zeros((a, a, a))
-        np.add.at(full, (code[g >> 16], code[g >> 8 & 255], code[g & 255]), part["n"].to_numpy(dtype=float))
-        cost[..., k] = -np.log(_blend(full))
-    return {"langs": langs, "code": code.astype(np.int32), "cost": cost.reshape(a**3, len(langs))}
+    rows = some.select("lang", "text").mapInArrow(count, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toArrow()
+    lang = rows["lang"].combine_chunks().dictionary_encode()
+    names, which = lang.dictionary.to_pylist(), lang.indices.to_numpy()
+    g, n = rows["g"].to_numpy(), rows["n"].to_numpy()
+    langs = sorted(names)
+    return {"langs": langs, "tables": [_tables(g[m], n[m]) for m in (which == names.index(x) for x in langs)]}
+
+
+def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, the sum of ``n`` and the number of entries of each."""
+    seen, at, kinds = np.unique(keys, return_inverse=True, return_counts=True)
+    return seen, np.bincount(at, n, len(seen)), kinds
+
+
+def _tables(g: np.ndarray, n: np.ndarray, order: int = ORDER) -> list[tuple]:
+    """(pairs, cost, contexts, escape) of each context length: code lengths of method C."""
+    out = []
+    for k in range(order + 1):
+        pairs, counts, _ = _sums(g & ((1 << 8 * (k + 1)) - 1), n)
+        contexts, total, kinds = _sums(pairs >> 8, counts)
+        norm = total + kinds
+        cost = np.log(norm[np.searchsorted(contexts, pairs >> 8)]) - np.log(counts)
+        out.append((pairs, cost, contexts, np.log(norm) - np.log(kinds)))
+    return out
+
+
+def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``keys`` in the sorted ``table``, and which of them are there."""
+    at = np.minimum(np.searchsorted(table, keys), max(len(table) - 1, 0))
+    return at, table[at] == keys if len(table) else np.zeros(len(keys), dtype=bool)
+
+
+def code_lengths(grams: np.ndarray, tables: list[tuple]) -> np.ndarray:
+    """Nats of the last byte of each gram after its longest seen context, escapes included."""
+    out = np.zeros(len(grams))
+    rest = np.arange(len(grams))
+    for k in range(len(tables) - 1, -1, -1):
+        pairs, cost, contexts, escape = tables[k]
+        keys = grams[rest] & ((1 << 8 * (k + 1)) - 1)
+        at, here = _found(pairs, keys)
+        out[rest[here]] += cost[at[here]]
+        rest, keys = rest[~here], keys[~here]
+        at, here = _found(contexts, keys >> 8)
+        out[rest[here]] += escape[at[here]]
+    out[rest] += np.log(256)
+    return out
 
 
 def _blend(full: np.ndarray) -> np.ndarray:
-    """Symbol probabilities in each two-symbol context, escaping to shorter ones (method C)."""
+    """Dense form of ``code_lengths`` for two-symbol contexts (method C); tests hold the sparse tables against it."""
     prob = np.full(full.shape[0], 1.0 / full.shape[0])
     for counts in (full.sum(axis=(0, 1)), full.sum(axis=0), full):
         total, kinds = counts.sum(axis=-1, keepdims=True), (counts > 0).sum(axis=-1, keepdims=True)
@@ -73,29 +122,45 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     the best language when code lengths are turned into probabilities.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # bounded by (max_symbols + 1) ** 3 figures a language
+    sent = spark.sparkContext.broadcast(model)  # bounded by the training sample
     names = docs.columns
 
+    def nats(texts: list[bytes], m: dict) -> np.ndarray:
+        """Code length of each text (row) in each language (column)."""
+        out = np.zeros((len(texts), len(m["langs"])))
+        todo: list[tuple[int, bytes]] = []
+
+        def code() -> None:
+            # texts repeat their grams: each distinct one is looked up once a language
+            seen, at = np.unique(_grams([p for _, p in todo]), return_inverse=True)
+            starts = np.cumsum([0, *(len(p) - ORDER for _, p in todo[:-1])])
+            for k, tables in enumerate(m["tables"]):
+                np.add.at(out[:, k], [i for i, _ in todo], np.add.reduceat(code_lengths(seen, tables)[at], starts))
+            todo.clear()
+
+        size = 0
+        for i, t in enumerate(texts):
+            t = LEAD + t
+            for lo in range(0, len(t) - ORDER, _SLICE):
+                todo.append((i, t[lo : lo + _SLICE + ORDER]))
+                size += len(todo[-1][1])
+                if size >= _SLICE:
+                    code()
+                    size = 0
+        if todo:
+            code()
+        return out
+
     def run(batches):
         m = sent.value
-        code, cost, langs = m["code"], m["cost"], m["langs"]
-        a = int(code.max()) + 1
+        langs = m["langs"]
         for b in batches:
-            best, score = [], []
-            for t in b[text]:
-                t = t.as_py()
-                if not langs or t is None or not _LETTER.search(t):
-                    best.append("und")
-                    score.append(0.0)
-                    continue
-                x = code[np.frombuffer(b"\n\n" + t.lower().encode(), dtype=np.uint8)]
-                bits = np.zeros(len(langs))
-                for at in range(0, len(x) - 2, 1 << 16):
-                    y = x[at : at + (1 << 16) + 2]
-                    bits += cost[(y[:-2] * a + y[1:-1]) * a + y[2:]].sum(axis=0, dtype=np.float64)
-                p = np.exp(bits.min() - bits)
-                best.append(langs[int(bits.argmin())])
-                score.append(float(1 / p.sum()))
+            texts = b[text].to_pylist()
+            use = [i for i, t in enumerate(texts) if langs and t is not None and _LETTER.search(t)]
+            best, score = ["und"] * len(texts), [0.0] * len(texts)
+            for i, row in zip(use, nats([texts[i].lower().encode() for i in use], m)):
+                best[i] = langs[int(row.argmin())]
+                score[i] = float(1 / np.exp(row.min() - row).sum())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(best, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "lang_score"])
 
     schema = docs.withColumn("lang_pred", F.lit("")).withColumn("lang_score", F.lit(0.0)).schema

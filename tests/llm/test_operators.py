@@ -254,6 +254,48 @@ def test_code_lengths_are_probabilities():
     assert p.min() > 0 and p.sum(axis=-1).max() <= 1 + 1e-9
 
 
+def test_sparse_code_lengths_are_those_of_the_dense_table():
+    rng = np.random.default_rng(2)
+    texts = [bytes(rng.integers(0, 3, 40).astype(np.uint8)) for _ in range(6)]
+    g, n = np.unique(ppm._grams([ppm.LEAD + t for t in texts]), return_counts=True)
+    tables = ppm._tables(g, n)
+    dense = np.zeros((256,) * 3, dtype=np.float32)
+    for x, c in zip(g, n):
+        dense[x >> 16 & 255, x >> 8 & 255, x & 255] += c
+    p = ppm._blend(dense)
+    every = [a << 16 | b << 8 | c for a in (0, 1, 2, 10, 200) for b in (0, 1, 2, 10, 200) for c in (0, 1, 2, 200, 255)]
+    got = ppm.code_lengths(np.array(every), tables[:3])
+    assert np.allclose(got, [-np.log(p[x >> 16, x >> 8 & 255, x & 255]) for x in every], rtol=1e-4)
+    full = np.array([x << 8 | c for x in np.unique(g >> 8)[:50] for c in range(256)])
+    total = np.exp(-ppm.code_lengths(full, tables)).reshape(-1, 256).sum(axis=1)
+    assert total.max() <= 1 + 1e-9 and total.min() > 0.2
+
+
+def test_language_keeps_rare_scripts_apart(spark):
+    rng = np.random.default_rng(4)
+    say = lambda lo, hi: " ".join("".join(map(chr, rng.integers(lo, hi, 5))) for _ in range(40))
+    big = "".join(map(chr, range(32, 127))) + "".join(map(chr, [*range(0x430, 0x460), *range(0x3041, 0x30FF)]))
+    data = [(i, big * 20, "big") for i in range(60)]
+    # one continuation byte range; only the lead bytes of the two scripts differ
+    data += [(100 + i, say(0x78A, 0x7A6), "thaana") for i in range(4)] + [(200 + i, say(0x7CA, 0x7E6), "nko") for i in range(4)]
+    model = ppm.train(spark.createDataFrame(data, "doc_id long, text string, lang string"))
+    ask = [(i, say(*[(0x78A, 0x7A6), (0x7CA, 0x7E6)][i % 2])) for i in range(20)] + [(20, big)]
+    got = dict(ppm.predict(spark.createDataFrame(ask, "doc_id long, text string"), model).select("doc_id", "lang_pred").collect())
+    assert got == {i: ["thaana", "nko"][i % 2] for i in range(20)} | {20: "big"}
+
+
+def test_long_text_is_coded_whole(spark, monkeypatch):
+    known = spark.createDataFrame([(1, "abra cadabra " * 30, "a"), (2, "hocus pocus " * 30, "b")], "doc_id long, text string, lang string")
+    model = ppm.train(known)
+    texts = ["abra " * 9 + "hocus " * 9, "é", "cadabra", "pocus abra " * 50]
+    want = [[ppm.code_lengths(ppm._grams([ppm.LEAD + t.encode()]), m).sum() for m in model["tables"]] for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for size in (1 << 20, 7):
+        monkeypatch.setattr(ppm, "_SLICE", size)
+        got = [r["lang_score"] for r in ppm.predict(docs, model).orderBy("doc_id").collect()]
+        assert np.allclose(got, [1 / np.exp(min(w) - np.array(w)).sum() for w in want])
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(7)
     base = rng.standard_normal((12, 16))
