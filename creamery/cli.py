@@ -17,7 +17,6 @@ from pyspark.sql import SparkSession
 from creamery.config import LakeConfig
 from creamery.plans import layers
 from creamery.plans.sentiment import run_sentiment
-from creamery.streaming.sensor import run_sensor_stream
 
 LAYERS = ("bronze", "stream", "silver", "gold", "sentiment")
 
@@ -52,8 +51,7 @@ def main(argv=None) -> None:
         for name, obs in layers.run_bronze(spark, cfg).items():
             print(f"expectations {name}: {obs.get}")
     if "stream" in wanted:
-        q = run_sensor_stream(spark, cfg, cfg.table("bronze", layers.STREAM_TABLE))
-        print(f"stream progress: {q.lastProgress}")
+        print(f"expectations {layers.STREAM_TABLE}: {layers.run_stream(spark, cfg)}")
     if "silver" in wanted:
         layers.run_silver(spark, cfg)
     if "gold" in wanted:

@@ -68,7 +68,7 @@ def apply_expectations(
     """Count violations of every rule, then remove rows failing ``drop`` rules.
 
     ``observation`` is an :class:`Observation` (batch: read ``.get`` after the
-    write) or a name (streaming: read ``query.lastProgress``). The counts are
+    write) or a name (streaming: one set of counts a micro-batch). The counts are
     taken *before* any row is dropped, so they describe the input.
     ``extra_metrics`` are further named aggregate columns observed alongside.
     """

@@ -20,6 +20,7 @@ from creamery.plans.sentiment import run_sentiment
 from creamery.schemas import SENSOR_SCHEMA
 from creamery.sinks.tables import append_rows, create_table_if_missing, save_table
 from creamery.sources.files import CSV_SCANS, sensor_readings
+from creamery.streaming.sensor import run_sensor_stream
 
 SILVER_PLAN: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "silver_dim_plants": (silver.silver_dim_plants, ["dim_plants"]),
@@ -98,8 +99,8 @@ EXPECTATIONS_LOG_DDL = (
 )
 
 
-def log_expectations(spark: SparkSession, cfg: LakeConfig, observations: dict[str, Observation]) -> None:
-    """Append this run's rule counts to ``bronze.expectations_log`` (the DQ history of the runs).
+def log_expectations(spark: SparkSession, cfg: LakeConfig, counts: dict[str, dict[str, int]]) -> None:
+    """Append this run's rule counts (by table) to ``bronze.expectations_log`` (the DQ history of the runs).
 
     One row per rule per run: the counts were already computed by the
     writing jobs (``observe``), so this only writes a handful of rows.
@@ -108,8 +109,7 @@ def log_expectations(spark: SparkSession, cfg: LakeConfig, observations: dict[st
 
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = []
-    for table, obs in observations.items():
-        metrics = obs.get
+    for table, metrics in counts.items():
         for rule in BRONZE_RULES.get(table, ()):
             failed = int(metrics[rule.name])
             rows.append((now, table, rule.name, rule.action, int(metrics["records"]), failed,
@@ -143,12 +143,27 @@ def run_bronze(
         if obs is not None:
             observations[name] = obs
     run_concurrently(tasks, cfg.concurrent_writes)
-    log_expectations(spark, cfg, observations)
+    log_expectations(spark, cfg, {name: obs.get for name, obs in observations.items()})
     # The live table exists even before the first stream run, so silver can read it.
     create_table_if_missing(spark, cfg.table("bronze", STREAM_TABLE), STREAM_DDL, cfg.table_format)
     return observations
 
 
+def run_stream(spark: SparkSession, cfg: LakeConfig) -> dict[str, int]:
+    """Append the messages that are there to the live table; log its rules over all micro-batches.
+
+    Returns the summed counts (rules, records, payload health; all zero
+    without new messages). They are logged also when a micro-batch fails.
+    """
+    create_databases(spark, cfg)
+    counts = {"records": 0, **{rule.name: 0 for rule in BRONZE_RULES[STREAM_TABLE]}}
+    try:
+        run_sensor_stream(spark, cfg, cfg.table("bronze", STREAM_TABLE), counts=counts)
+    finally:
+        log_expectations(spark, cfg, {STREAM_TABLE: counts})
+    return counts
+
+
 def _run_layer(spark: SparkSession, cfg: LakeConfig, plan: dict, src_layer: str, dst_layer: str) -> None:
     create_databases(spark, cfg)
 
@@ -188,11 +203,9 @@ def run_consumer(spark: SparkSession, cfg: LakeConfig) -> None:
 
 def run_all(spark: SparkSession, cfg: LakeConfig, bronze_inputs: dict[str, DataFrame] | None = None,
             with_stream: bool = False, scorer=None) -> dict[str, Observation]:
-    from creamery.streaming.sensor import run_sensor_stream
-
     observations = run_bronze(spark, cfg, bronze_inputs)
     if with_stream:
-        run_sensor_stream(spark, cfg, cfg.table("bronze", STREAM_TABLE))
+        run_stream(spark, cfg)
     run_silver(spark, cfg)
     run_gold(spark, cfg)
     run_sentiment(spark, cfg, scorer=scorer)

@@ -12,6 +12,8 @@ stream itself.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -125,6 +127,37 @@ def checkpoint_location(spark: SparkSession, cfg: LakeConfig, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _await_counts(query: StreamingQuery, metrics_name: str, counts: dict | None) -> None:
+    """Wait for the end of ``query``; add the observed metrics of all its micro-batches to ``counts``.
+
+    The query keeps the progress of its last micro-batches only
+    (``spark.sql.streaming.numRecentProgressUpdates``, 100), so it is read
+    while the query runs. Counts of finished micro-batches are there also
+    when a later one fails.
+    """
+    batches: dict[int, dict] = {}
+
+    def take() -> None:
+        for p in query.recentProgress:
+            found = (p["observedMetrics"] or {}).get(metrics_name)
+            if found is not None:
+                batches[p["batchId"]] = found.asDict()
+            else:
+                batches.setdefault(p["batchId"], {})
+
+    try:
+        while not query.awaitTermination(0.2):
+            take()
+    finally:
+        take()
+        if batches and len(batches) <= max(batches) - min(batches):
+            warnings.warn(f"{metrics_name}: progress of some micro-batches was not seen; counts are too low", stacklevel=2)
+        if counts is not None:
+            for found in batches.values():
+                for name, n in found.items():
+                    counts[name] = counts.get(name, 0) + n
+
+
 def run_sensor_stream(
     spark: SparkSession,
     cfg: LakeConfig,
@@ -132,12 +165,14 @@ def run_sensor_stream(
     to_path: bool = False,
     checkpoint: str | None = None,
     metrics_name: str = "sensor_readings_stream_dq",
+    counts: dict | None = None,
 ) -> StreamingQuery:
     """Process everything available now, append it to ``target``, stop.
 
     The checkpoint records the consumed offsets / files, so a rerun appends
     only messages that arrived since the last run. ``target`` is a table name,
-    or a path when ``to_path``.
+    or a path when ``to_path``. ``counts``, if given, receives the rule and
+    payload counts of this run, summed over all its micro-batches.
     """
     raw = read_sensor_source(spark, cfg)
     rows = bronze_sensor_stream(raw, observation=metrics_name)
@@ -148,5 +183,5 @@ def run_sensor_stream(
         .trigger(availableNow=True)
     )
     query = writer.start(target) if to_path else writer.toTable(target)
-    query.awaitTermination()
+    _await_counts(query, metrics_name, counts)
     return query

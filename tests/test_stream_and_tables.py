@@ -121,3 +121,23 @@ def test_bucket_count_stays_within_the_limit(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
         spark.sql("DROP TABLE IF EXISTS default.bucket_limit")
+
+
+def test_stream_rules_are_logged_over_all_micro_batches(spark, tmp_dir):
+    from creamery.plans.layers import run_stream
+
+    inp = f"{tmp_dir}/in"
+    for n, temps in enumerate([[25.0, 999.0, 30.0], [-99.0, 700.0], [20.0]]):
+        _messages(spark, inp, [f"R{n}{i}" for i in range(len(temps))], temps)
+    cfg = LakeConfig(
+        bronze_db="smb", silver_db="sms", gold_db="smg", db_root=f"{tmp_dir}/db", stream_format="text", stream_path=inp,
+        checkpoint_root=f"{tmp_dir}/ckpt", stream_options={"maxFilesPerTrigger": "1"},
+    )
+    counts = run_stream(spark, cfg)
+    assert (counts["records"], counts["plausible_temperature"], counts["malformed_payload"]) == (6, 3, 0)
+    assert spark.table("smb.sensor_readings_stream").count() == 3
+    log = spark.table("smb.expectations_log").where("table_name = 'sensor_readings_stream'")
+    assert {(r.rule_name, r.total_records, r.failed_records) for r in log.collect()} == {
+        ("valid_reading_id", 6, 0), ("plausible_temperature", 6, 3)}
+    assert run_stream(spark, cfg)["records"] == 0  # nothing new: a run with zero counts
+    assert log.sparkSession.table("smb.expectations_log").count() == 4
