@@ -106,6 +106,11 @@ def write_blocks(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, bl
     ranged.mapInArrow(run, SCHEMA).write.parquet(path)
 
 
+def _offsets(ends: EliasFano) -> np.ndarray:
+    """Where the documents of a block start, and its end, each by ``select``."""
+    return np.array([ends.select(i) for i in range(ends.n)], dtype=np.int64)
+
+
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of each stored document; ids as little-endian bytes."""
     blocks = spark.read.parquet(path)
@@ -119,7 +124,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                ends = EliasFano(r["low_bits"], r["low"], r["high"], r["marks"], r["n_docs"] + 1).values()
+                ends = _offsets(EliasFano(r["low_bits"], r["low"], r["high"], r["marks"], r["n_docs"] + 1))
                 keys = [None] * r["n_null"] + np.frombuffer(r["doc_ids"], "<i8").tolist()
                 raw = memoryview(r["ids"])
                 first = r["base"] + r["offset"]

@@ -211,6 +211,13 @@ def test_elias_fano(values):
     assert [back.select(i) for i in range(0, len(values), 13)] == values[::13]
 
 
+def test_block_offsets_come_from_select(monkeypatch):
+    values = [0, 0, 3, *range(900, 90_000, 7)]
+    ef = token_files.EliasFano.encode(np.array(values))
+    monkeypatch.setattr(token_files.EliasFano, "values", None)
+    assert token_files._offsets(ef).tolist() == values
+
+
 def test_line_windows(docs):
     by = {}
     for d, t, _ in given(docs):
