@@ -2,7 +2,7 @@
 
 import corpus_pipeline as cp
 import pytest
-from test_operators import ROWS
+from test_llm_operators import ROWS
 
 from creamery.llm.common import table
 
