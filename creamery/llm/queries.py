@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from creamery.llm.bpe import op5_bpe
+from creamery.llm.exact import ORACLE as EXACT_ORACLE
+from creamery.llm.exact import op13_exact
 from creamery.llm.hyperplanes import op8_hyperplanes
 from creamery.llm.line_frequency import op3_line_frequency
 from creamery.llm.line_windows import ORACLE as LINE_WINDOWS_ORACLE
@@ -25,5 +27,6 @@ QUERIES = {
     "op8_hyperplanes": op8_hyperplanes,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op13_exact": op13_exact,
 }
-ORACLE = {"op6_line_windows": LINE_WINDOWS_ORACLE}
+ORACLE = {"op6_line_windows": LINE_WINDOWS_ORACLE, "op13_exact": EXACT_ORACLE}
