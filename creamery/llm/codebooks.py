@@ -168,7 +168,7 @@ def _nearest_sql(n: int) -> str:
     return f"""
 near{n} AS (
   SELECT id, p, a, arg_min(k, d * 64 + k) AS k, min(d) AS d
-  FROM (SELECT id, p, a, k, list_sum(list_transform(list_zip(a, b), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS d
+  FROM (SELECT id, p, a, k, list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(a, b)]) AS d
         FROM parts JOIN book{n} USING (p))
   GROUP BY id, p, a),
 mean{n} AS (
@@ -181,9 +181,9 @@ book{n + 1} AS (SELECT o.p, o.k, coalesce(m.b, o.b) AS b FROM book{n} o LEFT JOI
 ORACLE = f"""
 WITH x AS (
   SELECT row_number() OVER (ORDER BY vec_id, embedding) AS id, vec_id, label,
-         list_transform(embedding, x -> CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+         [CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 parts AS (SELECT id, p, e[p * (len(e) // 16) + 1 : (p + 1) * (len(e) // 16)] AS a FROM x, unnest(range(16)) u(p)),
 book0 AS (SELECT p, id - 1 AS k, a AS b FROM parts WHERE id <= 64),
 {_nearest_sql(0)},
