@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,7 @@ def word_bpe_path() -> str:
 
 
 def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
+    """The printable character that stands for each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     spare = iter(range(256, 512))
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
@@ -69,8 +71,8 @@ class Encoder:
             return [*body[:-1], body[-1] + self.end]
         return list(token)
 
-    def word(self, w: str) -> tuple[tuple[int, ...], str, str]:
-        """Ids of one pre-token, with their decimal and decoded forms."""
+    def word_ids(self, w: str) -> list[int]:
+        """Ids of one pre-token."""
         s = w.encode().decode("latin-1").translate(self.bytes)
         pairs = [*zip(s, s[1:-1]), (s[-2], s[-1] + self.end)] if len(s) > 1 else []
         ids, start = [], 0
@@ -79,7 +81,11 @@ class Encoder:
                 if pair not in self.inside:
                     ids += [t.id for t in self.inner.tokenize(s[start:i])]
                     start = i
-        ids += [t.id for t in self.final.tokenize(s[start:])]
+        return ids + [t.id for t in self.final.tokenize(s[start:])]
+
+    def word(self, w: str) -> tuple[tuple[int, ...], str, str]:
+        """Ids of one pre-token, with their decimal and decoded forms."""
+        ids = self.word_ids(w)
         if len(self.known) >= self.remember:
             self.known.clear()
         out = (tuple(ids), " ".join(map(str, ids)), " ".join(self.names[i] for i in ids))
@@ -87,16 +93,23 @@ class Encoder:
             self.known[w] = out
         return out
 
-    def parts(self, text: str | None) -> list[tuple[tuple[int, ...], str, str]]:
-        known, out = self.known, []
+    def pieces(self, text: str | None) -> Iterator[tuple[bool, str | list[str]]]:
+        """Special tokens (True, token) and, between them, the pre-tokens (False, list) of ``text``."""
         for k, piece in enumerate(self.at_special.split(text or "")):
             if k % 2:
-                i = self.special[piece]
-                out.append(((i,), str(i), piece))
+                yield True, piece
             elif piece:
                 # the normalizer composes, lower-cases and joins white space, which the split passes over
                 plain = piece.lower() if piece.isascii() else self.normal.normalize_str(piece)
-                found = [w for w, _ in self.any_split.pre_tokenize_str(plain)] if _BEYOND_LATIN.search(plain) else self.split.findall(plain)
+                yield False, [w for w, _ in self.any_split.pre_tokenize_str(plain)] if _BEYOND_LATIN.search(plain) else self.split.findall(plain)
+
+    def parts(self, text: str | None) -> list[tuple[tuple[int, ...], str, str]]:
+        known, out = self.known, []
+        for special, found in self.pieces(text):
+            if special:
+                i = self.special[found]
+                out.append(((i,), str(i), found))
+            else:
                 out += [known.get(w) or self.word(w) for w in found]
         return out
 
@@ -107,8 +120,49 @@ class Encoder:
         return " ".join(self.names[i] for i in ids)
 
 
+class IdEncoder(Encoder):
+    """An ``Encoder`` that gives ids only; its store holds them as packed 32-bit integers."""
+
+    def word(self, w: str) -> bytes:
+        out = np.array(self.word_ids(w), "<u4").tobytes()
+        if len(self.known) >= self.remember:
+            self.known.clear()
+        if len(w) <= 64:
+            self.known[w] = out
+        return out
+
+    def packed(self, text: str | None) -> bytes:
+        """The ids of ``text`` as little-endian unsigned 32-bit integers."""
+        known, out = self.known, []
+        for special, found in self.pieces(text):
+            if special:
+                out.append(self.special[found].to_bytes(4, "little"))
+            else:
+                out += [known.get(w) or self.word(w) for w in found]
+        return b"".join(out)
+
+    @staticmethod
+    def of_worker(path: str) -> "IdEncoder":
+        """The one encoder of this Python worker: it outlives a task, as the worker does.
+
+        The subpackage travels by value, so its own globals do not; an
+        imported module's do.
+        """
+        import tokenizers
+
+        held = tokenizers.__dict__.setdefault("_id_encoders", {})
+        if path not in held:
+            held[path] = IdEncoder(path)
+        return held[path]
+
+
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row; null and empty texts have no ids."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row of ``docs`` (doc_id, text).
+
+    Null and empty texts have no ids. Each of several equal rows is encoded;
+    long texts are encoded whole, piece by piece; an empty table gives no
+    rows; other columns are not read.
+    """
 
     def run(batches):
         enc = Encoder(path)

@@ -13,8 +13,31 @@ from creamery.llm.common import stored, table
 from creamery.llm.components import connected_components
 
 
-def _rows(col: pa.Array) -> np.ndarray:
-    return np.array(col.to_pylist(), dtype=np.float64)
+ORACLE = """
+WITH RECURSIVE ok AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding, label) AS id, vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+pair AS (
+  SELECT x.id AS a, y.id AS b FROM ok x JOIN ok y ON x.label = y.label AND x.id <> y.id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+reach AS (SELECT id, id AS other FROM ok UNION SELECT r.id, p.b FROM reach r JOIN pair p ON r.other = p.a),
+low AS (SELECT r.id, min(o.vec_id) AS component_id FROM reach r JOIN ok o ON r.other = o.id GROUP BY r.id),
+linked AS (
+  SELECT ok.vec_id, (SELECT count(*) FROM pair p WHERE p.a = ok.id) AS n_links, low.component_id FROM ok JOIN low USING (id)),
+other AS (
+  SELECT vec_id, CAST(0 AS BIGINT) AS n_links, vec_id AS component_id FROM embeddings
+  WHERE label IS NULL OR embedding IS NULL OR len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) > 0
+    OR len([x FOR x IN embedding IF x <> 0]) = 0)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM (SELECT * FROM linked UNION ALL SELECT * FROM other)
+"""
+
+
+def _rows(column: pa.Array) -> np.ndarray:
+    """The vectors (of one length) as rows, each divided by the power of two above its largest component: products stay finite."""
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
 
 
 def _buckets(reps: DataFrame, dim: int, bits: int, tables: int, seed: int) -> DataFrame:
@@ -26,70 +49,71 @@ def _buckets(reps: DataFrame, dim: int, bits: int, tables: int, seed: int) -> Da
                 sign = (_rows(b["embedding"]) @ planes > 0).reshape(-1, tables, bits)
                 keys = (sign * power).sum(axis=2)
                 n = b.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [b["label"].take(pa.array(np.repeat(np.arange(n), tables))), pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(keys.ravel()), b["rep"].take(pa.array(np.repeat(np.arange(n), tables)))],
-                    ["label", "t", "k", "rep"],
-                )
+                at = pa.array(np.repeat(np.arange(n), tables))
+                yield pa.RecordBatch.from_arrays([b["label"].take(at), pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(keys.ravel()), b["id"].take(at)], ["label", "t", "k", "id"])
 
     label = reps.schema["label"].dataType.simpleString()
-    return reps.where(F.size("embedding") == dim).select("rep", "label", "embedding").mapInArrow(run, f"label {label}, t int, k long, rep long")
+    return reps.where(F.size("embedding") == dim).select("id", "label", "embedding").mapInArrow(run, f"label {label}, t int, k long, {_ID}")
+
+
+_ID = "id struct<a:long,b:long>"
+
+
+def _verified(pairs: DataFrame, reps: DataFrame, dim: int, cosine: float) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x, y = _rows(b["ea"]), _rows(b["eb"])
+                cos = (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
+                yield b.select(["a", "b", "ma", "mb"]).filter(pa.array(cos >= cosine))
+
+    here = reps.where(F.size("embedding") == dim)
+    side = lambda s: here.select(F.col("id").alias(s), F.col("m").alias("m" + s), F.col("embedding").alias("e" + s))
+    kind = _ID.split()[1]
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ma", "mb", "ea", "eb").mapInArrow(run, f"a {kind}, b {kind}, ma long, mb long")
 
 
 def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.93, miss: float = 1e-4, seed: int = 11) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each row of ``vectors`` (vec_id, embedding, label).
 
-    Equal vectors of one label collapse first and count as linked. Bits per
-    table follow the largest label's size, and so many tables are made that a
-    pair at the limit is missed with probability ``miss`` at most; candidates
-    are verified in double precision. Labels must be equal. Rows whose label
-    is null or whose vector is null, empty, zero or holds null or non-finite
-    components link with nothing, as do vectors of different lengths.
+    Equal vectors of one label collapse first and count as linked; a vector is
+    known by two hashes over label and components. Bits per table follow the
+    largest label's size, and so many tables are made that a pair at the limit
+    is missed with probability ``miss`` at most; candidates are verified in
+    double precision. Labels must be equal. Rows that share a vec_id are
+    different vectors, each with its own links. Rows whose label is null or
+    whose vector is null, empty, zero or holds null or non-finite components
+    link with nothing, as do vectors of different lengths. An empty table
+    gives no rows; other columns are not read.
     """
     spark = vectors.sparkSession
     fine = F.col("label").isNotNull() & F.col("embedding").isNotNull()
     fine &= F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
-    v = vectors.select("vec_id", "embedding", "label").withColumn("ok", F.coalesce(fine, F.lit(False)))
-    keyed = v.withColumn("key", F.when(F.col("ok"), F.struct("label", F.xxhash64("embedding").alias("a"), F.xxhash64(F.lit(1), "embedding").alias("b"))))
+    v = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
+    hashes = F.struct(F.xxhash64("label", "embedding").alias("a"), F.xxhash64(F.lit(1), "label", "embedding").alias("b"))
+    keyed = v.withColumn("id", F.when(F.coalesce(fine, F.lit(False)), hashes))
     reps = stored(
-        keyed.where("ok").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"), F.any_value("embedding").alias("embedding")).withColumn("label", F.col("key.label")),
+        keyed.where("id IS NOT NULL").groupBy("id").agg(F.min("vec_id").alias("low"), F.count("*").alias("m"), F.any_value("label").alias("label"), F.any_value("embedding").alias("embedding")),
         "vectors",
     )
-    pairs = None
     agree = 1 - math.acos(cosine) / math.pi
     most = reps.groupBy("label").count().agg(F.max("count")).first()[0] or 1
     bits = min(40, max(4, math.ceil(math.log2(most + 1))))
     tables = math.ceil(math.log(miss) / math.log1p(-(agree**bits)))
+    edges = spark.createDataFrame([], f"a {_ID.split()[1]}, b {_ID.split()[1]}, ma long, mb long")
     for (dim,) in reps.select(F.size("embedding")).distinct().collect():
         b = _buckets(reps, dim, bits, tables, seed)
-        p = b.alias("x").join(b.alias("y"), F.expr("x.label = y.label AND x.t = y.t AND x.k = y.k AND x.rep < y.rep")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-        pairs = p if pairs is None else pairs.unionByName(p)
-    if pairs is None:
-        pairs = spark.createDataFrame([], "a long, b long")
-
-    def verify(batches):
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            x, y = _pad(b["ea"]), _pad(b["eb"])
-            cos = (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
-            yield b.select(["a", "b", "ma", "mb"]).filter(pa.array(cos >= cosine))
-
-    def _pad(col):
-        rows = col.to_pylist()
-        out = np.zeros((len(rows), max(map(len, rows))))
-        for i, r in enumerate(rows):
-            out[i, : len(r)] = r
-        return out
-
-    side = lambda s: reps.select(F.col("rep").alias(s), F.col("m").alias("m" + s), F.col("embedding").alias("e" + s))
-    edges = stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ma", "mb", "ea", "eb").mapInArrow(verify, "a long, b long, ma long, mb long"), "links")
-    roots = connected_components(edges.select("a", "b")).withColumnRenamed("id", "rep")
-    far = edges.select(F.col("a").alias("rep"), F.col("mb").alias("m")).unionByName(edges.select(F.col("b").alias("rep"), F.col("ma").alias("m")))
-    far = far.groupBy("rep").agg(F.sum("m").alias("far"))
-    classes = reps.select("key", "rep", "m").join(far, "rep", "left").join(roots, "rep", "left")
-    classes = classes.select("key", (F.coalesce("far", F.lit(0)) + F.col("m") - 1).alias("n"), F.coalesce("root", "rep").alias("root"))
-    out = keyed.select("vec_id", "key").join(classes, "key", "left").select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+        pairs = b.alias("x").join(b.alias("y"), F.expr("x.label = y.label AND x.t = y.t AND x.k = y.k AND x.id < y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+        edges = edges.unionByName(_verified(pairs, reps, dim, cosine))
+    edges = stored(edges, "links")
+    roots = connected_components(edges.select("a", "b"))
+    far = edges.select(F.col("a").alias("id"), F.col("mb").alias("m")).unionByName(edges.select(F.col("b").alias("id"), F.col("ma").alias("m")))
+    far = far.groupBy("id").agg(F.sum("m").alias("far"))
+    classes = reps.select("id", "low", "m").join(far, "id", "left").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
+    classes = classes.join(lowest, "root").select("id", (F.coalesce("far", F.lit(0)) + F.col("m") - 1).alias("n"), "component_id")
+    out = keyed.select("vec_id", "id").join(classes, "id", "left").select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    return out.withColumn("kept", F.expr("vec_id <=> component_id"))
 
 
 def op8_hyperplanes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import regex
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creamery.llm.common import held_out, table
 
-_LETTER = re.compile(r"[^\W\d_]")
-
-
+_LETTER = regex.compile(r"\p{L}")
 #: Longest context in bytes, and what stands before a text.
 ORDER = 4
 LEAD = b"\n" * ORDER
@@ -36,14 +33,20 @@ def _grams(pieces: list[bytes]) -> np.ndarray:
 def train(docs: DataFrame, max_docs: int = 1500) -> dict:
     """Frozen statistics of ``docs`` (doc_id, text, lang): a bounded sample per language.
 
-    Up to ``max_docs`` documents of each language, in a hash order, give their
-    whole texts. Holds, for each language and each context length from 0 to
-    ``ORDER``, the seen contexts and the seen (context, byte) pairs as sorted
-    arrays with their code lengths in nats. All 256 byte values are symbols;
-    the size is bounded by the bytes of the sample.
+    About ``max_docs`` distinct documents of each language give their whole
+    texts: those whose hash lies under a limit taken from the language's count
+    (all, where there are fewer), so only the sample leaves the scan. Holds,
+    for each language and each context length from 0 to ``ORDER``, the seen
+    contexts and the seen (context, byte) pairs as sorted arrays with their
+    code lengths in nats. All 256 byte values are symbols; the size is bounded
+    by the languages and the bytes of their samples. Rows without text or lang
+    teach nothing; an empty table gives a model without languages.
     """
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    some = docs.where("text IS NOT NULL AND lang IS NOT NULL").withColumn("r", rank).where(F.col("r") <= max_docs)
+    known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text", F.xxhash64(F.lit(3), "doc_id", "text").alias("u"))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("u").alias("n")).collect()
+    limits = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, max_docs / max(r["n"], 1)) * (1 << 32))) for r in sizes], "lang string, top long")
+    # one row per language, of which the model holds whole tables
+    some = known.join(F.broadcast(limits), "lang").where(F.pmod("u", F.lit(1 << 32)) < F.col("top")).dropDuplicates(["lang", "u"])
 
     def count(batches):
         for b in batches:
@@ -102,26 +105,15 @@ def code_lengths(grams: np.ndarray, tables: list[tuple]) -> np.ndarray:
     return out
 
 
-def _blend(full: np.ndarray) -> np.ndarray:
-    """Dense form of ``code_lengths`` for two-symbol contexts (method C); tests hold the sparse tables against it."""
-    prob = np.full(full.shape[0], 1.0 / full.shape[0])
-    for counts in (full.sum(axis=(0, 1)), full.sum(axis=0), full):
-        total, kinds = counts.sum(axis=-1, keepdims=True), (counts > 0).sum(axis=-1, keepdims=True)
-        norm = np.maximum(total + kinds, 1)
-        escape = np.where(total > 0, kinds / norm, 1.0)
-        # a symbol seen here is coded here; others pay the escape and their shorter context
-        prob = np.where(counts > 0, counts / norm, escape * prob)
-    return prob
-
-
 def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """``docs`` plus lang_pred and lang_score, from each whole text alone.
 
     A text that is null or has no letter gets ``und`` and score 0. Texts are
     read in slices, so very long ones need no more memory. Score: the share of
-    the best language when code lengths are turned into probabilities.
+    the best language when code lengths are turned into probabilities. Columns
+    named lang_pred or lang_score in ``docs`` are replaced, others pass through.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.drop("lang_pred", "lang_score")
     sent = spark.sparkContext.broadcast(model)  # bounded by the training sample
     names = docs.columns
 

@@ -7,6 +7,7 @@ from creamery.llm.codebooks import ORACLE as CODEBOOKS_ORACLE
 from creamery.llm.codebooks import op12_codebooks
 from creamery.llm.exact import ORACLE as EXACT_ORACLE
 from creamery.llm.exact import op13_exact
+from creamery.llm.hyperplanes import ORACLE as HYPERPLANES_ORACLE
 from creamery.llm.hyperplanes import op8_hyperplanes
 from creamery.llm.line_frequency import op3_line_frequency
 from creamery.llm.line_windows import ORACLE as LINE_WINDOWS_ORACLE
@@ -34,4 +35,9 @@ QUERIES = {
     "op12_codebooks": op12_codebooks,
     "op13_exact": op13_exact,
 }
-ORACLE = {"op6_line_windows": LINE_WINDOWS_ORACLE, "op12_codebooks": CODEBOOKS_ORACLE, "op13_exact": EXACT_ORACLE}
+ORACLE = {
+    "op6_line_windows": LINE_WINDOWS_ORACLE,
+    "op8_hyperplanes": HYPERPLANES_ORACLE,
+    "op12_codebooks": CODEBOOKS_ORACLE,
+    "op13_exact": EXACT_ORACLE,
+}

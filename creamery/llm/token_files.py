@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creamery.llm.bpe import Encoder, word_bpe_path
+from creamery.llm.bpe import IdEncoder, word_bpe_path
 from creamery.llm.common import table
 from creamery.session import scratch_dir
 
@@ -72,32 +70,35 @@ def write_blocks(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, bl
     Texts are dealt by doc_id range, sorted, encoded, and cut into blocks of
     about ``block_ids`` ids (a longer document is a block of its own): ids as
     little-endian uint32, boundaries Elias-Fano coded. Null texts hold the end
-    id alone; null doc_ids come first; equal doc_ids lie side by side.
+    id alone; null doc_ids come first; equal doc_ids lie side by side. Ids are
+    those of the library's encode, made by ``bpe.IdEncoder``. An empty table
+    writes no block; other columns are not read.
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def run(batches):
-        enc, part, offset = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, part, offset = IdEncoder.of_worker(tokenizer), TaskContext.get().partitionId(), 0
+        end = end_id.to_bytes(4, "little")
         held, keys, total = [], [], 0
 
         def block():
-            ends = np.cumsum([0] + [len(h) for h in held])
+            ends = np.cumsum([0] + [len(h) // 4 for h in held])
             ef = EliasFano.encode(ends)
             known = np.array([k for k in keys if k is not None], dtype="<i8")
-            row = (part, offset, total, len(keys), len(keys) - len(known), known.tobytes(), ef.low_bits, ef.low.tobytes(), ef.high.tobytes(), ef.marks.tobytes(), np.concatenate(held).tobytes())
+            row = (part, offset, total, len(keys), len(keys) - len(known), known.tobytes(), ef.low_bits, ef.low.tobytes(), ef.high.tobytes(), ef.marks.tobytes(), b"".join(held))
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names)
 
         for b in batches:
             for doc_id, text in zip(b["doc_id"], b["text"]):
-                ids = np.array([*enc.ids(text.as_py()), end_id], dtype="<u4")
-                if held and total + len(ids) > block_ids:
+                ids = enc.packed(text.as_py()) + end
+                if held and total + len(ids) // 4 > block_ids:
                     yield block()
                     offset, held, keys, total = offset + total, [], [], 0
                 held.append(ids)
                 keys.append(doc_id.as_py())
-                total += len(ids)
+                total += len(ids) // 4
         if held:
             yield block()
 
@@ -123,13 +124,13 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for r in b.to_pylist():
+            small = b.drop_columns(["ids"]).to_pylist()
+            for r, raw in zip(small, b["ids"]):  # one block's ids at a time
                 ends = _offsets(EliasFano(r["low_bits"], r["low"], r["high"], r["marks"], r["n_docs"] + 1))
                 keys = [None] * r["n_null"] + np.frombuffer(r["doc_ids"], "<i8").tolist()
-                raw = memoryview(r["ids"])
-                first = r["base"] + r["offset"]
+                lists = pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer((ends * 4).astype(np.int32).tobytes()), raw.as_buffer()])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(ends[:-1] + first), pa.array(np.diff(ends)), pa.array([bytes(raw[4 * s : 4 * e]) for s, e in zip(ends[:-1], ends[1:])], pa.binary())],
+                    [pa.array(keys, pa.int64()), pa.array(ends[:-1] + r["base"] + r["offset"]), pa.array(np.diff(ends)), lists],
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
 

@@ -26,43 +26,67 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(f.keys(), np.int32, len(f)), np.log1p(np.fromiter(f.values(), np.float32, len(f)))
 
 
-def _sparse(df: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+def _sample(docs: DataFrame, most: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features of at most ``most`` distinct rows of ``docs`` (doc_id, text), the first ones in a hash order.
+
+    A hash limit taken from the row count lets about twice as many rows leave
+    the scan; only their features are ordered and reach the driver.
+    """
+
     def run(batches):
         for b in batches:
             fs = [features(t.as_py()) for t in b["text"]]
-            yield pa.RecordBatch.from_arrays([pa.array([f[k].tobytes() for f in fs], pa.binary()) for k in (0, 1)], ["i", "v"])
+            yield pa.RecordBatch.from_arrays([b["u"], *(pa.array([f[k].tobytes() for f in fs], pa.binary()) for k in (0, 1))], ["u", "i", "v"])
+
+    keyed = docs.select("text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("u"))
+    n = keyed.agg(F.approx_count_distinct("u")).first()[0]
+    some = keyed.where(F.pmod("u", F.lit(1 << 32)) < int(min(1.0, 2 * most / max(n, 1)) * (1 << 32))).dropDuplicates(["u"])
+    rows = some.select("u", "text").mapInArrow(run, "u long, i binary, v binary").orderBy("u").limit(most).collect()
+    return [(np.frombuffer(r["i"], np.int32), np.frombuffer(r["v"], np.float32)) for r in rows]
 
-    return [(np.frombuffer(r["i"], np.int32), np.frombuffer(r["v"], np.float32)) for r in df.select("text").mapInArrow(run, "i binary, v binary").collect()]
 
+def risk(z: np.ndarray, is_p: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """The non-negative risk of scores ``z`` under the logistic loss, and the descent direction's derivative by ``z``.
 
-def fit(positive: list, unlabelled: list, prior: float, epochs: int = 300, rate: float = 0.1, decay: float = 1e-4, min_df: int = 5) -> dict:
-    """A linear classifier under the non-negative risk: prior * R_p+ + max(0, R_u- - prior * R_p-)."""
+    Risk: prior * R_p+ + max(0, R_u- - prior * R_p-). Where the second part is
+    negative, the direction is that part's alone, with its sign turned.
+    """
+    n_p, n_u = is_p.sum(), (~is_p).sum()
+    s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    negative = np.logaddexp(0, z[~is_p]).mean() - prior * np.logaddexp(0, z[is_p]).mean()
+    g = np.zeros(len(z))
+    if negative >= 0:
+        g[is_p] = prior * (s[is_p] - 1) / n_p - prior * s[is_p] / n_p
+        g[~is_p] = s[~is_p] / n_u
+    else:
+        g[is_p] = prior * s[is_p] / n_p
+        g[~is_p] = -s[~is_p] / n_u
+    return prior * np.logaddexp(0, -z[is_p]).mean() + max(0.0, negative), g
+
+
+def fit(positive: list, unlabelled: list, prior: float, epochs: int = 300, rate: float = 0.1, decay: float = 1e-4, prior_df: float = 20.0) -> dict:
+    """A linear classifier under ``risk``, by Adam steps over all rows.
+
+    A term's feature is damped by n / (n + prior_df), n being the positive rows
+    that hold it: what few documents say about a word counts less, but counts.
+    """
     rows = positive + unlabelled
-    df = np.bincount(np.concatenate([r[0] for r in rows]), minlength=DIM) if rows else np.zeros(DIM)
-    df_p = np.bincount(np.concatenate([r[0] for r in positive]), minlength=DIM) if positive else np.zeros(DIM)
-    scale = np.where(df_p >= min_df, np.log((1 + len(rows)) / (1 + df)), 0).astype(np.float32)
     w, bias = np.zeros(DIM), -1.0
     if not positive or not unlabelled:
         return {"w": w, "bias": -20.0}
+    df = np.bincount(np.concatenate([r[0] for r in rows]), minlength=DIM)
+    df_p = np.bincount(np.concatenate([r[0] for r in positive]), minlength=DIM)
+    scale = (np.log((1 + len(rows)) / (1 + df)) * df_p / (df_p + prior_df)).astype(np.float32)
     idx = np.concatenate([r[0] for r in rows])
     row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
     use = scale[idx] > 0
     val = np.concatenate([r[1] for r in rows])[use] * scale[idx[use]]
     idx, row = idx[use], row[use]
-    n_p, n_u = len(positive), len(unlabelled)
-    is_p = np.arange(len(rows)) < n_p
+    is_p = np.arange(len(rows)) < len(positive)
     m, s = np.zeros(DIM + 1), np.zeros(DIM + 1)
     for step in range(1, epochs + 1):
         z = np.bincount(row, weights=w[idx] * val, minlength=len(rows)) + bias
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        r_u, r_pn = np.logaddexp(0, z[~is_p]).mean(), np.logaddexp(0, z[is_p]).mean()
-        g = np.zeros(len(rows))
-        if r_u - prior * r_pn >= 0:
-            g[is_p] = prior * (p[is_p] - 1) / n_p - prior * p[is_p] / n_p
-            g[~is_p] = p[~is_p] / n_u
-        else:  # the corrected risk fell below zero: step back on it alone
-            g[is_p] = prior * p[is_p] / n_p
-            g[~is_p] = -p[~is_p] / n_u
+        _, g = risk(z, is_p, prior)
         grad = np.append(np.bincount(idx, weights=val * g[row], minlength=DIM) + decay * w, g.sum())
         m, s = 0.9 * m + 0.1 * grad, 0.999 * s + 0.001 * grad**2
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
@@ -71,21 +95,31 @@ def fit(positive: list, unlabelled: list, prior: float, epochs: int = 300, rate:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_positive: int = 2000, max_unlabelled: int = 8000) -> dict:
-    """Fit on confirmed toxic rows and unlabelled text, each a bounded sample in hash order.
+    """Fit on confirmed toxic rows of ``docs`` (doc_id, text) and unlabelled text, each a bounded sample in a hash order.
 
-    The class prior is the toxic share of the labelled rows given; labels of 0
-    serve for nothing else.
+    The class prior is the toxic share of the labelled rows (doc_id, toxic)
+    given; labels of 0 serve for nothing else. An id labelled twice is toxic
+    if one label says so. Equal rows count once, null texts are not learned
+    from, texts are read whole. Without toxic rows, or without text, every
+    score is near 0.
     """
     known = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    prior = known.agg(F.avg("toxic")).first()[0] or 0.0
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    pos = docs.join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_semi").orderBy(*order).limit(max_positive)
-    rest = docs.where("text IS NOT NULL").orderBy(*order).limit(max_unlabelled)
-    return fit(_sparse(pos), _sparse(rest), min(max(prior, 1e-3), 0.5))
+    share, n = known.agg(F.avg("toxic"), F.count_if(F.col("toxic") == 1)).first()
+    some = docs.where("text IS NOT NULL").select("doc_id", "text")
+    order = F.xxhash64(F.lit(5), "doc_id")
+    limit = int(min(1.0, 4 * max_positive / max(n, 1)) * (1 << 32))
+    ids = known.where("toxic = 1").where(F.pmod(order, F.lit(1 << 32)) < limit).orderBy(order, "doc_id").limit(2 * max_positive)
+    # at most 2 * max_positive ids are sent to the tasks, so that no text moves for the join
+    toxic = some.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
+    return fit(_sample(toxic, max_positive, 1), _sample(some, max_unlabelled, 2), min(max(share or 0.0, 1e-3), 0.5))
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` plus toxic_score (0 to 1) of each whole text; null and empty texts score by the bias."""
+    """``docs`` plus toxic_score (0 to 1) of each whole text; null and empty texts score by the bias.
+
+    A column named toxic_score in ``docs`` is replaced; others pass through.
+    """
+    docs = docs.drop("toxic_score")
     sent, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns
 
     def run(batches):

@@ -255,9 +255,21 @@ def test_language_held_out_accuracy(spark):
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97
 
 
+def _blend(full: np.ndarray) -> np.ndarray:
+    """Dense form of ``ppm.code_lengths`` for two-symbol contexts (method C)."""
+    prob = np.full(full.shape[0], 1.0 / full.shape[0])
+    for counts in (full.sum(axis=(0, 1)), full.sum(axis=0), full):
+        total, kinds = counts.sum(axis=-1, keepdims=True), (counts > 0).sum(axis=-1, keepdims=True)
+        norm = np.maximum(total + kinds, 1)
+        escape = np.where(total > 0, kinds / norm, 1.0)
+        # a symbol seen here is coded here; others pay the escape and their shorter context
+        prob = np.where(counts > 0, counts / norm, escape * prob)
+    return prob
+
+
 def test_code_lengths_are_probabilities():
     counts = np.random.default_rng(1).integers(0, 4, (5, 5, 5)).astype(float)
-    p = ppm._blend(counts)
+    p = _blend(counts)
     assert p.min() > 0 and p.sum(axis=-1).max() <= 1 + 1e-9
 
 
@@ -269,7 +281,7 @@ def test_sparse_code_lengths_are_those_of_the_dense_table():
     dense = np.zeros((256,) * 3, dtype=np.float32)
     for x, c in zip(g, n):
         dense[x >> 16 & 255, x >> 8 & 255, x & 255] += c
-    p = ppm._blend(dense)
+    p = _blend(dense)
     every = [a << 16 | b << 8 | c for a in (0, 1, 2, 10, 200) for b in (0, 1, 2, 10, 200) for c in (0, 1, 2, 200, 255)]
     got = ppm.code_lengths(np.array(every), tables[:3])
     assert np.allclose(got, [-np.log(p[x >> 16, x >> 8 & 255, x & 255]) for x in every], rtol=1e-4)
@@ -361,3 +373,152 @@ def test_toxicity_held_out(spark):
     pos, neg = got.loc[got.toxic == 1, "score"], got.loc[got.toxic == 0, "score"]
     auc = (pos.to_numpy()[:, None] > neg.to_numpy()).mean()
     assert auc > 0.75 and (neg >= 0.5).mean() < 0.05 and (pos >= 0.5).mean() > 0.4
+
+
+def test_language_needs_a_letter_and_takes_clashing_names(spark):
+    model = ppm.train(table(spark, SF, "documents"))
+    texts = ["½", "²", "Ⅷ", "①", "12 _ !", "\u0301", "é", "ª", "\u4e00"]
+    asked = spark.createDataFrame([(i, t, "old", 9) for i, t in enumerate(texts)], "doc_id long, text string, lang_pred string, lang_score int")
+    got = {r["doc_id"]: r["lang_pred"] for r in ppm.predict(asked, model).collect()}
+    assert [got[i] == "und" for i in range(len(texts))] == [True] * 6 + [False] * 3
+
+
+def test_code_lengths_of_order_four_by_hand():
+    """Method C written out per byte: escape through each seen, longer context."""
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.integers(97, 100, int(rng.integers(1, 60))).astype(np.uint8)) for _ in range(8)]
+    seen = [Counter() for _ in range(5)]
+    for t in texts:
+        t = ppm.LEAD + t
+        for i in range(4, len(t)):
+            for k in range(5):
+                seen[k][t[i - k : i], t[i]] += 1
+
+    def nats(t, i):
+        out = 0.0
+        for k in (4, 3, 2, 1, 0):
+            here = {b: n for (c, b), n in seen[k].items() if c == t[i - k : i]}
+            if not here:
+                continue
+            norm = sum(here.values()) + len(here)
+            if t[i] in here:
+                return out - np.log(here[t[i]] / norm)
+            out -= np.log(len(here) / norm)
+        return out + np.log(256)
+
+    g, n = np.unique(ppm._grams([ppm.LEAD + t for t in texts]), return_counts=True)
+    tables = ppm._tables(g, n)
+    for t in [b"abcabc", b"zzz", b"aab\xffcab", texts[0]]:
+        t = ppm.LEAD + t
+        got = ppm.code_lengths(ppm._grams([t]), tables)
+        assert np.allclose(got, [nats(t, i) for i in range(4, len(t))])
+
+
+def test_language_sample_is_bounded_per_language(spark):
+    docs = spark.createDataFrame([(i, f"text number {i % 700}", "a" if i % 3 else "b") for i in range(4000)] + [(9, "same", "a")] * 4000, "doc_id long, text string, lang string")
+    small, whole = ppm.train(docs, max_docs=50), ppm.train(docs, max_docs=10_000)
+    assert small["langs"] == whole["langs"] == ["a", "b"]
+    assert all(len(s[4][0]) < len(w[4][0]) for s, w in zip(small["tables"], whole["tables"]))
+
+
+def test_risk_gradient():
+    """The direction is the risk's numeric derivative, or that of the negative part with its sign turned."""
+    rng = np.random.default_rng(8)
+    is_p = np.arange(30) < 10
+    for shift, prior in ((0.0, 0.2), (-4.0, 0.5), (3.0, 0.5)):
+        z = rng.normal(0, 1, 30) + np.where(is_p, -shift, shift)
+        lp = lambda v: np.log1p(np.exp(v))
+        pos = lambda z: prior * lp(-z[is_p]).mean()
+        neg = lambda z: lp(z[~is_p]).mean() - prior * lp(z[is_p]).mean()
+        value, g = toxicity.risk(z, is_p, prior)
+        assert np.isclose(value, pos(z) + max(0, neg(z)))
+        whole = (lambda z: pos(z) + neg(z)) if neg(z) >= 0 else (lambda z: -neg(z))
+        for i in range(30):
+            e = np.eye(30)[i] * 1e-6
+            assert np.isclose(g[i], (whole(z + e) - whole(z - e)) / 2e-6, atol=1e-6)
+
+
+def test_toxicity_takes_awkward_rows(spark):
+    rows = [(i, f"fine words number {i}") for i in range(60)] + [(i, f"vile slur {i}") for i in range(60, 70)] + [(200, "vile slur again")] * 300 + [(None, "vile"), (71, None), (72, ""), (73, "vile " * 50_000)]
+    docs = spark.createDataFrame([(*r, 0.1) for r in rows], "doc_id long, text string, toxic_score double")
+    labels = spark.createDataFrame([(i, int(i >= 60), "x") for i in range(20, 70)] + [(60, 0, "x"), (61, None, "x"), (None, 1, "x")], "doc_id long, toxic int, text string")
+    model = toxicity.train(docs, labels)
+    got = {r["doc_id"]: r["toxic_score"] for r in toxicity.score(docs, model).collect()}
+    assert len(got) == 75 and got[200] > 0.5 > got[10] and got[73] > 0.5
+    assert len(toxicity._sample(docs, 20, 1)) == 20 and len(toxicity._sample(docs, 1000, 1)) == 75
+
+
+def test_mixing_takes_part_of_equal_rows(spark):
+    """100 equal rows of 4 words: a target of 602.5 words takes 50 of them twice."""
+    same = [(1, "one two three four", "a")] * 100
+    other = [(i, "x y " * (i % 9), "b") for i in range(2, 300)] + [(2, None, None), (3, "", None), (4, "z " * 500, None)]
+    docs = spark.createDataFrame([(*r, 7, "q") for r in same + other], "doc_id long, text string, source string, _size int, _src string")
+    size = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), " "), lambda w: w != ""))
+    out = mixing.mix(docs, size).collect()
+    assert len(out) == len(same + other) and Counter((r["doc_id"], r["text"], r["source"]) for r in out) == Counter(same + other)
+    took, target, largest = Counter(), {}, Counter()
+    for r in out:
+        took[r["source"]] += r["_epochs"] * r["_size"]
+        target[r["source"]] = r["_target"]
+        largest[r["source"]] = max(largest[r["source"]], r["_size"])
+        assert r["_size"] == len((r["text"] or "").split()) and 0 <= r["_epochs"] <= 2
+    assert all(0 <= target[s] - took[s] <= largest[s] for s in target)
+    again = mixing.mix(docs.repartition(7), size).collect()
+    assert Counter((r["doc_id"], r["text"], r["_epochs"]) for r in again) == Counter((r["doc_id"], r["text"], r["_epochs"]) for r in out)
+
+
+def test_mixing_query_against_brute_force(spark):
+    """Targets by repeated clamping in exact fractions; each source's taken words within one document below its target."""
+    from fractions import Fraction
+
+    out = mixing.op9_mixing(spark, SF).collect()
+    docs = {r["doc_id"]: r for r in table(spark, SF, "documents").collect()}
+    assert len(out) == len(docs) == len({r["doc_id"] for r in out})
+    size = {i: len(WORD.findall(r["text"] or "")) for i, r in docs.items()}
+    total = Counter()
+    for i, r in docs.items():
+        total[r["source"]] += size[i]
+    names = sorted(total, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    want, free, left = {}, set(names), Fraction(3 * sum(total.values()), 2)
+    while free:
+        shares = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if shares[s] > 2 * total[s]}
+        want.update({s: Fraction(2 * total[s]) if s in over else shares[s] for s in (over or free)})
+        left -= sum(want[s] for s in over)
+        free = free - over if over else set()
+    took = Counter()
+    for r in out:
+        s = docs[r["doc_id"]]["source"]
+        assert (r["size"], r["source_size"]) == (size[r["doc_id"]], total[s]) and abs(r["target"] - float(want[s])) < 1e-6
+        assert r["taken"] in {k * r["size"] for k in (0, 1, 2)}
+        took[s] += r["taken"]
+    biggest = {s: max(size[i] for i, r in docs.items() if r["source"] == s) for s in names}
+    assert all(0 <= want[s] - took[s] <= biggest[s] for s in names)
+
+
+def test_vectors_of_repeated_ids_keep_their_labels_apart(spark):
+    a, b, c, near_b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0], [0.0, 1.0, 0.1]
+    rows = [(5, a, "x"), (5, b, "y"), (7, c, "x"), (8, near_b, "x"), (9, a, "x"), (5, [0.1, 1.0, 0.0], "y"), (None, c, "x"), (None, c, None)]
+    df = spark.createDataFrame([(*r, 1.5) for r in rows], "vec_id long, embedding array<double>, label string, m double")
+    got = Counter(tuple(r) for r in hyperplanes.near_duplicate_vectors(df).collect())
+    assert got == Counter([(5, 1, 5, True), (5, 1, 5, True), (5, 1, 5, True), (7, 1, 7, True), (None, 1, 7, False), (8, 0, 8, True), (9, 1, 5, False), (None, 0, None, True)])
+
+
+def test_vectors_of_extreme_size_are_compared(spark):
+    rows = [(i, [s * 1.0, s * 0.2, 0.0], 1) for i, s in enumerate((1e200, 1e-200, 1.0, 5e-324, 1e308))] + [(9, [0.0, 0.0, 1e-300], 1)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in hyperplanes.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {0: (4, 0), 1: (4, 0), 2: (4, 0), 3: (4, 0), 4: (4, 0), 9: (0, 9)}
+
+
+def test_vector_recall_in_one_wide_label(spark):
+    """6,000 vectors of 64 dimensions in one label, thousands of pairs near the limit: recall of 0.99 or more, none below the limit."""
+    rng = np.random.default_rng(17)
+    base = rng.standard_normal((1200, 64))
+    v = np.concatenate([base + rng.standard_normal((1200, 64)) * s for s in (0.0, 0.18, 0.24, 0.27, 0.30)])
+    df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in hyperplanes.near_duplicate_vectors(df).collect()}
+    found = sum(got.values())
+    assert links.sum() > 2000 and all(got[i] <= n for i, n in enumerate(links)) and found >= 0.99 * links.sum()
