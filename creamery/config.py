@@ -43,6 +43,14 @@ class LakeConfig:
     stream_format: str = "kafka"
     stream_options: dict = field(default_factory=dict)
     stream_path: str | None = None
+    # Limits of one micro-batch, so that a large backlog is taken in several
+    # bounded ones: Kafka offsets, and the tasks that read them; files.
+    max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
+    max_files_per_trigger: int | None = None
+    # Whether the live table leaves out messages it already holds (same
+    # reading_id and event time), as a replay from the earliest offset sends.
+    stream_dedup: bool = False
     # Where streaming checkpoints go; defaults to <spark.checkpoint.dir>/streams.
     checkpoint_root: str | None = None
     # Optional storage root for the three databases (CREATE DATABASE ... LOCATION).
@@ -53,6 +61,8 @@ class LakeConfig:
     # Buckets of the bucketed silver batch fact; None = spark.sql.shuffle.partitions.
     # Size it to the fact (e.g. fact bytes / 256 MB), not to the whole input.
     bucket_count: int | None = None
+    # Fields of the sensor snapshot that may be NULL in every record.
+    snapshot_nullable: tuple = ()
     # Extra CSV reader options per bronze input. Quotes are escaped by doubling
     # (RFC 4180, as spreadsheet and pandas writers do); free-text notes may
     # span lines, which makes those files unsplittable, so it is per table.
@@ -62,12 +72,20 @@ class LakeConfig:
             "historical_quality_audit_logs": {"escape": '"', "multiLine": "true"},
         }
     )
+    # Record separator (one character) of CSV inputs whose writer uses another
+    # one than the line break, by input. Their quoted notes may span lines, and
+    # still such a file is split over tasks, as no ``multiLine`` is needed.
+    csv_record_separators: dict = field(default_factory=dict)
 
     def database(self, layer: str) -> str:
         return {"bronze": self.bronze_db, "silver": self.silver_db, "gold": self.gold_db}[layer]
 
     def csv_reader_options(self, name: str) -> dict:
-        return dict(self.csv_options.get(name, self.csv_options.get("*", {})))
+        options = dict(self.csv_options.get(name, self.csv_options.get("*", {})))
+        if name in self.csv_record_separators:
+            options.pop("multiLine", None)
+            options["lineSep"] = self.csv_record_separators[name]
+        return options
 
     def table(self, layer: str, name: str) -> str:
         db = {"bronze": self.bronze_db, "silver": self.silver_db, "gold": self.gold_db}[layer]

@@ -8,7 +8,7 @@ Two engine differences are bridged explicitly:
 * ``round(x, 2)`` on a double: Spark rounds the shortest decimal text of the
   double HALF_UP; DuckDB rounds the binary value. :func:`sround` rounds the
   decimal text in DuckDB too.
-* averages are compared at six decimals.
+* averages are compared at six decimals, rounded to nine before (sums differ in their last digits).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def to_int(expr: str) -> str:
 
 
 def rounded_avg(expr: str) -> str:
-    return f"round(avg({expr}), 6)"
+    return sround(sround(f"avg({expr})", 9), 6)
 
 
 def safe_pct(n: str, d: str) -> str:
@@ -44,63 +44,87 @@ def dedup(source: str, key: str, order: list[str], columns: list[str], order_col
 
 # ---- bronze: the adapter mapping ------------------------------------------
 
+def forms(table: str, again: str, keyless: str) -> str:
+    """``table`` with each row in its forms: 0 as it is, 1 again in another form, 2 again without its key."""
+    return f"(SELECT t.*, f.form FROM {table} t, (VALUES (0), (1), (2)) f(form) WHERE form = 0 OR (form = 1 AND {again}) OR (form = 2 AND {keyless}))"
+
+
+def key(expr: str) -> str:
+    return f"CASE WHEN form <> 2 THEN CAST({expr} AS VARCHAR) END"
+
+
+def again(other: str, same: str) -> str:
+    return f"CASE WHEN form = 1 THEN {other} ELSE {same} END"
+
+
+def _events(reading_id: str, source: str) -> str:
+    """Sensor fields of events, already typed as silver would type them."""
+    return f"""
+        SELECT {reading_id} AS reading_id, CAST(user_id AS VARCHAR) AS line_id,
+               ts AS event_timestamp, value AS temperature_c, value / 100 AS pressure_bar,
+               value / 10 + 500 AS fill_volume_ml,
+               TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS vibration_mm_s,
+               event_type AS machine_status, CAST(event_type = 'error' AS INTEGER) AS anomaly_flag
+        FROM {source}"""
+
+
 BRONZE = {
-    "b_plants": """
-        SELECT CAST(n.n_nationkey AS VARCHAR) AS plant_id, n.n_name AS plant_name, r.r_name AS country,
+    "b_plants": f"""
+        SELECT {key('n.n_nationkey')} AS plant_id, n.n_name AS plant_name, r.r_name AS country,
                CAST((n.n_nationkey + 1) * 50000 AS VARCHAR) || '.0' AS capacity_liters_day,
-               CAST(n.n_nationkey + 1950 AS VARCHAR) AS opened_year
-        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
-    "b_lines": """
-        SELECT CAST(s_suppkey AS VARCHAR) AS line_id, CAST(s_nationkey AS VARCHAR) AS plant_id,
+               {again("'unknown'", 'CAST(n.n_nationkey + 1950 AS VARCHAR)')} AS opened_year
+        FROM {forms('nation', 'n_nationkey % 5 = 0', 'n_nationkey % 10 = 3')} n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "b_lines": f"""
+        SELECT {key('s_suppkey')} AS line_id, CAST(s_nationkey AS VARCHAR) AS plant_id,
                'T' || CAST(s_suppkey % 4 AS VARCHAR) AS line_type, s_name AS line_name,
-               CAST(s_suppkey % 20 + 2000 AS VARCHAR) AS install_year
-        FROM supplier""",
-    "b_skus": """
-        SELECT CAST(p_partkey AS VARCHAR) AS sku_id, p_name AS sku_name, p_type AS product_family,
-               CAST(p_size * 10 AS VARCHAR) AS unit_weight_g, CAST(p_size AS VARCHAR) AS shelf_life_days
-        FROM part""",
-    "b_customers": """
-        SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name,
-               CAST(c_nationkey AS VARCHAR) AS country, c_mktsegment AS account_tier,
+               {again("'1999'", 'CAST(s_suppkey % 20 + 2000 AS VARCHAR)')} AS install_year
+        FROM {forms('supplier', 's_suppkey % 7 = 0', 's_suppkey % 11 = 0')}""",
+    "b_skus": f"""
+        SELECT {key('p_partkey')} AS sku_id, p_name AS sku_name, p_type AS product_family,
+               CAST(p_size * 10 AS VARCHAR) AS unit_weight_g, {again("'0'", 'CAST(p_size AS VARCHAR)')} AS shelf_life_days
+        FROM {forms('part', 'p_partkey % 9 = 0', 'p_partkey % 101 = 0')}""",
+    "b_customers": f"""
+        SELECT {key('c_custkey')} AS customer_id, c_name AS customer_name,
+               CAST(c_nationkey AS VARCHAR) AS country, {again("'TRIAL'", 'c_mktsegment')} AS account_tier,
                CAST(DATE '2020-01-01' + CAST(c_custkey % 1000 AS INTEGER) AS VARCHAR) AS contract_start
-        FROM customer""",
+        FROM {forms('customer', 'c_custkey % 8 = 0', 'c_custkey % 97 = 0')}""",
     "b_batches": """
-        SELECT CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS batch_id,
+        SELECT CASE WHEN NOT (l_orderkey % 20 = 0 AND l_linenumber = 7) THEN CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) END AS batch_id,
                CAST(l_partkey % 25 AS VARCHAR) AS plant_id,
                CAST(l_suppkey AS VARCHAR) AS line_id,
                CAST(l_partkey AS VARCHAR) AS sku_id,
                strftime(l_shipdate, '%Y-%m-%d') AS production_start,
-               CAST(CAST(floor(l_quantity * 100) AS BIGINT) AS VARCHAR) AS planned_qty_units,
-               CAST(CAST(floor(round(l_quantity * 100 * (1 - l_discount), 0)) AS BIGINT) AS VARCHAR) AS actual_qty_units,
+               CAST(CAST(floor(q * 100) AS BIGINT) AS VARCHAR) AS planned_qty_units,
+               CAST(CAST(floor(round(q * 100 * (1 - l_discount), 0)) AS BIGINT) AS VARCHAR) AS actual_qty_units,
                CAST(CAST(floor(round(l_quantity * l_tax * 10, 0)) AS BIGINT) AS VARCHAR) AS defect_units,
                CASE l_returnflag WHEN 'R' THEN 'Scrapped' WHEN 'A' THEN 'Reworked' ELSE 'Completed' END AS batch_status
-        FROM lineitem""",
-    "b_shipments": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS shipment_id,
+        FROM (SELECT *, CASE WHEN l_suppkey % 20 = 0 AND l_partkey % 25 = 3 THEN 0.0 ELSE l_quantity END AS q FROM lineitem)""",
+    "b_shipments": f"""
+        SELECT {key('o_orderkey')} AS shipment_id,
                CAST(o_orderkey * 8 + 1 AS VARCHAR) AS batch_id,
                CAST(o_custkey AS VARCHAR) AS customer_id,
-               strftime(o_orderdate, '%Y-%m-%d') AS ship_date,
+               {again("'1990-01-01'", "strftime(o_orderdate, '%Y-%m-%d')")} AS ship_date,
                CAST(CAST(floor(o_totalprice / 100) AS BIGINT) AS VARCHAR) AS qty_units,
                CASE WHEN o_orderstatus = 'F' THEN 'Delivered'
                     WHEN o_orderstatus = 'O' THEN 'In Transit'
                     WHEN o_orderpriority = '1-URGENT' THEN 'Returned'
                     ELSE 'Delayed' END AS shipment_status
-        FROM orders""",
-    "b_audits": """
-        SELECT CAST(d.doc_id AS VARCHAR) AS audit_id,
+        FROM {forms('orders', 'o_orderkey % 6 = 0', 'o_orderkey % 50 = 0')}""",
+    "b_audits": f"""
+        SELECT {key('d.doc_id')} AS audit_id,
                CAST(d.doc_id * 8 + 1 + d.doc_id % 7 AS VARCHAR) AS batch_id,
-               CAST(DATE '2023-06-01' + CAST(d.doc_id % 700 AS INTEGER) AS VARCHAR) AS audit_date,
-               CASE WHEN l.toxic = 1 THEN 'Fail' WHEN l.quality = 1 THEN 'Pass' ELSE 'Watch' END AS audit_outcome,
+               {again("'2020-02-02'", "CAST(DATE '2023-06-01' + CAST(d.doc_id % 700 AS INTEGER) AS VARCHAR)")} AS audit_date,
+               {again("'Watch'", "CASE WHEN l.toxic = 1 THEN 'Fail' WHEN l.quality = 1 THEN 'Pass' ELSE 'Watch' END")} AS audit_outcome,
                d.text AS audit_notes
-        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
-    # Sensor fields of every event, already typed as silver would type them.
-    "b_events": """
-        SELECT CAST(event_id AS VARCHAR) AS reading_id, CAST(user_id AS VARCHAR) AS line_id,
-               ts AS event_timestamp, value AS temperature_c, value / 100 AS pressure_bar,
-               value / 10 + 500 AS fill_volume_ml,
-               TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS vibration_mm_s,
-               event_type AS machine_status, CAST(event_type = 'error' AS INTEGER) AS anomaly_flag
-        FROM events""",
+        FROM {forms('documents', 'doc_id % 12 = 0', 'doc_id % 40 = 0')} d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "b_snapshot": _events(
+        "CAST(event_id AS VARCHAR)",
+        f"(SELECT * REPLACE ({again('value + 1', 'value')} AS value) FROM {forms('events', 'event_id % 15 = 0', 'false')})",
+    ),
+    "b_messages": _events(
+        "CASE WHEN event_id % 50 = 3 THEN NULL WHEN event_id % 10 = 4 THEN 'L' || CAST(event_id AS VARCHAR) ELSE CAST(event_id AS VARCHAR) END",
+        "events",
+    ),
 }
 
 SENSOR_FIELDS = (
@@ -150,10 +174,9 @@ SILVER = {
         ["audit_id", "batch_id", "audit_date", "audit_outcome", "audit_notes"], ["audit_date"],
     ),
     "s_sensors": dedup(
-        f"""(SELECT {SENSOR_FIELDS}, 'batch_file' AS data_source FROM b_events
-                 
+        f"""(SELECT {SENSOR_FIELDS}, 'batch_file' AS data_source FROM b_snapshot
              UNION ALL
-             SELECT {SENSOR_FIELDS}, 'eventhub_stream' AS data_source FROM b_events
+             SELECT {SENSOR_FIELDS}, 'eventhub_stream' AS data_source FROM b_messages
                  WHERE temperature_c BETWEEN -20 AND 150)""",
         "reading_id",
         ["CASE WHEN data_source = 'batch_file' THEN 0 ELSE 1 END ASC", "event_timestamp DESC NULLS LAST"],
@@ -165,7 +188,7 @@ SILVER = {
 _DEPENDS = {
     "s_plants": ["b_plants"], "s_lines": ["b_lines"], "s_skus": ["b_skus"], "s_customers": ["b_customers"],
     "s_batches": ["b_batches"], "s_shipments": ["b_shipments"], "s_audits": ["b_audits"],
-    "s_sensors": ["b_events"],
+    "s_sensors": ["b_snapshot", "b_messages"],
 }
 
 
@@ -265,6 +288,13 @@ def _report(table: str, source: str, rules) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _distinct_messages(source: str) -> str:
+    """Rows of ``source``, numbered within each reading and event time in the order of the other columns."""
+    rest = [c.strip() for c in SENSOR_FIELDS.split(",") if c.strip() not in ("reading_id", "event_timestamp")]
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in rest)
+    return f"SELECT *, row_number() OVER (PARTITION BY reading_id, event_timestamp ORDER BY {order}) AS n FROM ({source})"
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["silver_dim_plants"] = with_ctes(["s_plants"], "SELECT * FROM s_plants")
@@ -282,8 +312,8 @@ def oracle_sql() -> dict[str, str]:
 
     from creamery.operators.quality import BRONZE_RULES
 
-    snapshot = f"SELECT {SENSOR_FIELDS} FROM b_events "
-    valid_stream = f"SELECT {SENSOR_FIELDS} FROM b_events WHERE temperature_c BETWEEN -20 AND 150"
+    snapshot = f"SELECT {SENSOR_FIELDS} FROM b_snapshot"
+    valid_stream = f"SELECT {SENSOR_FIELDS} FROM b_messages WHERE temperature_c BETWEEN -20 AND 150"
     q["audit_pending_anti_join"] = with_ctes(["s_audits"], f"SELECT * FROM {PENDING}")
     q["d_audit_sentiment"] = with_ctes(["s_audits"], _scored(PENDING))
     q["audit_prompt"] = with_ctes(
@@ -293,18 +323,18 @@ def oracle_sql() -> dict[str, str]:
     )
     q["sentiment_incremental_run"] = with_ctes(["s_audits"], _scored("s_audits"))
     q["expectations_report"] = with_ctes(
-        ["b_plants", "b_batches", "b_events"],
+        ["b_plants", "b_batches", "b_messages"],
         " UNION ALL ".join([
             _report("dim_plants", "b_plants", BRONZE_RULES["dim_plants"]),
             _report("historical_production_batches", "b_batches", BRONZE_RULES["historical_production_batches"]),
-            _report("sensor_readings_stream", "b_events", BRONZE_RULES["sensor_readings_stream"]),
+            _report("sensor_readings_stream", "b_messages", BRONZE_RULES["sensor_readings_stream"]),
         ]),
     )
-    q["stream_parse"] = with_ctes(["b_events"], f"SELECT {SENSOR_FIELDS} FROM b_events")
-    q["stream_bronze_valid"] = with_ctes(["b_events"], valid_stream)
-    q["stream_bronze_run"] = with_ctes(["b_events"], valid_stream)
+    q["stream_parse"] = with_ctes(["b_messages"], f"SELECT {SENSOR_FIELDS} FROM b_messages")
+    q["stream_bronze_valid"] = with_ctes(["b_messages"], valid_stream)
+    q["stream_bronze_run"] = with_ctes(["b_messages"], valid_stream)
     q["sensor_union_by_name"] = with_ctes(
-        ["b_events"],
+        ["b_snapshot", "b_messages"],
         f"SELECT *, 'batch_file' AS data_source FROM ({snapshot}) "
         f"UNION ALL SELECT *, 'eventhub_stream' AS data_source FROM ({valid_stream})",
     )
@@ -326,12 +356,39 @@ def oracle_sql() -> dict[str, str]:
     )
     q["csv_roundtrip_scan"] = with_ctes(["b_shipments"], "SELECT * FROM b_shipments")
     q["json_snapshot_scan"] = with_ctes(
-        ["b_events"],
+        ["b_snapshot"],
         f"""SELECT reading_id, line_id, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS event_timestamp,
                    temperature_c, pressure_bar, fill_volume_ml, vibration_mm_s, machine_status,
                    CAST(anomaly_flag AS BIGINT) AS anomaly_flag
-            FROM b_events """,
+            FROM b_snapshot""",
+    )
+    q["audit_csv_scan"] = with_ctes(["b_audits"], "SELECT * FROM b_audits")
+    q["stream_multi_batch_run"] = with_ctes(["b_messages"], f"SELECT *, 4 AS micro_batches FROM ({valid_stream})")
+    q["stream_replay_run"] = with_ctes(["b_messages"], f"SELECT {SENSOR_FIELDS} FROM ({_distinct_messages(valid_stream)}) WHERE n = 1")
+    q["stream_expectations_log"] = with_ctes(
+        ["b_messages"],
+        "SELECT 104 AS micro_batches, * FROM (" + _report("sensor_readings_stream", "b_messages", BRONZE_RULES["sensor_readings_stream"]) + ")",
+    )
+    q["fact_sensor_incremental"] = with_ctes(["s_sensors"], "SELECT * FROM s_sensors")
+    q["sensor_health_merged"] = q["d_sensor_health_summary"]
+    q["sentiment_concurrent_runs"] = q["sentiment_incremental_run"]
+    q["sentiment_model_run"] = with_ctes(
+        ["s_audits"],
+        """SELECT audit_id, audit_outcome, CASE WHEN length(audit_notes) % 7 <> 0 THEN
+                    CASE length(audit_notes) % 3 WHEN 0 THEN 'Negative' WHEN 1 THEN 'Neutral' ELSE 'Positive' END END AS sentiment,
+                  CASE WHEN length(audit_notes) % 7 = 0 THEN 'ValueError: no answer' END AS error
+           FROM s_audits""",
     )
+    for name, inner in {
+        "silver_dim_plants": "s_plants", "silver_dim_lines": "s_lines", "silver_dim_sku_catalog": "s_skus",
+        "silver_dim_retail_customers": "s_customers", "fact_production_batches": "s_batches", "fact_shipments": "s_shipments",
+        "fact_quality_audits": "s_audits", "fact_sensor_readings": "s_sensors",
+    }.items():
+        q[f"file_run_{name}"] = with_ctes([inner], f"SELECT * FROM {inner}")
+    for name in ("d_production_summary", "d_retailer_360", "d_quality_audit_summary"):
+        q[f"file_run_{name}"] = q[name]
+    q["file_run_d_audit_sentiment"] = q["sentiment_incremental_run"]
+    q["file_run_expectations_log"] = q["expectations_report"]
     q["medallion_files_to_gold"] = q["d_sensor_health_summary"]
 
     q["cq_plant_ranking"] = with_ctes(

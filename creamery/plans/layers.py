@@ -8,10 +8,13 @@ failed run can be resumed from the last stored layer.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from creamery.config import LakeConfig
 from creamery.operators.quality import BRONZE_RULES, apply_expectations
@@ -19,8 +22,8 @@ from creamery.plans import consumer, gold, silver
 from creamery.plans.sentiment import run_sentiment
 from creamery.schemas import SENSOR_SCHEMA
 from creamery.sinks.tables import append_rows, create_table_if_missing, save_table
-from creamery.sources.files import CSV_SCANS, sensor_readings
-from creamery.streaming.sensor import run_sensor_stream
+from creamery.sources.files import CSV_SCANS, sensor_snapshot
+from creamery.streaming.sensor import MicroBatch, missing_batches, run_sensor_stream
 
 SILVER_PLAN: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "silver_dim_plants": (silver.silver_dim_plants, ["dim_plants"]),
@@ -92,6 +95,12 @@ def create_databases(spark: SparkSession, cfg: LakeConfig) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
 
 
+def drop_databases(spark: SparkSession, cfg: LakeConfig) -> None:
+    """Forget the three databases. Refreshed tables are external: their files stay until their folder is cleaned."""
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE IF EXISTS {cfg.database(layer)} CASCADE")
+
+
 EXPECTATIONS_LOG = "expectations_log"
 EXPECTATIONS_LOG_DDL = (
     "run_ts TIMESTAMP, table_name STRING, rule_name STRING, action STRING, "
@@ -105,8 +114,6 @@ def log_expectations(spark: SparkSession, cfg: LakeConfig, counts: dict[str, dic
     One row per rule per run: the counts were already computed by the
     writing jobs (``observe``), so this only writes a handful of rows.
     """
-    import datetime as dt
-
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = []
     for table, metrics in counts.items():
@@ -127,19 +134,21 @@ def run_bronze(
     """Scan raw inputs (or use ``inputs``), apply expectations, store bronze tables.
 
     Returns the expectation observations; ``obs.get`` holds the counts once
-    the table is written (no extra pass over the data).
+    the table is written (no extra pass over the data). A snapshot in which a
+    field has no value at all fails the run, and its old table stays.
     """
     create_databases(spark, cfg)
+    checks: dict[str, Callable[[], None]] = {}
     if inputs is None:
         inputs = {name: scan(spark, cfg) for name, scan in CSV_SCANS.items()}
-        inputs["sensor_readings"] = sensor_readings(spark, cfg)
+        inputs["sensor_readings"], checks["sensor_readings"] = sensor_snapshot(spark, cfg, cfg.snapshot_nullable)
     observations: dict[str, Observation] = {}
     tasks = []
     for name, df in inputs.items():
         rules = BRONZE_RULES.get(name, ())
         obs = Observation(f"{name}_dq") if rules else None
         out = apply_expectations(df, rules, obs)
-        tasks.append(lambda out=out, name=name: save_table(out, cfg.table("bronze", name), cfg.table_format))
+        tasks.append(lambda out=out, name=name: save_table(out, cfg.table("bronze", name), cfg.table_format, check=checks.get(name)))
         if obs is not None:
             observations[name] = obs
     run_concurrently(tasks, cfg.concurrent_writes)
@@ -149,18 +158,54 @@ def run_bronze(
     return observations
 
 
+STREAM_LOG = "stream_expectations_log"
+STREAM_LOG_DDL = (
+    "run_id STRING, batch_id BIGINT, batch_ts TIMESTAMP, table_name STRING, rule_name STRING, action STRING, "
+    "total_records BIGINT, failed_records BIGINT, passed_records BIGINT"
+)
+
+
+def log_micro_batches(spark: SparkSession, cfg: LakeConfig, run_id: str, history: list[MicroBatch]) -> list[int]:
+    """Append one row per rule and micro-batch to ``bronze.stream_expectations_log``.
+
+    Returns the numbers of micro-batches that no report came for, in this run
+    or between it and the last one logged.
+    """
+    target = cfg.table("bronze", STREAM_LOG)
+    create_table_if_missing(spark, target, STREAM_LOG_DDL, cfg.table_format)
+    last = spark.table(target).where(F.col("table_name") == STREAM_TABLE).orderBy(F.desc("batch_ts"), F.desc("batch_id")).select("batch_id").first()
+    rows = []
+    for batch in history:
+        when = dt.datetime.fromisoformat(batch.timestamp.replace("Z", "+00:00")).astimezone(dt.timezone.utc).replace(tzinfo=None)
+        for rule in BRONZE_RULES[STREAM_TABLE]:
+            total, failed = int(batch.counts["records"]), int(batch.counts[rule.name])
+            rows.append((run_id, batch.batch_id, when, STREAM_TABLE, rule.name, rule.action, total, failed, total - failed))
+    if rows:
+        append_rows(spark.createDataFrame(rows, STREAM_LOG_DDL), target)
+    return missing_batches(history, last["batch_id"] if last else None)
+
+
 def run_stream(spark: SparkSession, cfg: LakeConfig) -> dict[str, int]:
-    """Append the messages that are there to the live table; log its rules over all micro-batches.
+    """Append the messages that are there to the live table; log its rules.
 
-    Returns the summed counts (rules, records, payload health; all zero
-    without new messages). They are logged also when a micro-batch fails.
+    ``bronze.expectations_log`` gets the sums of the run,
+    ``bronze.stream_expectations_log`` the counts of each micro-batch. Returns
+    the sums (rules, records, payload health; all zero without new messages).
+    They are logged also when a micro-batch fails. A micro-batch whose report
+    never came makes the run fail after its data and the other counts are stored.
     """
     create_databases(spark, cfg)
     counts = {"records": 0, **{rule.name: 0 for rule in BRONZE_RULES[STREAM_TABLE]}}
+    history: list[MicroBatch] = []
+    if cfg.stream_dedup:
+        create_table_if_missing(spark, cfg.table("bronze", STREAM_TABLE), STREAM_DDL, cfg.table_format)
     try:
-        run_sensor_stream(spark, cfg, cfg.table("bronze", STREAM_TABLE), counts=counts)
+        run_sensor_stream(spark, cfg, cfg.table("bronze", STREAM_TABLE), counts=counts, history=history)
     finally:
         log_expectations(spark, cfg, {STREAM_TABLE: counts})
+        missing = log_micro_batches(spark, cfg, uuid.uuid4().hex, history)
+    if missing:
+        raise RuntimeError(f"no rule counts of micro-batches {missing[:10]} ({len(missing)} in all) of {STREAM_TABLE}")
     return counts
 
 

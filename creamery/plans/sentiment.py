@@ -1,23 +1,29 @@
 """Incremental audit-note scoring: each audit is scored once.
 
 Plan: target keys --(null-safe left anti join)--> new audits --> scorer -->
-append. The anti join runs *before* the scorer, so the scorer (possibly an
-expensive model) sees only new rows, and only the key column of the target is
-read. Append after anti join is safe for one writer at a time; two concurrent
-runs could both see an audit as new.
+staged rows of this run --> commit. The anti join runs *before* the scorer, so
+the scorer (possibly an expensive model) sees only new rows, and only the key
+column of the target is read. The commit is short: under the target's lock the
+staged rows whose audit is still not in the target are appended. So of two
+runs at the same time the later commit leaves out what the earlier one
+stored, and a run that is tried again under its ``run_id`` neither asks the
+model again for what it staged nor stores an audit twice.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from creamery.config import LakeConfig
 from creamery.functions.sentiment import with_sentiment
+from creamery.operators.dedup import dedup_by_key
 from creamery.operators.joins import anti_join_null_safe
-from creamery.schemas import AUDIT_SENTIMENT_COLS, AUDIT_SENTIMENT_DDL
-from creamery.sinks.tables import append_rows, create_table_if_missing
+from creamery.schemas import AUDIT_SENTIMENT_COLS, AUDIT_SENTIMENT_DDL, SENTIMENT_ERRORS_DDL
+from creamery.sinks.tables import append_rows, create_table_if_missing, delete_path, path_exists, path_lock, table_location
 
 AUDIT_COLS = ["audit_id", "batch_id", "audit_outcome", "audit_notes"]
 
@@ -31,6 +37,13 @@ def score_audits(audits: DataFrame, scorer: Callable[[Column], Column] | None =
     return with_sentiment(audits.select(*AUDIT_COLS), "audit_notes", scorer).select(*AUDIT_SENTIMENT_COLS)
 
 
+def _staged(spark: SparkSession, rows: Callable[[], DataFrame], place: str) -> DataFrame:
+    """The scored rows of one run, written once: a complete earlier attempt of the same run is taken as it is."""
+    if not path_exists(spark, f"{place}/_SUCCESS"):
+        rows().write.mode("overwrite").parquet(place)
+    return spark.read.parquet(place)
+
+
 def run_sentiment(
     spark: SparkSession,
     cfg: LakeConfig,
@@ -38,14 +51,38 @@ def run_sentiment(
     audits: DataFrame | None = None,
     target: str | None = None,
     location: str | None = None,
-) -> None:
-    """Create the target if missing, then append scores for audits not yet in it.
+    run_id: str | None = None,
+) -> str:
+    """Create the target if missing, then append scores for audits not yet in it; returns the run's id.
 
-    ``audits`` defaults to the silver audit fact.
+    ``audits`` defaults to the silver audit fact. A run that failed can be
+    repeated with its ``run_id``. Rows that the scorer reports an error for
+    stay pending: they go to ``<target>_errors`` (run, audit, error) and are
+    scored by the next run. An audit_id (NULL included) is stored once, also
+    when ``audits`` holds it more than once.
     """
     target = target or cfg.table("gold", "d_audit_sentiment")
     if audits is None:
         audits = spark.table(cfg.table("silver", "fact_quality_audits"))
+    run_id = run_id or uuid.uuid4().hex
     create_table_if_missing(spark, target, AUDIT_SENTIMENT_DDL, cfg.table_format, location)
-    new_rows = score_audits(pending_audits(audits, spark.table(target)), scorer)
-    append_rows(new_rows, target)
+    home = table_location(spark, target)
+
+    def rows() -> DataFrame:
+        fresh = pending_audits(audits, spark.table(target))
+        return with_sentiment(fresh, "audit_notes", scorer).select(*AUDIT_SENTIMENT_COLS, "scoring_error")
+
+    place = f"{home}__runs/{run_id}"
+    staged = _staged(spark, rows, place)
+    failed = staged.where(F.col("scoring_error").isNotNull()).select(F.lit(run_id).alias("run_id"), "audit_id", F.col("scoring_error").alias("error"))
+    if not failed.isEmpty():
+        create_table_if_missing(spark, f"{target}_errors", SENTIMENT_ERRORS_DDL, cfg.table_format, f"{location}__errors" if location else None)
+    with path_lock(spark, f"{home}__commit.lock", run_id):
+        spark.catalog.refreshTable(target)  # another session may have appended
+        done = staged.where(F.col("scoring_error").isNull()).select(*AUDIT_SENTIMENT_COLS)
+        append_rows(anti_join_null_safe(dedup_by_key(done, ["audit_id"]), spark.table(target), "audit_id"), target)
+        if not failed.isEmpty():
+            logged = spark.table(f"{target}_errors").where(F.col("run_id") == run_id)
+            append_rows(anti_join_null_safe(failed, logged, "audit_id"), f"{target}_errors")
+    delete_path(spark, place)
+    return run_id

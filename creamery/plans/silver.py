@@ -74,18 +74,13 @@ def fact_quality_audits(audits: DataFrame) -> DataFrame:
     )
 
 
-def fact_sensor_readings(snapshot: DataFrame, stream: DataFrame) -> DataFrame:
-    """Stored snapshot and live readings in one table, one row per reading_id.
+def surviving_readings(readings: DataFrame) -> DataFrame:
+    """One row per reading_id: the stored (``batch_file``) copy before a live one, then the latest event_timestamp.
 
-    When both sources carry a reading, the stored (``batch_file``) copy wins;
-    within a source the latest event_timestamp wins.
+    A total order decides, so survivors of parts can be merged the same way.
     """
-    unioned = union_sources(
-        harmonise_sensor(snapshot, SOURCE_BATCH),
-        harmonise_sensor(stream, SOURCE_STREAM),
-    )
     return dedup_by_key(
-        unioned,
+        readings,
         ["reading_id"],
         order=[
             F.when(F.col("data_source") == SOURCE_BATCH, 0).otherwise(1).asc(),
@@ -93,3 +88,13 @@ def fact_sensor_readings(snapshot: DataFrame, stream: DataFrame) -> DataFrame:
         ],
         order_columns=["data_source", "event_timestamp"],
     )
+
+
+def fact_sensor_readings(snapshot: DataFrame, stream: DataFrame) -> DataFrame:
+    """Stored snapshot and live readings in one table, one row per reading_id (see ``surviving_readings``)."""
+    return surviving_readings(
+        union_sources(
+            harmonise_sensor(snapshot, SOURCE_BATCH),
+            harmonise_sensor(stream, SOURCE_STREAM),
+        )
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 # The payload of one live sensor reading (all fields nullable).
 SENSOR_SCHEMA = StructType(
@@ -19,6 +19,11 @@ SENSOR_SCHEMA = StructType(
     ]
 )
 
+# The stored snapshot: the same fields as JSON inference types them.
+SNAPSHOT_SCHEMA = StructType(
+    [StructField(f.name, LongType() if f.name == "anomaly_flag" else f.dataType) for f in SENSOR_SCHEMA.fields]
+)
+
 SENSOR_FIELDS = [f.name for f in SENSOR_SCHEMA.fields]
 
 # Column order of fact_sensor_readings.
@@ -48,6 +53,9 @@ AUDIT_SENTIMENT_DDL = (
     "audit_id STRING, batch_id STRING, audit_outcome STRING, audit_notes STRING, "
     "llm_analysis STRING, sentiment STRING, root_cause STRING"
 )
+# Audits a scorer reported an error for, by run.
+SENTIMENT_ERRORS_DDL = "run_id STRING, audit_id STRING, error STRING"
+
 AUDIT_SENTIMENT_COLS = [
     "audit_id", "batch_id", "audit_outcome", "audit_notes", "llm_analysis", "sentiment", "root_cause",
 ]

@@ -1,10 +1,9 @@
-"""Scans: raw files (CSV / JSON), catalog tables, and the shared test tables."""
+"""Scans: raw files (CSV / JSON), and the shared test tables."""
 
-from creamery.sources.catalog import read_table
 from creamery.sources.driver_tables import DriverTables
 from creamery.sources.files import CSV_SCANS, read_csv_table, read_json_table, sensor_readings
 
 __all__ = [
-    "read_table", "DriverTables", "CSV_SCANS",
+    "DriverTables", "CSV_SCANS",
     "read_csv_table", "read_json_table", "sensor_readings",
 ]

@@ -9,11 +9,15 @@ front; the data itself is read once, by the job that uses it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from creamery.config import RAW_PATHS, LakeConfig, raw_path
-from creamery.schemas import REQUIRED_COLUMNS
+from creamery.schemas import REQUIRED_COLUMNS, SNAPSHOT_SCHEMA
 
 
 def read_csv_table(
@@ -34,10 +38,9 @@ def read_json_table(
 ) -> DataFrame:
     """JSON lines; inferred types unless ``schema`` is given.
 
-    Inference costs one extra pass over the files; at scale pass
-    an explicit schema. With an
-    explicit schema a renamed field turns into NULLs silently, which is why
-    inference (a rename then fails the select) is the default.
+    Inference costs one extra pass over the files, and a renamed field fails
+    the select. With a schema the files are read once, but a renamed field
+    turns into NULLs; ``sensor_snapshot`` notices that.
     """
     reader = spark.read
     if schema is not None:
@@ -74,6 +77,32 @@ def sensor_readings(
     return read_json_table(spark, raw_path(cfg, RAW_PATHS["sensor_readings"]), "sensor_readings", schema, options)
 
 
+class MissingFieldError(ValueError):
+    """Fields of a declared schema that no record of the input holds."""
+
+
+def sensor_snapshot(spark: SparkSession, cfg: LakeConfig, nullable: Sequence[str] = ()) -> tuple[DataFrame, Callable[[], None]]:
+    """The sensor snapshot in one pass: (rows, check), typed by declaration instead of inference.
+
+    The job that writes the rows counts the values of each field on the way
+    (``observe``). ``check``, called after it, raises ``MissingFieldError`` if
+    there are records but a field is NULL in all of them, as after a rename;
+    fields in ``nullable`` may be. Give it to ``save_table``, which then keeps
+    the old table.
+    """
+    rows = sensor_readings(spark, cfg, SNAPSHOT_SCHEMA)
+    seen = Observation(f"sensor_snapshot_{uuid.uuid4().hex[:8]}")
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("records"), *[F.count(c).alias(c) for c in rows.columns])
+
+    def check() -> None:
+        counts = seen.get
+        gone = [c for c in rows.columns if c not in nullable and counts["records"] and not counts[c]]
+        if gone:
+            raise MissingFieldError(f"sensor_readings: no record of {counts['records']} has {', '.join(gone)}")
+
+    return rows, check
+
+
 CSV_SCANS = {
     "dim_plants": dim_plants,
     "dim_lines": dim_lines,

@@ -1,0 +1,314 @@
+"""Bounded live intake, rule history, replay, atomic and incremental refresh, safe scoring."""
+
+import datetime as dt
+import os
+import time
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from creamery.config import LakeConfig
+from creamery.functions.sentiment import model_scorer
+from creamery.plans import gold, incremental, layers, silver
+from creamery.plans.sentiment import run_sentiment
+from creamery.sinks import tables
+from creamery.sources import files
+from creamery.streaming import sensor
+
+AUDITS = "audit_id string, batch_id string, audit_outcome string, audit_notes string"
+
+
+def _messages(spark, path, rows):
+    text = [(f'{{"reading_id":"{i}","line_id":"L1","event_timestamp":"{t}","temperature_c":{c},"anomaly_flag":0}}',) for i, t, c in rows]
+    spark.createDataFrame(text, "value string").coalesce(1).write.mode("append").text(path)
+
+
+def _live(tmp_dir, **options):
+    return LakeConfig(stream_format="text", stream_path=f"{tmp_dir}/in", checkpoint_root=f"{tmp_dir}/ckpt", db_root=f"{tmp_dir}/db", **options)
+
+
+# ---- live intake ---------------------------------------------------------------
+
+def test_rate_limits_reach_the_source():
+    kafka = LakeConfig(max_offsets_per_trigger=1000, min_partitions=64, max_files_per_trigger=3, stream_options={"subscribe": "s", "failOnDataLoss": "true"})
+    assert sensor.source_options(kafka) == {
+        "startingOffsets": "earliest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": "1000", "minPartitions": "64", "subscribe": "s"}
+    assert sensor.source_options(LakeConfig(stream_format="text", max_files_per_trigger=3, min_partitions=9)) == {"maxFilesPerTrigger": "3"}
+    assert sensor.source_options(LakeConfig(stream_format="text")) == {}
+
+
+def test_credentials_with_quotes_stay_inside_their_value():
+    jaas = sensor.kafka_sasl_options("h:1", "s", 'a"b', 'c\\";d')["kafka.sasl.jaas.config"]
+    assert 'username="a\\"b"' in jaas and 'password="c\\\\\\";d"' in jaas
+
+
+def test_backlog_is_taken_in_bounded_micro_batches(spark, tmp_dir):
+    cfg = _live(tmp_dir, max_files_per_trigger=2)
+    for n in range(7):
+        _messages(spark, cfg.stream_path, [(f"R{n}{i}", "2026-07-30T10:00:00", 20 if i else 999) for i in range(n + 1)])
+    history = []
+    sensor.run_sensor_stream(spark, cfg, f"{tmp_dir}/out", to_path=True, history=history)
+    assert [b.batch_id for b in history] == [0, 1, 2, 3]
+    assert sum(b.counts["records"] for b in history) == 28 and sum(b.counts["plausible_temperature"] for b in history) == 7
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 21
+
+
+def test_missing_micro_batches_are_noticed():
+    seen = lambda *ids: [sensor.MicroBatch(i, "", {}) for i in ids]
+    assert sensor.missing_batches([]) == [] and sensor.missing_batches(seen(0, 1, 2)) == []
+    assert sensor.missing_batches(seen(1, 3)) == [0, 2]
+    assert sensor.missing_batches(seen(7, 8), last_logged=6) == [] and sensor.missing_batches(seen(8, 9), last_logged=6) == [7]
+    assert sensor.missing_batches(seen(0, 1), last_logged=6) == []  # a new checkpoint
+
+
+def test_rule_history_is_kept_by_micro_batch_and_gaps_fail_the_run(spark, tmp_dir, monkeypatch):
+    cfg = _live(tmp_dir, max_files_per_trigger=1, bronze_db="rhb", silver_db="rhs", gold_db="rhg")
+    for n in range(3):
+        _messages(spark, cfg.stream_path, [(f"R{n}{i}", "2026-07-30T10:00:00", 20 if i else 999) for i in range(n + 2)])
+    layers.run_stream(spark, cfg)
+    log = lambda: spark.table("rhb.stream_expectations_log").where("rule_name = 'plausible_temperature'")
+    assert {r.batch_id: (r.failed_records, r.action) for r in log().collect()} == {0: (1, "drop"), 1: (1, "drop"), 2: (1, "drop")}
+    assert Counter(r.total_records for r in log().collect()) == Counter([2, 3, 4])
+    for n in range(3, 5):
+        _messages(spark, cfg.stream_path, [(f"R{n}", "2026-07-30T10:00:00", 20)])
+    real = sensor._Progress.onQueryProgress
+    monkeypatch.setattr(sensor._Progress, "onQueryProgress", lambda self, e: None if e.progress.batchId == 3 else real(self, e))
+    with pytest.raises(RuntimeError, match=r"micro-batches \[3\]"):
+        layers.run_stream(spark, cfg)
+    assert spark.table("rhb.sensor_readings_stream").count() == 8 and {r.batch_id for r in log().collect()} == {0, 1, 2, 4}
+    layers.drop_databases(spark, cfg)
+
+
+def test_replayed_messages_are_not_stored_twice(spark, tmp_dir):
+    cfg = _live(tmp_dir, stream_dedup=True, bronze_db="rpb", silver_db="rps", gold_db="rpg")
+    first = [("R1", "2026-07-30T10:00:00", 20), ("R2", "2026-07-31T10:00:00", 21), ("R2", "2026-07-31T10:00:00", 21), ("R3", "bad", 22)]
+    _messages(spark, cfg.stream_path, first)
+    assert layers.run_stream(spark, cfg)["records"] == 4
+    table = lambda: sorted((r.reading_id, r.temperature_c) for r in spark.table("rpb.sensor_readings_stream").collect())
+    assert table() == [("R1", 20), ("R2", 21), ("R3", 22)]
+    _messages(spark, cfg.stream_path, first)
+    assert layers.run_stream(spark, cfg)["records"] == 4 and len(table()) == 3
+    _messages(spark, cfg.stream_path, [*first, ("R4", "2026-07-30T12:00:00", 30), ("R1", "2026-08-01T10:00:00", 25)])
+    layers.run_stream(spark, cfg)
+    assert table() == [("R1", 20), ("R1", 25), ("R2", 21), ("R3", 22), ("R4", 30)]  # a new event time is a new message
+    layers.drop_databases(spark, cfg)
+
+
+# ---- files -----------------------------------------------------------------------
+
+def test_separated_csv_keeps_line_breaks_and_is_split(spark, tmp_dir):
+    notes = ["plain", "two\nlines", 'quoted "text", comma\nand\r\nmore\n', " outer spaces ", "", None, "\n", "a\tb", "\\ back", '"', "é x"]
+    rows = [(str(i), "b", "d", "Pass", notes[i % len(notes)]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "audit_id string, batch_id string, audit_date string, audit_outcome string, audit_notes string").coalesce(1)
+
+    class Tables:
+        def historical_quality_audit_logs(self):
+            return df
+
+    from creamery.sources.landing import write_csv_input
+
+    name, sep = "historical_quality_audit_logs", "\x1e"
+    path = write_csv_input(Tables(), name, tmp_dir, sep)
+    assert len([f for f in os.listdir(path.replace("file:", "")) if f.startswith("part-")]) == 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        back = files.historical_quality_audit_logs(spark, LakeConfig(base_path=tmp_dir, csv_record_separators={name: sep}))
+        assert back.rdd.getNumPartitions() > 3
+        assert sorted(map(tuple, back.collect()), key=lambda r: int(r[0])) == [(*r[:4], r[4] or None) for r in rows]  # an empty field is NULL
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def _snapshot(spark, tmp_dir, rename=False):
+    fields = ["reading_id", "line_id", "event_timestamp", "temperature_c", "pressure_bar", "fill_volume_ml", "vibration_mm_s", "machine_status", "anomaly_flag"]
+    df = spark.range(20).selectExpr(
+        "cast(id as string) reading_id", "'L1' line_id", "'2026-07-30T10:00:00' event_timestamp", "20.5 temperature_c", "1.0 pressure_bar",
+        "500.0 fill_volume_ml", "CASE WHEN id % 3 = 0 THEN 2.0 END vibration_mm_s", "'Running' machine_status", "1L anomaly_flag").select(*fields)
+    if rename:
+        df = df.withColumnRenamed("temperature_c", "temp")
+    df.write.mode("overwrite").json(f"{tmp_dir}/streaming")
+
+
+def test_one_pass_snapshot_fails_on_a_rename_and_keeps_the_old_table(spark, tmp_dir):
+    cfg = LakeConfig(base_path=tmp_dir)
+    _snapshot(spark, tmp_dir)
+    rows, check = files.sensor_snapshot(spark, cfg)
+    assert [r["anomaly_flag"] for r in rows.limit(1).collect()] == [1]
+    rows, check = files.sensor_snapshot(spark, cfg)
+    tables.save_table(rows, "default.snap_test", path=f"{tmp_dir}/t", check=check)
+    _snapshot(spark, tmp_dir, rename=True)
+    rows, check = files.sensor_snapshot(spark, cfg)
+    with pytest.raises(files.MissingFieldError, match="temperature_c"):
+        tables.save_table(rows, "default.snap_test", path=f"{tmp_dir}/t", check=check)
+    assert spark.table("default.snap_test").where("temperature_c = 20.5").count() == 20
+    rows, check = files.sensor_snapshot(spark, cfg, nullable=["temperature_c"])
+    tables.save_table(rows, "default.snap_test", path=f"{tmp_dir}/t", check=check)
+    assert spark.table("default.snap_test").where("temperature_c IS NULL").count() == 20
+    spark.sql("DROP TABLE default.snap_test")
+
+
+# ---- refresh ---------------------------------------------------------------------
+
+def test_refresh_that_fails_before_the_swap_leaves_the_old_rows(spark, tmp_dir, monkeypatch):
+    name, home = "default.atomic_test", f"{tmp_dir}/t"
+    save = lambda n, **k: tables.save_table(spark.range(n).withColumn("x", F.lit("a")), name, path=home, **k)
+    save(10)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_swap", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            save(20)
+    assert spark.table(name).count() == 10
+    with pytest.raises(RuntimeError, match="driver lost"):
+        save(30, check=lost)
+    assert spark.table(name).count() == 10
+    reader = spark.table(name)
+    save(20)
+    assert spark.table(name).count() == 20
+    assert reader.count() == 10  # the version before stays for readers that still run
+    save(30)
+    save(40)
+    assert spark.table(name).count() == 40 and len(os.listdir(home.replace("file:", ""))) == 2
+    assert not [t for t in spark.catalog.listTables("default") if t.name.startswith("atomic_test__")]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_refresh_with_other_columns_buckets_or_partitions(spark, tmp_dir):
+    name = "default.layout_test"
+    for k, (df, options) in enumerate([
+        (spark.range(5), {}), (spark.range(6).withColumn("y", F.lit(1)), {}), (spark.range(7).withColumn("y", F.lit(1)), {"bucket_by": ["id"], "buckets": 3}),
+        (spark.range(8).withColumn("y", F.col("id") % 2), {"partition_by": ["y"]}), (spark.range(9).withColumn("y", F.col("id") % 3), {"partition_by": ["y"]}),
+    ]):
+        tables.save_table(df, name, path=f"{tmp_dir}/t", **options)
+        assert spark.table(name).count() == 5 + k
+    assert spark.table(name).where("y = 2").count() == 3
+    spark.sql(f"DROP TABLE {name}")
+
+
+def _readings(spark, rows):
+    return spark.createDataFrame(
+        [(i, "L1" if n % 2 else "L2", t, float(c), 1.0, 500.0, None if n % 3 else 0.5, "Running", n % 2) for n, (i, t, c) in enumerate(rows)],
+        "reading_id string, line_id string, event_timestamp string, temperature_c double, pressure_bar double, fill_volume_ml double, "
+        "vibration_mm_s double, machine_status string, anomaly_flag bigint")
+
+
+def test_incremental_fact_and_mart_equal_the_rebuilt_ones(spark, tmp_dir):
+    day = lambda d, h=10: f"2026-07-{d:02d}T{h:02d}:00:00"
+    snap = [
+        [("A", day(1), 1), ("B", day(1), 2), ("C", day(2), 3), ("N", None, 4), (None, day(2), 5), ("Z", day(7), 9)],
+        [("D", day(3), 6), ("D", day(3), 5)],
+        [("B", day(4), 7), (None, day(5), 8), ("Q", "bad", 1)],
+    ]
+    live = [[("A", day(1), 20), ("S", day(2), 21), ("Z2", day(8), 1)], [("S", day(3, 12), 22)], [("Z2", day(4), 0), ("C", day(6), 1), ("Z2", day(9), 2)]]
+    fact, state, root = "default.inc_fact", "default.inc_state", tmp_dir
+    lines = spark.createDataFrame([("L1", "one", "F"), ("L2", "two", "P")], "line_id string, line_name string, line_type string")
+    written = []
+    for k in range(3):
+        before = {p: os.path.getmtime(f"{root}/fact/{p}") for p in os.listdir(f"{root}/fact")} if k else {}
+        time.sleep(1.1)
+        days = incremental.refresh_sensor_fact(spark, fact, _readings(spark, snap[k]), _readings(spark, live[k]), location=f"{root}/fact")
+        incremental.refresh_health_state(spark, state, fact, days, location=f"{root}/state")
+        written.append(days)
+        same = {p for p, t in before.items() if os.path.exists(f"{root}/fact/{p}") and os.path.getmtime(f"{root}/fact/{p}") == t and "=" in p}
+        assert {p for p in before if "=" in p} - same <= {f"event_date={d}" if d else "event_date=__HIVE_DEFAULT_PARTITION__" for d in days}
+        whole = silver.fact_sensor_readings(_readings(spark, sum(snap[: k + 1], [])).drop("line_id", "anomaly_flag", "vibration_mm_s").withColumns(
+            {"line_id": F.lit("L1"), "anomaly_flag": F.lit(1), "vibration_mm_s": F.lit(1.0)}), _readings(spark, sum(live[: k + 1], [])).drop(
+            "line_id", "anomaly_flag", "vibration_mm_s").withColumns({"line_id": F.lit("L1"), "anomaly_flag": F.lit(1), "vibration_mm_s": F.lit(1.0)}))
+        cols = ["reading_id", "event_timestamp", "temperature_c", "data_source"]
+        assert Counter(map(tuple, spark.table(fact).select(cols).collect())) == Counter(map(tuple, whole.select(cols).collect()))
+        merged = incremental.merged_sensor_health(spark.table(state), lines)
+        rebuilt = gold.d_sensor_health_summary(spark.table(fact), lines)
+        assert merged.columns == rebuilt.columns
+        flat = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+        assert flat(merged) == flat(rebuilt)
+    assert written[1] == [dt.date(2026, 7, 2), dt.date(2026, 7, 3)]  # S moved from one day to the other
+    again = incremental.refresh_sensor_fact(spark, fact, _readings(spark, snap[2]), _readings(spark, live[2]), location=f"{root}/fact")
+    assert dt.date(2026, 7, 3) not in again and spark.table(fact).count() == 10
+    for t in (fact, state):
+        spark.sql(f"DROP TABLE {t}")
+
+
+# ---- scoring ---------------------------------------------------------------------
+
+def test_lock_is_exclusive_and_a_lost_owner_is_replaced(spark, tmp_dir):
+    os.makedirs(tmp_dir, exist_ok=True)
+    path = f"{tmp_dir}/a.lock"
+    with tables.path_lock(spark, path, "one"):
+        with pytest.raises(TimeoutError):
+            with tables.path_lock(spark, path, "two", wait_s=0.3):
+                pass
+    open(path, "w").write("lost driver")
+    with pytest.raises(TimeoutError):
+        with tables.path_lock(spark, path, "two", wait_s=0.5):
+            pass
+    with tables.path_lock(spark, path, "two", wait_s=5, lease_s=0.1):
+        assert open(path).read() == "two"
+    assert not os.path.exists(path)
+
+
+def test_concurrent_runs_store_each_audit_once_and_retries_ask_once(spark, tmp_dir, monkeypatch):
+    from creamery.plans import sentiment
+
+    rows = [(str(i), "b", "Pass", f"note {i} nominal") for i in range(50)] + [(None, "b", "Pass", "no id"), (None, "b", "Fail", "no id either"), ("7", "b", "Pass", "again")]
+    audits, target = spark.createDataFrame(rows, AUDITS), "default.twice_test"
+    run = lambda run_id: run_sentiment(spark, LakeConfig(), audits=audits, target=target, location=f"{tmp_dir}/t", run_id=run_id)
+    run_sentiment(spark, LakeConfig(), audits=audits.limit(0), target=target, location=f"{tmp_dir}/t")
+    layers.run_concurrently([lambda k=k: run(f"r{k}") for k in range(3)], 3)
+    assert Counter(r.audit_id for r in spark.table(target).collect()) == Counter([*(str(i) for i in range(50)), None])
+    spark.sql(f"DROP TABLE {target}")
+
+    target = "default.retry_test"
+    with monkeypatch.context() as m:
+        m.setattr(sentiment, "append_rows", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError, match="driver lost"):
+            run_sentiment(spark, LakeConfig(), audits=audits, target=target, location=f"{tmp_dir}/u", run_id="x")
+    assert spark.table(target).count() == 0
+
+    def never(notes):
+        raise AssertionError("the staged answers are there already")
+
+    run_sentiment(spark, LakeConfig(), model_scorer(never), audits=audits, target=target, location=f"{tmp_dir}/u", run_id="x")
+    assert spark.table(target).count() == 51
+    spark.sql(f"DROP TABLE {target}")
+
+
+def test_failing_notes_stay_pending_with_their_error(spark, tmp_dir):
+    def answer(notes):
+        if any("bad" in x for x in notes):
+            raise ValueError("cannot read this")
+        return [("Positive", None)] * len(notes)
+
+    rows = [(str(i), "b", "Pass", None if i == 3 else "bad" if i % 10 == 0 else "good") for i in range(40)]
+    audits, target = spark.createDataFrame(rows, AUDITS), "default.fail_test"
+    run_sentiment(spark, LakeConfig(), model_scorer(answer, isolate=True), audits=audits, target=target, location=f"{tmp_dir}/t", run_id="one")
+    stored = {r.audit_id: r.sentiment for r in spark.table(target).collect()}
+    assert set(stored) == {str(i) for i in range(40) if i % 10} and stored["3"] is None and stored["4"] == "Positive"
+    errors = spark.table(f"{target}_errors")
+    assert {(r.run_id, r.audit_id, r.error) for r in errors.collect()} == {("one", str(i), "ValueError: cannot read this") for i in range(0, 40, 10)}
+    text = model_scorer(lambda notes: ["Negative, seal."] * len(notes), text=True, isolate=True)
+    run_sentiment(spark, LakeConfig(), text, audits=audits, target=target, location=f"{tmp_dir}/t")
+    late = spark.table(target).where("audit_id = '10'").first()
+    assert (late.sentiment, late.root_cause, late.llm_analysis) == ("Negative", "seal", "Negative, seal.")
+    assert spark.table(target).count() == 40
+    for t in (target, f"{target}_errors"):
+        spark.sql(f"DROP TABLE {t}")
+
+
+def test_wrong_number_of_answers_is_an_error_of_the_note():
+    from creamery.functions.sentiment import _isolated
+
+    calls = []
+
+    def model(notes):
+        calls.append(list(notes))
+        return [] if "x" in notes else [("Neutral", None)] * len(notes)
+
+    out = _isolated(model, ["a", "x", "b"], retries=1)
+    assert [o[0] for o in out] == [("Neutral", None), None, ("Neutral", None)] and "0 answers to 1 notes" in out[1][1]
+    assert calls.count(["x"]) == 2
