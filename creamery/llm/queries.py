@@ -14,6 +14,7 @@ from creamery.llm.line_windows import ORACLE as LINE_WINDOWS_ORACLE
 from creamery.llm.line_windows import op6_line_windows
 from creamery.llm.mixing import op9_mixing
 from creamery.llm.periodic import op11_periodic
+from creamery.llm.phrases import ORACLE as PHRASES_ORACLE
 from creamery.llm.phrases import op1_phrases
 from creamery.llm.ppm import op2_ppm
 from creamery.llm.simhash import op4_simhash
@@ -36,6 +37,7 @@ QUERIES = {
     "op13_exact": op13_exact,
 }
 ORACLE = {
+    "op1_phrases": PHRASES_ORACLE,
     "op6_line_windows": LINE_WINDOWS_ORACLE,
     "op8_hyperplanes": HYPERPLANES_ORACLE,
     "op12_codebooks": CODEBOOKS_ORACLE,

@@ -47,9 +47,10 @@ def given(docs):
     return [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
 
 
-def test_phrases(docs):
+def brute_phrases(data):
+    """(doc_id, words, removed words, kept text) of each (doc_id, text)."""
     first, texts = {}, {}
-    for d, t, _ in given(docs):
+    for d, t in data:
         texts.setdefault(-1 if d is None else d, []).append(WORD.findall(t or ""))
     for d in sorted(texts):
         for ws in texts[d]:
@@ -57,7 +58,7 @@ def test_phrases(docs):
                 key = tuple(ws[i : i + 20])
                 first[key] = min(first.get(key, (d, i)), (d, i))
     want = []
-    for d, t, _ in given(docs):
+    for d, t in data:
         ws = WORD.findall(t or "")
         k = -1 if d is None else d
         gone = set()
@@ -65,7 +66,24 @@ def test_phrases(docs):
             if first[tuple(ws[i : i + 20])] < (k, i):
                 gone |= set(range(i, i + 20))
         want.append((d, len(ws), len(gone), " ".join(w for i, w in enumerate(ws) if i not in gone)))
-    assert rows(phrases.dedup_phrases(docs), "doc_id", "n_words", "n_removed", "kept") == sorted(want, key=repr)
+    return sorted(want, key=repr)
+
+
+def test_phrases(docs):
+    want = brute_phrases([(d, t) for d, t, _ in given(docs)])
+    assert rows(phrases.dedup_phrases(docs), "doc_id", "n_words", "n_removed", "kept") == want
+
+
+def test_phrases_of_a_hot_anchor_in_many_contexts(spark):
+    """A saying of 12 words stands in every text among different words, a passage of 26 in a third of them."""
+    rng = np.random.default_rng(13)
+    saying, passage = " ".join(f"say{i}" for i in range(12)), " ".join(f"pass{i}" for i in range(26))
+    fill = lambda n: " ".join(f"f{x}" for x in rng.integers(0, 5, n))
+    data = [(i, f"{fill(9)} {saying} {fill(9)} {passage if i % 3 == 0 else ''} {fill(7)}") for i in range(120)]
+    data += [(200, data[5][1]), (5, data[5][1]), (5, data[6][1]), (201, data[7][1] + " " + data[7][1])]
+    df = spark.createDataFrame([(*r, 1, "x") for r in data], "doc_id long, text string, low int, h string")
+    for words in (phrases.SHARD_WORDS, 300):
+        assert rows(phrases.dedup_phrases(df, shard_words=words), "doc_id", "n_words", "n_removed", "kept") == brute_phrases(data)
 
 
 def test_phrases_in_small_shards(spark):
@@ -74,6 +92,21 @@ def test_phrases_in_small_shards(spark):
     assert rows(phrases.dedup_phrases(d, shard_words=300), *cols) == rows(phrases.dedup_phrases(d), *cols)
 
 
+def test_phrases_of_a_text_with_more_words_than_letters():
+    many = " ".join(f"w{i}" for i in range(40))
+    shard = [(many, 7, 5, 1), (" ".join(f"w{i}" for i in range(5, 35)), 3, 100, 1)]
+    assert sorted(phrases.located(shard, 20)) == [(0, 5, 11, 3, 100), (1, 0, 11, 3, 100)]
+    assert 3 * 32 * (phrases.SHARD_WORDS // (3 * 32)) <= phrases.SHARD_WORDS < 0x110000 - 2049
+
+
+def test_phrases_in_huge_texts(spark):
+    """Two texts of 1.2 million distinct words that share one passage."""
+    shared = [f"s{i}" for i in range(50)]
+    data = [(k, " ".join([*(f"{k}w{i}" for i in range(600_000)), *shared, *(f"{k}v{i}" for i in range(600_000))])) for k in (1, 2)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in phrases.dedup_phrases(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {1: (1_200_050, 0), 2: (1_200_050, 50)}
+
+
 def test_base_metrics(docs):
     want = []
     for d, t, _ in given(docs):
