@@ -312,3 +312,27 @@ def test_wrong_number_of_answers_is_an_error_of_the_note():
     out = _isolated(model, ["a", "x", "b"], retries=1)
     assert [o[0] for o in out] == [("Neutral", None), None, ("Neutral", None)] and "0 answers to 1 notes" in out[1][1]
     assert calls.count(["x"]) == 2
+
+
+def test_cli_takes_the_whole_configuration(spark, tmp_dir):
+    from conftest import SF_SMALL
+    from creamery import cli
+    from creamery.sources.driver_tables import DriverTables
+    from creamery.sources.landing import write_landing, write_payload_files
+
+    t, name = DriverTables(spark, SF_SMALL), "historical_quality_audit_logs"
+    write_landing(t, f"{tmp_dir}/raw", separators={name: "\x1e"})
+    write_payload_files(t, f"{tmp_dir}/messages", 4)
+    with open(f"{tmp_dir}/options", "w") as f:
+        f.write("# secrets\n\nwholetext=true\nmaxFileAge=7d\n")
+    args = cli.parse_args(["--base-path", "x", "--stream-options-file", f"{tmp_dir}/options", "--stream-option", "wholetext=false"])
+    assert cli.stream_options(spark, args) == {"wholetext": "false", "maxFileAge": "7d"}
+    cli.main([
+        "--base-path", f"{tmp_dir}/raw", "--layers", "bronze,stream,silver,gold,sentiment,consumer", "--bronze-db", "clb", "--silver-db", "cls",
+        "--gold-db", "clg", "--db-root", f"{tmp_dir}/db", "--checkpoint-root", f"{tmp_dir}/ckpt", "--bucket-count", "3", "--stream-format", "text",
+        "--stream-path", f"{tmp_dir}/messages", "--max-files-per-trigger", "1", "--record-separator", name + "=\\x1e"])
+    assert spark.table("clb.stream_expectations_log").select("batch_id").distinct().count() == 4
+    assert spark.table("clg.cq_exec_kpis").count() == 8
+    assert spark.table("cls.fact_quality_audits").count() == spark.table("clg.d_audit_sentiment").count() > 0
+    buckets = spark.sql("DESCRIBE TABLE EXTENDED cls.fact_production_batches").where("col_name = 'Num Buckets'").first()
+    assert buckets["data_type"] == "3"
