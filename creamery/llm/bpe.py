@@ -5,9 +5,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -31,13 +31,35 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+class _Store(dict):
+    """Remembers what ``make`` gives for a word; emptied when full, so memory stays bounded."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most = make, most
+
+    def __missing__(self, word: str):
+        out = self.make(word)
+        if len(word) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = out
+        return out
+
+
+def _latin(pattern: str) -> re.Pattern:
+    """``pattern`` for texts up to U+024F, with its Unicode classes written out."""
+    for name, full in ((r"\p{L}", r"\p{L}"), (r"\p{N}", r"\p{N}"), (r"\s", r"\p{White_Space}")):
+        pattern = pattern.replace(name, "".join(re.escape(chr(c)) for c in range(0x250) if regex.match(full, chr(c))))
+    return re.compile(pattern)
+
+
 class Encoder:
     """Encodes as a word-BPE file of the tokenizers library says.
 
     Two neighbouring symbols that no vocabulary token holds side by side can
     never be merged over, so each pre-token is cut there, the library's merge
-    step runs on each fragment alone and the ids are joined. ``remember`` words keep their
-    ids; the store is emptied when full, so memory stays bounded.
+    step runs on each fragment alone and the ids are joined. ``remember`` words
+    keep their ids.
     """
 
     def __init__(self, path: str, remember: int = 200_000):
@@ -57,13 +79,12 @@ class Encoder:
         self.final = models.BPE(self.vocab, merges, end_of_word_suffix=self.end) if self.end else self.inner
         self.normal = Tokenizer.from_file(path).normalizer
         split = spec["pre_tokenizer"]["pretokenizers"][0]
-        self.split = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
-        # letters beyond Latin: the two regex engines know different Unicode versions
+        self.split = _latin(split["pattern"]["Regex"])
         self.any_split = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), split["behavior"].lower(), split["invert"])
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.bytes = dict(enumerate(byte_symbols()))
         self.inside = {p for t in self.vocab for p in zip(self.symbols(t), self.symbols(t)[1:])}
-        self.remember, self.known = remember, {}
+        self.known = _Store(self.word, remember)
 
     def symbols(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end) and token != self.end:
@@ -74,10 +95,9 @@ class Encoder:
     def word_ids(self, w: str) -> list[int]:
         """Ids of one pre-token."""
         s = w.encode().decode("latin-1").translate(self.bytes)
-        pairs = [*zip(s, s[1:-1]), (s[-2], s[-1] + self.end)] if len(s) > 1 else []
         ids, start = [], 0
-        if not self.inside.issuperset(pairs):
-            for i, pair in enumerate(pairs, 1):
+        if len(s) > 1 and not (self.inside.issuperset(zip(s, s[1:-1])) and (s[-2], s[-1] + self.end) in self.inside):
+            for i, pair in enumerate([*zip(s, s[1:-1]), (s[-2], s[-1] + self.end)], 1):
                 if pair not in self.inside:
                     ids += [t.id for t in self.inner.tokenize(s[start:i])]
                     start = i
@@ -86,12 +106,7 @@ class Encoder:
     def word(self, w: str) -> tuple[tuple[int, ...], str, str]:
         """Ids of one pre-token, with their decimal and decoded forms."""
         ids = self.word_ids(w)
-        if len(self.known) >= self.remember:
-            self.known.clear()
-        out = (tuple(ids), " ".join(map(str, ids)), " ".join(self.names[i] for i in ids))
-        if len(w) <= 64:
-            self.known[w] = out
-        return out
+        return tuple(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids])
 
     def pieces(self, text: str | None) -> Iterator[tuple[bool, str | list[str]]]:
         """Special tokens (True, token) and, between them, the pre-tokens (False, list) of ``text``."""
@@ -99,9 +114,15 @@ class Encoder:
             if k % 2:
                 yield True, piece
             elif piece:
-                # the normalizer composes, lower-cases and joins white space, which the split passes over
-                plain = piece.lower() if piece.isascii() else self.normal.normalize_str(piece)
-                yield False, [w for w, _ in self.any_split.pre_tokenize_str(plain)] if _BEYOND_LATIN.search(plain) else self.split.findall(plain)
+                # the normalizer composes, lower-cases and joins white space, which the split passes over;
+                # up to U+024F nothing composes
+                plain = piece.lower()
+                if _BEYOND_LATIN.search(piece) or _BEYOND_LATIN.search(plain):
+                    plain = self.normal.normalize_str(piece)
+                    # the regex engines know different Unicode versions: beyond Latin the library's own splits
+                    yield False, [w for w, _ in self.any_split.pre_tokenize_str(plain)] if _BEYOND_LATIN.search(plain) else self.split.findall(plain)
+                else:
+                    yield False, self.split.findall(plain)
 
     def parts(self, text: str | None) -> list[tuple[tuple[int, ...], str, str]]:
         known, out = self.known, []
@@ -110,12 +131,9 @@ class Encoder:
                 i = self.special[found]
                 out.append(((i,), str(i), found))
             else:
-                out += [known.get(w) or self.word(w) for w in found]
+                out += map(known.__getitem__, found)
         return out
 
-    def ids(self, text: str | None) -> list[int]:
-        return [i for p in self.parts(text) for i in p[0]]
-
     def decode(self, ids) -> str:
         return " ".join(self.names[i] for i in ids)
 
@@ -124,21 +142,14 @@ class IdEncoder(Encoder):
     """An ``Encoder`` that gives ids only; its store holds them as packed 32-bit integers."""
 
     def word(self, w: str) -> bytes:
-        out = np.array(self.word_ids(w), "<u4").tobytes()
-        if len(self.known) >= self.remember:
-            self.known.clear()
-        if len(w) <= 64:
-            self.known[w] = out
-        return out
+        ids = self.word_ids(w)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def packed(self, text: str | None) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
         known, out = self.known, []
         for special, found in self.pieces(text):
-            if special:
-                out.append(self.special[found].to_bytes(4, "little"))
-            else:
-                out += [known.get(w) or self.word(w) for w in found]
+            out.append(self.special[found].to_bytes(4, "little") if special else b"".join(map(known.__getitem__, found)))
         return b"".join(out)
 
     @staticmethod
@@ -152,7 +163,7 @@ class IdEncoder(Encoder):
 
         held = tokenizers.__dict__.setdefault("_id_encoders", {})
         if path not in held:
-            held[path] = IdEncoder(path)
+            held[path] = IdEncoder(path, remember=600_000)
         return held[path]
 
 
