@@ -555,3 +555,23 @@ def test_vector_recall_in_one_wide_label(spark):
     got = {r["vec_id"]: r["n_links"] for r in hyperplanes.near_duplicate_vectors(df).collect()}
     found = sum(got.values())
     assert links.sum() > 2000 and all(got[i] <= n for i, n in enumerate(links)) and found >= 0.99 * links.sum()
+
+
+@pytest.mark.parametrize("small, block", [(1, 3), (4, 5), (64, 512)])
+def test_vectors_in_crowded_buckets(spark, small, block):
+    """Two groups of near copies and loose neighbours: every size of bucket and block gives the same exact counts."""
+    rng = np.random.default_rng(21)
+    a, b = rng.standard_normal((2, 16))
+    near = [a + rng.standard_normal(16) * 0.02 for _ in range(60)] + [b + rng.standard_normal(16) * s for s in rng.uniform(0.05, 0.4, 60)]
+    data = [(i, x.tolist(), i % 2) for i, x in enumerate(near)] + [(900, near[0].tolist(), 0), (901, near[0].tolist()[:8], 0), (902, near[2].tolist()[:8], 0)]
+    want_n, root = Counter(), {r[0]: r[0] for r in data}
+    for i, (p, x, k) in enumerate(data):
+        for q, y, j in data[i + 1 :]:
+            if k == j and len(x) == len(y) and np.dot(x, y) / np.sqrt(np.dot(x, x) * np.dot(y, y)) >= 0.93:
+                want_n[p] += 1
+                want_n[q] += 1
+                low, high = sorted((root[p], root[q]))
+                root = {v: low if r == high else r for v, r in root.items()}
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in hyperplanes.near_duplicate_vectors(df, miss=1e-9, small=small, block=block).collect()}
+    assert sum(want_n.values()) > 2000 and got == {v: (want_n[v], root[v]) for v in root}
