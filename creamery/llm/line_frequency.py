@@ -8,6 +8,31 @@ from pyspark.sql import functions as F
 from creamery.llm.common import SPACE, let, stored, table, words
 
 
+ORACLE = r"""
+WITH w AS (
+  SELECT doc_id, source, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, string_split(coalesce(text, ''), chr(10)) AS ls
+  FROM documents),
+line AS (
+  SELECT doc_id, source, i, ls[i] AS x, trim(regexp_replace(lower(ls[i]), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
+  FROM w, unnest(range(1, len(ls) + 1)) u(i)),
+often AS (SELECT source, norm FROM line WHERE norm <> '' GROUP BY source, norm HAVING count(DISTINCT doc_id) > 50),
+cut AS (
+  SELECT l.doc_id, string_agg(x, chr(10) ORDER BY i) FILTER (WHERE o.norm IS NULL) AS rest, count(o.norm) AS n_gone,
+         count(*) FILTER (WHERE l.norm <> '') - count(DISTINCT x) FILTER (WHERE l.norm <> '') AS n_dup_lines
+  FROM line l LEFT JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.norm = o.norm GROUP BY l.doc_id),
+win AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i + 7], ' ')) AS n FROM w, unnest(range(1, len(ws) - 6)) u(i) WHERE len(ws) >= 8),
+again AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM win, unnest(range(8)) u(j) WHERE n > 1 GROUP BY doc_id),
+base AS (
+  SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         CASE WHEN text IS NULL OR n_gone = 0 THEN text ELSE coalesce(rest, '') END AS text
+  FROM w JOIN cut ON w.doc_id = cut.doc_id LEFT JOIN again ON w.doc_id = again.doc_id),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND 2 * len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) >= n_words AS kept FROM judged
+"""
+
+
 def _repeat_words(ws: Column, width: int) -> Column:
     """Words inside ``width``-word windows that occur at least twice in the array."""
 
@@ -77,30 +102,6 @@ def strip_lines(docs: DataFrame, max_docs: int = 50) -> DataFrame:
     return d.join(gone, "doc_key", "left").withColumn("text", text).drop("_gone")
 
 
-def line_frequency(docs: DataFrame, max_docs: int = 50, min_left: float = 0.5) -> DataFrame:
-    """Verdict of the line rule per document (doc_id, source, text), by rows.
-
-    Unlike ``strip_lines``, which the query uses, repeated rows of a document
-    count as often as they stand here and no text is returned. Lines are lower-cased with white space collapsed. A line that more than
-    ``max_docs`` documents of one host (``source``, null is a host) carry is
-    removed; a document left with less than ``min_left`` of its words is
-    rejected. Rows of the same id, host and text get the same verdict. Returns
-    (doc_key, lost_share), one row per document with a removed line.
-    """
-    norm = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), _normal)
-    # equal lines of one document become one entry (hash, words); repeats weigh once
-    per_doc = F.transform(
-        F.array_distinct(F.filter(norm, lambda x: x != "")),
-        lambda x: F.struct(F.xxhash64(x).alias("h"), F.size(F.split(x, " ")).alias("n")),
-    )
-    lines = docs.select(doc_key(), "source", F.inline(per_doc))
-    often = lines.groupBy("source", "h").agg(F.count("*").alias("c")).where(F.col("c") > max_docs).drop("c")
-    hit = lines.alias("l").join(often.alias("o"), F.expr("l.source <=> o.source AND l.h = o.h"))
-    lost = hit.groupBy("l.doc_key").agg(F.sum("l.n").alias("lost"))
-    whole = lines.join(lost.select("doc_key"), "doc_key", "left_semi").groupBy("doc_key").agg(F.sum("n").alias("all"))
-    return lost.join(whole, "doc_key").select("doc_key", (F.col("lost") / F.col("all")).alias("lost_share")).where(F.col("lost_share") > 1 - min_left)
-
-
 def doc_key() -> Column:
     return F.xxhash64("doc_id", "source", "text").alias("doc_key")
 

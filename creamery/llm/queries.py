@@ -9,6 +9,7 @@ from creamery.llm.exact import ORACLE as EXACT_ORACLE
 from creamery.llm.exact import op13_exact
 from creamery.llm.hyperplanes import ORACLE as HYPERPLANES_ORACLE
 from creamery.llm.hyperplanes import op8_hyperplanes
+from creamery.llm.line_frequency import ORACLE as LINE_FREQUENCY_ORACLE
 from creamery.llm.line_frequency import op3_line_frequency
 from creamery.llm.line_windows import ORACLE as LINE_WINDOWS_ORACLE
 from creamery.llm.line_windows import op6_line_windows
@@ -38,6 +39,7 @@ QUERIES = {
 }
 ORACLE = {
     "op1_phrases": PHRASES_ORACLE,
+    "op3_line_frequency": LINE_FREQUENCY_ORACLE,
     "op6_line_windows": LINE_WINDOWS_ORACLE,
     "op8_hyperplanes": HYPERPLANES_ORACLE,
     "op12_codebooks": CODEBOOKS_ORACLE,

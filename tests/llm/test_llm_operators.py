@@ -123,19 +123,6 @@ def test_base_metrics(docs):
     assert got == sorted(want, key=repr)
 
 
-def test_line_frequency(docs):
-    data = [(d, t, s, {" ".join(WORD.findall(x)).lower() for x in (t or "").split("\n")} - {""}) for d, t, s in given(docs)]
-    n = Counter((s, line) for _, _, s, ls in data for line in ls)
-    want = set()
-    for d, t, s, ls in data:
-        lost = sum(len(x.split(" ")) for x in ls if n[s, x] > 1)
-        if ls and lost / sum(len(x.split(" ")) for x in ls) > 0.5:
-            want.add((d, s, t))
-    bad = line_frequency.line_frequency(docs.select("doc_id", "source", "text"), max_docs=1)
-    got = docs.withColumn("doc_key", line_frequency.doc_key()).join(bad, "doc_key").select("doc_id", "source", "text").collect()
-    assert {tuple(r) for r in got} == want
-
-
 def test_strip_lines(docs):
     data = sorted({(d, t, s) for d, t, s in given(docs)}, key=repr)
     norm = lambda x: " ".join(WORD.findall(x)).lower()
