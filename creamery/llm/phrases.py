@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creamery.llm.common import WORD, stored, table
+from creamery.llm.common import stored, table
 from creamery.session import scratch_dir
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -44,6 +44,13 @@ class _Hashes(dict):
         return h
 
 
+class _Letters(dict):
+    def __missing__(self, word):
+        # code points from 1, past the surrogates
+        c = self[word] = chr(1 + len(self) + (2048 if len(self) >= 0xD7FF else 0))
+        return c
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
@@ -69,13 +76,25 @@ def rolling(h: np.ndarray, width: int) -> np.ndarray:
 def anchors(h: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
     """Anchor hashes by place, and for each window the place of its smallest anchor."""
     a = rolling(h, anchor)
-    if len(h) < window:
+    n = len(h) - window + 1
+    if n <= 0:
         return a, np.empty(0, np.int64)
-    span = np.lib.stride_tricks.sliding_window_view(a, window - anchor + 1)
-    return a, span.argmin(axis=1) + np.arange(len(span))
+    # smallest of 2, 4, 8 ... neighbours, then of two such spans that cover the window; ties go to the left
+    low, at, span, width = a, np.arange(len(a)), window - anchor + 1, 1
+    while width < span:
+        step = min(width, span - width)
+        less = low[step:] < low[:-step]
+        low, at = np.where(less, low[step:], low[:-step]), np.where(less, at[step:], at[:-step])
+        width += step
+    return a, at
+
 
+def _words(text: pa.Scalar) -> list[bytes]:
+    """The words of a text in UTF-8: bytes are split at ASCII white space only."""
+    return text.as_buffer().to_pybytes().split()
 
-def _word_hashes(words: list[str], known: _Hashes) -> np.ndarray:
+
+def _word_hashes(words: list[bytes], known: _Hashes) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
@@ -105,7 +124,7 @@ def _anchor_rows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
         for b in batches:
             hs, lows, ns = [], [], []
             for low, text in zip(b["low"].to_pylist(), b["text"]):
-                ws = WORD.findall(text.as_py())
+                ws = _words(text)
                 if len(ws) >= window:
                     a, at = anchors(_word_hashes(ws, known), window, anchor)
                     h, n = np.unique(a[np.unique(at)], return_counts=True)
@@ -126,7 +145,7 @@ def _segment_rows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
         for b in batches:
             out = [[], [], [], [], [], []]
             for x, y, low, text, hs in zip(b["a"].to_pylist(), b["b"].to_pylist(), b["low"].to_pylist(), b["text"], b["hs"]):
-                ws = WORD.findall(text.as_py())
+                ws = _words(text)
                 if len(ws) < window:
                     continue
                 a, at = anchors(_word_hashes(ws, known), window, anchor)
@@ -136,7 +155,7 @@ def _segment_rows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
                 use = np.flatnonzero(np.isin(a[at[first]], wanted))
                 keys = a[at[first[use]]].view(np.int64).tolist()
                 for i, j, h in zip(first[use].tolist(), last[use].tolist(), keys):
-                    for column, value in zip(out, (x, y, low, i, h, " ".join(ws[i : j + window]))):
+                    for column, value in zip(out, (x, y, low, i, h, b" ".join(ws[i : j + window]))):
                         column.append(value)
             if out[0]:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
@@ -164,16 +183,17 @@ def located(shard: list[tuple], window: int) -> Iterator[tuple]:
     """
     import ahocorasick
 
-    letters: dict[str, str] = {}
-    lines, seen = [], {}
+    letters, lines, seen = _Letters(), [], {}
     for text, doc, start, times in shard:
-        # code points from 1, past the surrogates
-        line = "".join([letters.get(w) or letters.setdefault(w, chr(1 + len(letters) + (2048 if len(letters) >= 0xD7FF else 0))) for w in text.split(" ")])
+        line = "".join(map(letters.__getitem__, text.split(" ")))
         lines.append(line)
         for j in range(len(line) - window + 1):
-            w, place = line[j : j + window], (doc, start + j)
+            w = line[j : j + window]
             had = seen.get(w)
-            seen[w] = (had[0] + times, min(had[1], place)) if had else (times, place)
+            if had is None:
+                seen[w] = (times, (doc, start + j))
+            else:
+                seen[w] = (had[0] + times, min(had[1], (doc, start + j)))
     machine = ahocorasick.Automaton()
     for w, (times, place) in seen.items():
         if times > 1:
@@ -262,18 +282,18 @@ def _cut(texts: DataFrame) -> DataFrame:
         for b in batches:
             n, gone, kept = [], [], []
             for text, spans in zip(b["text"], b["spans"]):
-                ws = WORD.findall(text.as_py())
+                ws = _words(text)
                 n.append(len(ws))
                 if not spans.is_valid:
                     gone.append(0)
-                    kept.append(" ".join(ws))
+                    kept.append(b" ".join(ws))
                     continue
                 steps = np.zeros(len(ws) + 1, np.int64)
                 np.add.at(steps, spans.values.field("s").to_numpy(), 1)
                 np.add.at(steps, spans.values.field("e").to_numpy(), -1)
                 out = np.cumsum(steps[:-1]) > 0
                 gone.append(int(out.sum()))
-                kept.append(" ".join([w for w, g in zip(ws, out.tolist()) if not g]))
+                kept.append(b" ".join([w for w, g in zip(ws, out.tolist()) if not g]))
             yield pa.RecordBatch.from_arrays([b["a"], b["b"], b["low"], pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["a", "b", "low", "n_words", "n_removed", "kept"])
 
     return texts.select("a", "b", "low", "text", "spans").mapInArrow(run, "a long, b long, low long, n_words long, n_removed long, kept string")
