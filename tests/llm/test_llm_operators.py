@@ -562,3 +562,43 @@ def test_vectors_in_crowded_buckets(spark, small, block):
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in hyperplanes.near_duplicate_vectors(df, miss=1e-9, small=small, block=block).collect()}
     assert sum(want_n.values()) > 2000 and got == {v: (want_n[v], root[v]) for v in root}
+
+
+def _written(spark, tmp_path):
+    """The awkward rows, one of each id, as a documents table."""
+    data = [r for r in ROWS if r[0] != 13] + [(13, "same", "en", "a"), (15, "ünïcode  wörds, 3 of them", "de", "b")]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    return [(r[0], r[1]) for r in data]
+
+
+def test_op7_query_columns(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(bpe.word_bpe_path())
+    at, want = 0, []
+    for d, t in sorted(_written(spark, tmp_path), key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 1]
+        want.append((d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    got = token_files.op7_token_files(spark, str(tmp_path)).collect()
+    assert sorted(((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_op4_query_columns(spark, tmp_path):
+    want = {d: f"{simhash.fingerprint(t):016x}" for d, t in _written(spark, tmp_path)}
+    got = simhash.op4_simhash(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["fingerprint"] for r in got} == want and len(got) == len(want)
+    near = {d: min(x for x in want if x is not None and want[x] == want[d]) for d in want if d is not None}
+    assert all(r["component_id"] <= near[r["doc_id"]] for r in got if r["doc_id"] is not None)
+
+
+def test_id_encoder_on_awkward_strings():
+    """Ids of the library for Latin, composing and other scripts, special tokens and rare white space."""
+    from tokenizers import Tokenizer
+
+    tok, own = Tokenizer.from_file(bpe.word_bpe_path()), bpe.IdEncoder(bpe.word_bpe_path(), remember=50)
+    rng = np.random.default_rng(5)
+    pool = [chr(c) for c in range(0x260)] + list("abc ABC'st'réé\t\n \u0085 İıſßǅ½²ªÅﬁ中あ한​Σςσ") + ["\U0001f600", "<|endoftext|>", "é"]
+    texts = ["".join(rng.choice(pool, rng.integers(0, 40))) for _ in range(1500)]
+    for t, e in zip(texts, tok.encode_batch(texts, add_special_tokens=False)):
+        assert own.packed(t) == np.array(e.ids, "<u4").tobytes()
