@@ -6,6 +6,7 @@ import hashlib
 import json
 import re
 import struct
+import weakref
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,13 +33,17 @@ def byte_symbols() -> list[str]:
 
 
 class _Store(dict):
-    """Remembers what ``make`` gives for a word; emptied when full, so memory stays bounded."""
+    """Remembers what a method gives for a word; emptied when full, so memory stays bounded.
+
+    It does not hold the method's object, which so goes with its last user and
+    not with the next cycle collection: vocabularies are large.
+    """
 
     def __init__(self, make, most: int):
-        self.make, self.most = make, most
+        self.make, self.most = weakref.WeakMethod(make), most
 
     def __missing__(self, word: str):
-        out = self.make(word)
+        out = self.make()(word)
         if len(word) <= 64:
             if len(self) >= self.most:
                 self.clear()
