@@ -99,7 +99,8 @@ def strip_lines(docs: DataFrame, max_docs: int = 50) -> DataFrame:
     gone = hit.alias("l").join(often.alias("o"), same, "left_semi").groupBy("doc_key").agg(F.collect_set("h").alias("_gone"))
     left = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_gone", F.xxhash64(_normal(x))))
     text = F.when(F.col("_gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return d.join(gone, "doc_key", "left").withColumn("text", text).drop("_gone")
+    # dealt by document at every size: sent whole, the list of gone lines would grow with the corpus
+    return d.join(gone.hint("merge"), "doc_key", "left").withColumn("text", text).drop("_gone")
 
 
 def doc_key() -> Column:

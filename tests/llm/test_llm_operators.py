@@ -602,3 +602,11 @@ def test_id_encoder_on_awkward_strings():
     texts = ["".join(rng.choice(pool, rng.integers(0, 40))) for _ in range(1500)]
     for t, e in zip(texts, tok.encode_batch(texts, add_special_tokens=False)):
         assert own.packed(t) == np.array(e.ids, "<u4").tobytes()
+
+
+def test_strip_lines_deals_texts_by_document_at_every_size(spark):
+    """Few gone lines are not sent whole while many are shuffled: the bytes moved grow with the input."""
+    docs = spark.createDataFrame([(i, f"same line\nown {i}", "a") for i in range(4)], "doc_id long, text string, source string")
+    out = line_frequency.strip_lines(docs, max_docs=3)
+    assert "SortMergeJoin [doc_key" in out._jdf.queryExecution().executedPlan().toString()
+    assert rows(out, "doc_id", "text") == [(i, f"own {i}") for i in range(4)]
