@@ -33,17 +33,19 @@ def byte_symbols() -> list[str]:
 
 
 class _Store(dict):
-    """Remembers what a method gives for a word; emptied when full, so memory stays bounded.
+    """Remembers what an encoder's ``word`` gives for a word; emptied when full, so memory stays bounded.
 
-    It does not hold the method's object, which so goes with its last user and
-    not with the next cycle collection: vocabularies are large.
+    It does not hold the encoder, which so goes with its last user and not
+    with the next cycle collection: vocabularies are large. The method is
+    looked up at each use: the class travels by value, and when a later task
+    of a worker brings it again, its functions are replaced.
     """
 
-    def __init__(self, make, most: int):
-        self.make, self.most = weakref.WeakMethod(make), most
+    def __init__(self, encoder: "Encoder", most: int):
+        self.encoder, self.most = weakref.ref(encoder), most
 
     def __missing__(self, word: str):
-        out = self.make()(word)
+        out = self.encoder().word(word)
         if len(word) <= 64:
             if len(self) >= self.most:
                 self.clear()
@@ -89,7 +91,7 @@ class Encoder:
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.bytes = dict(enumerate(byte_symbols()))
         self.inside = {p for t in self.vocab for p in zip(self.symbols(t), self.symbols(t)[1:])}
-        self.known = _Store(self.word, remember)
+        self.known = _Store(self, remember)
 
     def symbols(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end) and token != self.end:

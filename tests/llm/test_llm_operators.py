@@ -610,3 +610,17 @@ def test_strip_lines_deals_texts_by_document_at_every_size(spark):
     out = line_frequency.strip_lines(docs, max_docs=3)
     assert "SortMergeJoin [doc_key" in out._jdf.queryExecution().executedPlan().toString()
     assert rows(out, "doc_id", "text") == [(i, f"own {i}") for i in range(4)]
+
+
+def test_id_store_outlives_its_method():
+    """The class travels by value: a later task of the same worker replaces its functions."""
+    import gc
+    import types
+
+    class Sent(bpe.IdEncoder):
+        word = types.FunctionType(bpe.IdEncoder.word.__code__, bpe.IdEncoder.word.__globals__, "word", None, bpe.IdEncoder.word.__closure__)
+
+    enc = Sent(bpe.word_bpe_path(), remember=10)
+    Sent.word = bpe.IdEncoder.word
+    gc.collect()
+    assert enc.packed("some words") == bpe.IdEncoder(bpe.word_bpe_path()).packed("some words")
