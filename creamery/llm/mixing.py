@@ -69,7 +69,8 @@ def mix(docs: DataFrame, size: Column, weights: tuple = (3, 1, 2), share: float
     border = {tuple(r["_src"]): (r["_bin"], r["_u"], r["more"]) for r in last.collect()}
     plan = _local(spark, [(*r, *border.get(r[0], (None, None, None))) for r in rows], f"_src {_SOURCE}, _source_size long, _target double, _whole int, _rest double, _edge_bin long, _edge long, _edge_more long")
     d = d.withColumn("_bin", F.pmod("_u", F.lit(BINS))).join(plan, "_src")
-    first = F.col("_edge").isNull() & (F.col("_rest") > 0) | (F.col("_bin") < F.col("_edge_bin")) | (F.col("_bin") == F.col("_edge_bin")) & (F.col("_u") < F.col("_edge"))
+    before_edge = F.col("_edge").isNull() | (F.col("_bin") < F.col("_edge_bin")) | (F.col("_bin") == F.col("_edge_bin")) & (F.col("_u") < F.col("_edge"))
+    first = (F.col("_rest") > 0) & before_edge  # nothing left to share: not even texts without a word get one more
     at_edge = F.coalesce(F.col("_u") == F.col("_edge"), F.lit(False))
     clear = d.where(~at_edge).withColumn("_more", F.coalesce(first, F.lit(False)).cast("int"))
     # the equal rows on the border are counted, and come out again with so many of them taken

@@ -624,3 +624,10 @@ def test_id_store_outlives_its_method():
     Sent.word = bpe.IdEncoder.word
     gc.collect()
     assert enc.packed("some words") == bpe.IdEncoder(bpe.word_bpe_path()).packed("some words")
+
+
+def test_mixing_wordless_texts_take_no_epoch_beyond_the_limit(spark):
+    """A source that is taken whole twice has nothing left to share: its empty texts get no third epoch."""
+    docs = spark.createDataFrame([(0, "z " * 50, "a")] + [(i, "", "a") for i in range(1, 200)] + [(200, "y " * 5000, "b")], "doc_id long, text string, source string")
+    out = mixing.mix(docs, F.size(F.filter(F.split("text", " "), lambda w: w != ""))).collect()
+    assert len(out) == 201 and max(r["_epochs"] for r in out) == 2
