@@ -20,7 +20,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creamery.operators.joins import anti_join_null_safe, semi_join_null_safe
+from creamery.sinks.tables import stored_rows
+
 _RANK = "__dedup_rank"
+#: Up to so many repeated keys are sent to every task; beyond, all rows are dealt by key.
+MOST_REPEATED = 1_000_000
 
 
 def dedup_by_key(
@@ -40,3 +45,21 @@ def dedup_by_key(
     tie_break = [F.col(c).asc_nulls_first() for c in df.columns if c not in used]
     window = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order, *tie_break)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+
+
+def dedup_long_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), order_columns: Sequence[str] = (), most: int = MOST_REPEATED
+) -> DataFrame:
+    """``dedup_by_key`` on one key, for stored rows that hold long texts: the same rows, and few texts shuffled.
+
+    A first job over the key column alone finds the keys that stand in more
+    than one row. Only their rows are ranked; the others pass where they lie.
+    With more than ``most`` such keys all rows are ranked.
+    """
+    (key,) = keys
+    repeated = stored_rows(df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeated")
+    if repeated.count() > most:
+        return dedup_by_key(df, keys, order, order_columns)
+    repeated = F.broadcast(repeated)
+    ranked = dedup_by_key(semi_join_null_safe(df, repeated, key), keys, order, order_columns)
+    return anti_join_null_safe(df, repeated, key).unionByName(ranked)

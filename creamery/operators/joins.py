@@ -30,3 +30,9 @@ def anti_join_null_safe(left: DataFrame, right: DataFrame, key: str) -> DataFram
     """
     r = right.select(F.col(key).alias("__anti_key"))
     return left.join(r, left[key].eqNullSafe(r["__anti_key"]), "left_anti")
+
+
+def semi_join_null_safe(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows of ``left`` whose ``key`` is present in ``right``; NULL matches NULL."""
+    r = right.select(F.col(key).alias("__semi_key"))
+    return left.join(r, left[key].eqNullSafe(r["__semi_key"]), "left_semi")

@@ -12,11 +12,13 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from creamery.config import LakeConfig
+from creamery.operators.dedup import dedup_long_rows
 from creamery.operators.quality import BRONZE_RULES, apply_expectations
 from creamery.plans import consumer, gold, silver
 from creamery.plans.sentiment import run_sentiment
@@ -32,7 +34,7 @@ SILVER_PLAN: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "silver_dim_retail_customers": (silver.silver_dim_retail_customers, ["dim_retail_customers"]),
     "fact_production_batches": (silver.fact_production_batches, ["historical_production_batches"]),
     "fact_shipments": (silver.fact_shipments, ["historical_shipments"]),
-    "fact_quality_audits": (silver.fact_quality_audits, ["historical_quality_audit_logs"]),
+    "fact_quality_audits": (partial(silver.fact_quality_audits, dedup=dedup_long_rows), ["historical_quality_audit_logs"]),
     "fact_sensor_readings": (silver.fact_sensor_readings, ["sensor_readings", "sensor_readings_stream"]),
 }
 

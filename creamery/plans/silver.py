@@ -6,6 +6,8 @@ writing tables is done by :mod:`creamery.plans.layers`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +48,14 @@ def fact_production_batches(batches: DataFrame) -> DataFrame:
             "actual_qty_units": to_int("actual_qty_units"),
             "defect_units": to_int("defect_units"),
         }
-    ).withColumn("yield_pct", yield_pct("actual_qty_units", "defect_units"))
+    )
+    # the yield follows from two columns of the tie-break, so it need not travel with the rows
     return dedup_by_key(
         typed,
         ["batch_id"],
         order=[F.col("production_start").desc_nulls_last()],
         order_columns=["production_start"],
-    )
+    ).withColumn("yield_pct", yield_pct("actual_qty_units", "defect_units"))
 
 
 def fact_shipments(shipments: DataFrame) -> DataFrame:
@@ -65,8 +68,9 @@ def fact_shipments(shipments: DataFrame) -> DataFrame:
     )
 
 
-def fact_quality_audits(audits: DataFrame) -> DataFrame:
-    return dedup_by_key(
+def fact_quality_audits(audits: DataFrame, dedup: Callable[..., DataFrame] = dedup_by_key) -> DataFrame:
+    """Per audit_id the latest audit_date wins; ``dedup_long_rows`` for audits that are stored, as their notes are long."""
+    return dedup(
         audits,
         ["audit_id"],
         order=[F.col("audit_date").desc_nulls_last()],

@@ -370,8 +370,8 @@ def _file_run(spark, sf_dir, again: bool = False) -> LakeConfig:
     if again or run not in _FILE_RUNS:
         t = _t(spark, sf_dir)
         root = scratch_dir(spark, "lake")
-        write_landing(t, f"{root}/raw", separators=RECORD_SEPARATORS)
-        write_payload_files(t, f"{root}/messages")
+        write_landing(t, f"{root}/raw", separators=RECORD_SEPARATORS, compression="gzip")
+        write_payload_files(t, f"{root}/messages", compression="gzip")
         tag = uuid.uuid4().hex[:8]
         cfg = LakeConfig(
             base_path=f"{root}/raw",

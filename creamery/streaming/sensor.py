@@ -26,7 +26,7 @@ from creamery.operators.dedup import dedup_by_key
 from creamery.operators.quality import BRONZE_RULES, apply_expectations
 from creamery.schemas import SENSOR_FIELDS, SENSOR_SCHEMA
 from creamery.session import scratch_dir
-from creamery.sinks.tables import append_rows
+from creamery.sinks.tables import append_rows, file_options
 
 
 def parse_sensor_payload(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -205,7 +205,7 @@ def append_unseen(rows: DataFrame, target: str, is_path: bool, fmt: str) -> None
     """
     spark = rows.sparkSession
     staged = scratch_dir(spark, "micro-batch")
-    rows.write.parquet(staged)
+    rows.write.options(**file_options("parquet")).parquet(staged)
     rows = dedup_by_key(spark.read.schema(rows.schema).parquet(staged), ["reading_id", "event_timestamp"])
     low, high = rows.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
     stored = spark.read.schema(rows.schema).format(fmt).load(target) if is_path else spark.table(target)
@@ -215,7 +215,7 @@ def append_unseen(rows: DataFrame, target: str, is_path: bool, fmt: str) -> None
     keys = stored.where(near).select(F.col("reading_id").alias("_id"), F.col("event_timestamp").alias("_ts"))
     new = rows.join(keys, rows["reading_id"].eqNullSafe(keys["_id"]) & rows["event_timestamp"].eqNullSafe(keys["_ts"]), "left_anti")
     if is_path:
-        new.write.mode("append").format(fmt).save(target)
+        new.write.mode("append").format(fmt).options(**file_options(fmt)).save(target)
     else:
         append_rows(new, target)
 
@@ -250,7 +250,7 @@ def run_sensor_stream(
         if cfg.stream_dedup:
             query = writer.foreachBatch(lambda df, _: append_unseen(df, target, to_path, cfg.table_format)).start()
         else:
-            writer = writer.format(cfg.table_format)
+            writer = writer.format(cfg.table_format).options(**file_options(cfg.table_format))
             query = writer.start(target) if to_path else writer.toTable(target)
         try:
             query.awaitTermination()

@@ -80,3 +80,16 @@ def test_join_dim_runs_no_job(spark):
     joined = join_dim(fact, dim, "k", ["v"])
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == 0
     assert [tuple(r) for r in joined.collect()] == [("ab", 5.0, 1)]
+
+
+def test_dedup_of_long_rows_equals_the_ranking_of_all(spark):
+    from creamery.operators.dedup import dedup_long_rows
+
+    data = [("a", "2", "x"), ("a", "3", "z"), ("a", "3", "y"), ("b", "1", "q"), (None, "1", "n"), (None, None, "m"), ("c", None, None), ("d", "1", "s"), ("d", "1", "s")]
+    df = spark.createDataFrame(data, "k string, d string, note string")
+    how = {"keys": ["k"], "order": [F.col("d").desc_nulls_last()], "order_columns": ["d"]}
+    want = sorted(map(tuple, dedup_by_key(df, **how).collect()), key=repr)
+    assert want == sorted([("a", "3", "y"), ("b", "1", "q"), (None, "1", "n"), ("c", None, None), ("d", "1", "s")], key=repr)
+    for most in (0, 2, 100):
+        assert sorted(map(tuple, dedup_long_rows(df, **how, most=most).collect()), key=repr) == want
+    assert dedup_long_rows(df.limit(0), **how).collect() == []

@@ -336,3 +336,29 @@ def test_cli_takes_the_whole_configuration(spark, tmp_dir):
     assert spark.table("cls.fact_quality_audits").count() == spark.table("clg.d_audit_sentiment").count() > 0
     buckets = spark.sql("DESCRIBE TABLE EXTENDED cls.fact_production_batches").where("col_name = 'Num Buckets'").first()
     assert buckets["data_type"] == "3"
+
+
+def test_landing_and_table_files_are_compressed_and_whole(spark, tmp_dir, monkeypatch):
+    """Compressed landing files are bounded in rows and read back whole; tables take the same codec however they are written."""
+    import glob
+    from types import SimpleNamespace
+
+    from creamery.sources import landing
+
+    monkeypatch.setattr(landing, "RECORDS_PER_FILE", 100)
+    names = ["shipment_id", "batch_id", "customer_id", "ship_date", "qty_units", "shipment_status"]
+    rows = spark.createDataFrame([(str(i) if i % 9 else None, f'b"{i}', " c ", "2024-01-01\nlate", "1,5", None) for i in range(450)], ", ".join(f"{c} string" for c in names))
+    t = SimpleNamespace(historical_shipments=lambda: rows.coalesce(1), sensor_payloads=lambda: spark.range(250).coalesce(1).select(F.col("id").cast("string").cast("binary").alias("value")))
+    path = landing.write_csv_input(t, "historical_shipments", f"{tmp_dir}/raw", "\x1e", "gzip")
+    assert len(glob.glob(f"{path}/part-*.csv.gz")) == len(glob.glob(f"{path}/part-*")) == 5
+    back = files.historical_shipments(spark, LakeConfig(base_path=f"{tmp_dir}/raw", csv_record_separators={"historical_shipments": "\x1e"}))
+    assert back.count() == 450 and back.exceptAll(rows).isEmpty()
+    landing.write_payload_files(t, f"{tmp_dir}/messages", compression="gzip")
+    assert len(glob.glob(f"{tmp_dir}/messages/part-*.txt.gz")) == 3 and spark.read.text(f"{tmp_dir}/messages").count() == 250
+
+    tables.save_table(back, "default.codec_saved", path=f"{tmp_dir}/saved")
+    tables.create_table_if_missing(spark, "default.codec_made", "id BIGINT", location=f"{tmp_dir}/made")
+    tables.append_rows(spark.range(5), "default.codec_made")
+    for name, n in (("default.codec_saved", 450), ("default.codec_made", 5)):
+        assert spark.table(name).count() == n and all(".zstd." in f for f in spark.table(name).inputFiles())
+        spark.sql(f"DROP TABLE {name}")

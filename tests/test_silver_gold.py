@@ -107,3 +107,14 @@ def test_hot_batch_audit_counts_are_exact(spark):
         p = "P1" if b == "HOT" else "P2"
         expected[(p, o)] = expected.get((p, o), 0) + 1
     assert got == expected
+
+
+def test_batch_yield_is_not_shuffled(spark):
+    """The yield follows from two other columns: it is computed from the rows that stay."""
+    cols = ["batch_id", "plant_id", "line_id", "sku_id", "production_start", "planned_qty_units", "actual_qty_units", "defect_units", "batch_status"]
+    b = spark.createDataFrame([("1", "p", "l", "s", "2024-01-01", "9", "8", "2", "x"), ("1", "p", "l", "s", "2024-01-01", "9", "8", "1", "x"), ("2", "p", "l", "s", None, "9", "0", "0", "x")], ", ".join(f"{c} string" for c in cols))
+    out = silver.fact_production_batches(b)
+    assert out.columns == [*cols, "yield_pct"]
+    assert sorted((r.batch_id, r.defect_units, r.yield_pct) for r in out.collect()) == [("1", 1, 87.5), ("2", 0, None)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "yield_pct" in plan.splitlines()[0] and not any("yield_pct" in x for x in plan.splitlines()[1:])
