@@ -26,7 +26,7 @@ from creamery.plans.incremental import merged_sensor_health, refresh_health_stat
 from creamery.plans.layers import EXPECTATIONS_LOG, SILVER_PLAN, STREAM_LOG, drop_databases, run_all, run_concurrently, run_stream
 from creamery.plans.sentiment import pending_audits, run_sentiment, score_audits
 from creamery.session import scratch_dir
-from creamery.sinks.tables import save_table, table_location
+from creamery.sinks.tables import save_table, stored_rows, table_location
 from creamery.sources import files
 from creamery.sources.driver_tables import DriverTables
 from creamery.sources.landing import write_csv_input, write_landing, write_payload_files
@@ -198,6 +198,11 @@ def q_audit_prompt(spark, sf_dir):
     return audits.select("audit_id", with_prompt(F.col("audit_notes")).alias("prompt"))
 
 
+def _audit_fact(spark, sf_dir):
+    """The silver audits as stored rows: the runs over them read files, as over the silver table."""
+    return stored_rows(silver.fact_quality_audits(_t(spark, sf_dir).historical_quality_audit_logs()), "audits")
+
+
 def _sentiment_target(spark):
     """A target table of its own below the shared scratch folder: (name, location)."""
     return f"default.audit_sentiment_{uuid.uuid4().hex[:10]}", scratch_dir(spark, "sentiment")
@@ -215,7 +220,7 @@ def q_sentiment_incremental_run(spark, sf_dir):
     t = _t(spark, sf_dir)
     target, root = _sentiment_target(spark)
     cfg = LakeConfig()
-    audits = silver.fact_quality_audits(t.historical_quality_audit_logs())
+    audits = _audit_fact(spark, sf_dir)
     labelled = audits.join(t.scored_audit_ids(), "audit_id", "left_semi")
     run_sentiment(spark, cfg, SCORER, audits=labelled, target=target, location=root)  # first run: labelled audits
     run_sentiment(spark, cfg, SCORER, audits=audits, target=target, location=root)    # second run: only the rest
@@ -225,7 +230,7 @@ def q_sentiment_incremental_run(spark, sf_dir):
 
 def q_sentiment_concurrent_runs(spark, sf_dir):
     """SNK-04 / UDF-02: two runs over all audits at the same time, and one tried again; every audit stored once."""
-    audits = silver.fact_quality_audits(_t(spark, sf_dir).historical_quality_audit_logs())
+    audits = _audit_fact(spark, sf_dir)
     target, root = _sentiment_target(spark)
     run = lambda run_id: run_sentiment(spark, LakeConfig(), SCORER, audits=audits, target=target, location=root, run_id=run_id)
     run_concurrently([lambda: run("first"), lambda: run("second")], 2)
@@ -242,7 +247,7 @@ def _answers(notes: list[str]) -> list[tuple[str, str | None]]:
 
 def q_sentiment_model_run(spark, sf_dir):
     """UDF-01 / FN-12: a model that fails on some notes; these stay pending with their error, the others are stored."""
-    audits = silver.fact_quality_audits(_t(spark, sf_dir).historical_quality_audit_logs())
+    audits = _audit_fact(spark, sf_dir)
     target, root = _sentiment_target(spark)
     run_id = run_sentiment(spark, LakeConfig(), model_scorer(_answers, isolate=True), audits=audits, target=target, location=root)
     errors = _files_of(spark, f"{target}_errors").where(F.col("run_id") == run_id).select(F.col("audit_id").alias("_id"), "error")

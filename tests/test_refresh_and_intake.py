@@ -362,3 +362,27 @@ def test_landing_and_table_files_are_compressed_and_whole(spark, tmp_dir, monkey
     for name, n in (("default.codec_saved", 450), ("default.codec_made", 5)):
         assert spark.table(name).count() == n and all(".zstd." in f for f in spark.table(name).inputFiles())
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_sentiment_commit_moves_ids_not_notes(spark, tmp_dir, monkeypatch):
+    """Audits that all go in are appended as they lie; stored, repeated and keyless ones are still told apart."""
+    from creamery.plans import sentiment
+
+    target, ddl = "default.sentiment_ids", "audit_id string, batch_id string, audit_outcome string, audit_notes string"
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    first = spark.createDataFrame([("1", "b", "Pass", "leak"), ("2", "b", "Fail", None), (None, "b", "Fail", "x")], ddl)
+    run = lambda audits: run_sentiment(spark, LakeConfig(), audits=audits, target=target, location=f"{tmp_dir}/ids")
+    stored = lambda: sorted(((r.audit_id, r.audit_notes) for r in spark.table(target).collect()), key=repr)
+    with monkeypatch.context() as m:
+        m.setattr(sentiment, "dedup_by_key", lambda *_: (_ for _ in ()).throw(AssertionError("notes moved")))
+        run(first)
+        files = spark.table(target).inputFiles()
+        run(first)
+        assert sorted(spark.table(target).inputFiles()) == sorted(files)  # nothing new: no file is written
+    more = spark.createDataFrame([("3", "b", "Pass", "a"), ("3", "b", "Pass", "a2"), ("4", "b", "Pass", "c"), ("5", "b", "Pass", "d")], ddl)
+    sentiment._append_unstored(sentiment.score_audits(more.where("audit_id = '4'")), target)
+    sentiment._append_unstored(sentiment.score_audits(more.union(first)), target)
+    assert stored() == sorted([("1", "leak"), ("2", None), (None, "x"), ("3", "a"), ("4", "c"), ("5", "d")], key=repr)
+    run(first.union(more))
+    assert len(stored()) == 6
+    spark.sql(f"DROP TABLE {target}")
