@@ -20,12 +20,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creamery.operators.joins import anti_join_null_safe, semi_join_null_safe
-from creamery.sinks.tables import stored_rows
+from creamery.operators.joins import MOST_KEYS, anti_join_null_safe, semi_join_null_safe
 
 _RANK = "__dedup_rank"
-#: Up to so many repeated keys are sent to every task; beyond, all rows are dealt by key.
-MOST_REPEATED = 1_000_000
 
 
 def dedup_by_key(
@@ -48,7 +45,7 @@ def dedup_by_key(
 
 
 def dedup_long_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), order_columns: Sequence[str] = (), most: int = MOST_REPEATED
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), order_columns: Sequence[str] = (), most: int = MOST_KEYS
 ) -> DataFrame:
     """``dedup_by_key`` on one key, for stored rows that hold long texts: the same rows, and few texts shuffled.
 
@@ -57,7 +54,7 @@ def dedup_long_rows(
     With more than ``most`` such keys all rows are ranked.
     """
     (key,) = keys
-    repeated = stored_rows(df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeated")
+    repeated = df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key)
     if repeated.count() > most:
         return dedup_by_key(df, keys, order, order_columns)
     repeated = F.broadcast(repeated)

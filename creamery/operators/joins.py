@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Up to so many keys are sent to every task; beyond, rows are dealt by key.
+MOST_KEYS = 1_000_000
+
 
 def join_dim(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Inner equi-join on ``key`` keeping ``columns`` of the dimension.

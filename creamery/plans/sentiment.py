@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from creamery.config import LakeConfig
 from creamery.functions.sentiment import with_sentiment
 from creamery.operators.dedup import dedup_by_key
-from creamery.operators.joins import anti_join_null_safe, semi_join_null_safe
+from creamery.operators.joins import MOST_KEYS, anti_join_null_safe, semi_join_null_safe
 from creamery.schemas import AUDIT_SENTIMENT_COLS, AUDIT_SENTIMENT_DDL, SENTIMENT_ERRORS_DDL
-from creamery.sinks.tables import append_rows, create_table_if_missing, delete_path, file_options, path_exists, path_lock, stored_rows, table_location
+from creamery.sinks.tables import append_rows, create_table_if_missing, delete_path, file_options, path_exists, path_lock, table_location
 
 AUDIT_COLS = ["audit_id", "batch_id", "audit_outcome", "audit_notes"]
 
@@ -51,7 +51,9 @@ def _fresh(audits: DataFrame, scored: DataFrame) -> DataFrame:
     if scored.isEmpty():
         return pending_audits(audits, scored)
     ids = anti_join_null_safe(audits.select("audit_id").distinct(), scored, "audit_id")
-    return semi_join_null_safe(audits.select(*AUDIT_COLS), stored_rows(ids, "pending"), "audit_id")
+    if ids.count() <= MOST_KEYS:
+        ids = F.broadcast(ids)
+    return semi_join_null_safe(audits.select(*AUDIT_COLS), ids, "audit_id")
 
 
 def _append_unstored(done: DataFrame, target: str) -> None:
