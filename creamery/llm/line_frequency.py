@@ -36,9 +36,18 @@ SELECT *, NOT base_failed AND 2 * len(regexp_extract_all(coalesce(text, ''), '[^
 def _repeat_words(ws: Column, width: int) -> Column:
     """Words inside ``width``-word windows that occur at least twice in the array."""
 
-    def covered(ws: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(1), F.size(ws) - (width - 1)), lambda i: F.struct(F.xxhash64(F.slice(ws, i, width)).alias("h"), i.alias("i")))
-        return let(F.sort_array(hashes), ends)
+    def windows(h: Column, n: int) -> Column:
+        """``h``: hashes of all runs of ``n`` words. Two runs, apart or overlapping, hash to one of up to twice the length."""
+        if n == width:
+            return covered(h)
+        k = min(n, width - n)
+        longer = F.transform(F.slice(h, 1, F.size(h) - k), lambda x, i: F.xxhash64(x, F.get(h, i + k)))
+        return let(longer, lambda h: windows(h, n + k))
+
+    def covered(h: Column) -> Column:
+        # most texts repeat no window: only the others are sorted
+        found = let(F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), ends)
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(found)
 
     def ends(s: Column) -> Column:
         same = F.filter(
@@ -51,7 +60,8 @@ def _repeat_words(ws: Column, width: int) -> Column:
         gaps = F.transform(p, lambda x, k: F.least(F.coalesce(F.get(p, k + 1) - x, F.lit(width)), F.lit(width)))
         return F.aggregate(gaps, F.lit(0).cast("long"), lambda a, g: a + g)
 
-    return F.when(F.size(ws) > width, let(ws, covered)).otherwise(F.lit(0).cast("long"))
+    hashes = F.transform(ws, lambda w: F.xxhash64(w))
+    return F.when(F.size(ws) > width, let(hashes, lambda h: windows(h, 1))).otherwise(F.lit(0).cast("long"))
 
 
 def base_metrics(docs: DataFrame) -> DataFrame:
@@ -65,8 +75,8 @@ def base_metrics(docs: DataFrame) -> DataFrame:
     return (
         docs.withColumn("_ws", words(F.col("text")))
         .withColumn("n_words", F.size("_ws").cast("long"))
-        .withColumn("word_chars", F.length(F.regexp_replace(text, SPACE, "")).cast("long"))
-        .withColumn("n_symbols", F.length(F.regexp_replace(text, r"[^#*$%&|<>]", "")).cast("long"))
+        .withColumn("word_chars", F.length(F.array_join("_ws", "")).cast("long"))
+        .withColumn("n_symbols", F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long"))
         .withColumn("n_dup_lines", let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"))
         .withColumn("n_repeat_words", _repeat_words(F.col("_ws"), 8))
         .withColumn("base_failed", F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words"))

@@ -631,3 +631,20 @@ def test_mixing_wordless_texts_take_no_epoch_beyond_the_limit(spark):
     docs = spark.createDataFrame([(0, "z " * 50, "a")] + [(i, "", "a") for i in range(1, 200)] + [(200, "y " * 5000, "b")], "doc_id long, text string, source string")
     out = mixing.mix(docs, F.size(F.filter(F.split("text", " "), lambda w: w != ""))).collect()
     assert len(out) == 201 and max(r["_epochs"] for r in out) == 2
+
+
+def test_repeat_words_hash_a_word_once_and_windows_by_doubling(spark):
+    """Windows are hashed from the hashes of shorter ones, not word by word; any width, overlaps and repeats included."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(rng.choice(list("abcd"), n)) for n in [*range(14), *rng.integers(9, 90, 40)]]
+    texts += [" ".join(map(str, range(40))), " ".join(["x"] * 30), " ".join(["p q r"] * 9), " ".join(map(str, [*range(20), *range(5, 14)]))]
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    ws = line_frequency.words(F.col("text"))
+    for width in (3, 5, 8):
+        got = dict(df.select("doc_id", line_frequency._repeat_words(ws, width)).collect())
+        for i, t in enumerate(texts):
+            w = t.split()
+            at = range(len(w) - width + 1)
+            n = Counter(tuple(w[k : k + width]) for k in at)
+            assert got[i] == len({k + j for k in at if n[tuple(w[k : k + width])] > 1 for j in range(width)})
+    assert "xxhash64(slice(" not in line_frequency.base_metrics(df)._jdf.queryExecution().analyzed().toString()
