@@ -52,19 +52,21 @@ def links(fps: DataFrame) -> DataFrame:
     fields of the other equal too; or one bit differs in each segment, found
     by flipping each set bit of the left segment (one of the two partners has
     it set) beside an equal half of the right one. Keys hold 42 bits or more,
-    so tables stay thin, and every match is checked on all 64 bits.
+    so tables stay thin, and every match is checked on all 64 bits. Both
+    lookups are dealt by key at every size: Spark takes a table after an
+    explode to be as small as before it, and would send it whole.
     """
     left, right = _field(32, 32), _field(0, 32)
     same = [(f"r{i}", right, 32 + lo, w) for i, (lo, w) in enumerate([(0, 11), (11, 11), (22, 10)])]
     same += [(f"l{i}", left, lo, w) for i, (lo, w) in enumerate([(0, 11), (11, 11), (22, 10)])]
     keys = F.array(*[F.struct(F.lit(t).alias("t"), F.shiftleft(seg, 11).bitwiseOR(_field(lo, w)).alias("k")) for t, seg, lo, w in same])
     tab = fps.select("fp", F.inline(keys))
-    eq = tab.alias("x").join(tab.alias("y"), F.expr("x.t = y.t AND x.k = y.k AND x.fp < y.fp"))
+    eq = tab.alias("x").join(tab.alias("y").hint("merge"), F.expr("x.t = y.t AND x.k = y.k AND x.fp < y.fp"))
     near = F.array(*[F.struct(F.lit(i).alias("t"), F.shiftleft(left, 16).bitwiseOR(_field(16 * i, 16)).alias("k")) for i in (0, 1)])
     home = fps.select("fp", F.inline(near))
     probe = home.withColumn("bit", F.explode(F.sequence(F.lit(16), F.lit(47)))).withColumn("flip", F.expr("shiftleft(1L, bit)"))
     probe = probe.where(F.col("k").bitwiseAND(F.col("flip")) != 0).withColumn("k", F.col("k").bitwiseXOR(F.col("flip")))
-    ball = probe.alias("x").join(home.alias("y"), F.expr("x.t = y.t AND x.k = y.k"))
+    ball = probe.alias("x").join(home.alias("y").hint("merge"), F.expr("x.t = y.t AND x.k = y.k"))
     pairs = eq.select("x.fp", F.col("y.fp").alias("fp2")).unionByName(ball.select("x.fp", F.col("y.fp").alias("fp2")))
     pairs = pairs.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= 2)
     return pairs.select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")).distinct()
@@ -73,7 +75,8 @@ def links(fps: DataFrame) -> DataFrame:
 def _rooted(reps: DataFrame) -> DataFrame:
     """``reps`` (one row per fp) plus root, the same for all fingerprints of a component."""
     roots = connected_components(links(reps.select("fp"))).withColumnRenamed("id", "fp")
-    return reps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    # dealt by fingerprint: the size of the roots' files says little of their rows in memory
+    return reps.join(roots.hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -87,7 +90,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     fps = stored(fingerprints(docs.select("doc_id", "text"), shingle), "simhash")
     grouped = _rooted(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     best = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return fps.join(grouped.join(best, "root").select("fp", "component_id"), "fp")
+    return fps.join(grouped.join(best, "root").select("fp", "component_id").hint("merge"), "fp")
 
 
 def one_per_component(docs: DataFrame, shingle: int = 3) -> DataFrame:

@@ -648,3 +648,12 @@ def test_repeat_words_hash_a_word_once_and_windows_by_doubling(spark):
             n = Counter(tuple(w[k : k + width]) for k in at)
             assert got[i] == len({k + j for k in at if n[tuple(w[k : k + width])] > 1 for j in range(width)})
     assert "xxhash64(slice(" not in line_frequency.base_metrics(df)._jdf.queryExecution().analyzed().toString()
+
+
+def test_simhash_tables_are_dealt_at_every_size(spark):
+    # small enough to be sent whole, had the explode not multiplied the rows
+    found = simhash.links(spark.range(2000).select(F.xxhash64("id").alias("fp")))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    out = simhash.near_duplicates(table(spark, "/root/testdata/sf0.001", "documents"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"SortMergeJoin \[fp#", plan)) == 3  # the ids of each fingerprint, and its root on both sides
