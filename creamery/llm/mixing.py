@@ -62,7 +62,7 @@ def mix(docs: DataFrame, size: Column, weights: tuple = (3, 1, 2), share: float
     edge = bins.withColumn("_before", F.coalesce(F.sum("b").over(before), F.lit(0))).join(plan.select("_src", "_rest"), "_src")
     edge = edge.where("_before <= _rest AND _before + b > _rest").groupBy("_src").agg(F.min("_bin").alias("_bin"), F.min("_before").alias("_before"), F.min("_rest").alias("_rest"))
     # in the border bin: rows of one hash as one, with their number
-    same = slim.join(edge, ["_src", "_bin"]).groupBy("_src", "_bin", "_before", "_rest", "_u").agg(F.sum("_size").alias("b"), F.count("*").alias("m"))
+    same = slim.join(_sent(edge, len(rows)), ["_src", "_bin"]).groupBy("_src", "_bin", "_before", "_rest", "_u").agg(F.sum("_size").alias("b"), F.count("*").alias("m"))
     order = Window.partitionBy("_src").orderBy("_u").rowsBetween(Window.unboundedPreceding, -1)
     last = same.withColumn("_room", F.col("_rest") - F.col("_before") - F.coalesce(F.sum("b").over(order), F.lit(0))).where("_room < b AND _room >= 0")
     last = last.select("_src", "_bin", "_u", F.floor(F.col("_room") * F.col("m") / F.col("b")).alias("more"))
@@ -86,8 +86,12 @@ MOST_SENT = 100_000
 
 
 def _local(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    df = spark.createDataFrame(rows, schema)
-    return F.broadcast(df) if len(rows) <= MOST_SENT else df
+    return _sent(spark.createDataFrame(rows, schema), len(rows))
+
+
+def _sent(df: DataFrame, n: int) -> DataFrame:
+    """``df``, of a row per source at most: never does the other side of its join go to every task instead."""
+    return F.broadcast(df) if n <= MOST_SENT else df.hint("merge")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
